@@ -384,10 +384,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cut = _removals(rows, finish, "__sha string, __cut string")
     first = rows.groupBy(F.col("sha").alias("__sha")).agg(F.min("doc_id").alias("__first"), F.count("*").alias("__n"))
     data = F.coalesce(text_bytes(text_col), F.lit(b""))
-    joined = docs.withColumn("__sha", F.sha2(data, 256)).join(first.join(cut, "__sha", "left").filter(F.col("__cut").isNotNull() | (F.col("__n") > 1)), "__sha", "left")
-    copy = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) > F.col("__first")) & (F.length(data) >= LENGTH)
+    joined = docs.withColumn("__sha", F.sha2(data, 256)).withColumn("__size", F.length(data)).join(first.join(cut, "__sha", "left").filter(F.col("__cut").isNotNull() | (F.col("__n") > 1)), "__sha", "left")
+    copy = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) > F.col("__first")) & (F.col("__size") >= LENGTH)
     left = joined.withColumn(text_col, F.when(copy, F.lit("")).otherwise(F.coalesce("__cut", text_col)))
-    return left.filter(F.col(text_col).isNull() | (F.trim(text_col) != "") | (F.length(data) == 0)).select(*kept)
+    return left.filter(F.col(text_col).isNull() | (F.trim(text_col) != "") | (F.col("__size") == 0)).select(*kept)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
