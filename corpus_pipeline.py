@@ -1,8 +1,59 @@
-"""A corpus pipeline of five of the operators; see STAGES."""
+"""A corpus pipeline over ``documents``: five stages, each a training-data operator at work on what is left.
 
-STAGES = []
+1. ``language_id``: documents without a language (no text, or no letter in it) go.
+2. ``ngram_join``: of each group of near-duplicates the document with the smallest id stays.
+3. ``suffix_dedup``: strings of 50 bytes that also start in a document with a smaller id are cut out, in whole
+   characters; documents of which nothing is left go.
+4. ``mixing``: the sources are mixed to their target weights; a document appears once for each whole pass of the mix,
+   and once more with the words that a partial pass takes from it.
+5. ``sentencepiece``: the texts are encoded; the digests of ids and decoded texts are the result.
+
+Every stage takes (spark, docs, sf_dir) and gives a DataFrame that is written and read again for the next.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from placewright.llm.common import materialize, read
+from placewright.llm.language_id import learn, predict
+from placewright.llm.mixing import mixed_documents
+from placewright.llm.ngram_join import jaccard_components
+from placewright.llm.piece_codec import piece_digests
+from placewright.llm.suffix_dedup import without_repeats
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return predict(docs, learn(docs), docs.columns).filter("lang_pred <> 'und'").select(*docs.columns)
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    first = jaccard_components(docs).groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    return docs.dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi")
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_repeats(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed_documents(docs)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return piece_digests(docs)
+
+
+STAGES = [("language_id", language_id), ("ngram_join", ngram_join), ("suffix_dedup", suffix_dedup), ("mixing", mixing), ("sentencepiece", sentencepiece)]
+
+#: Language ID, the permutations of the mix and the encoder have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

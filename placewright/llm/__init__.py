@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules with QUERIES (name -> function of session and data folder) and ORACLES (name -> DuckDB SQL).
-MODULES = ["ngram_join", "suffix_dedup", "media", "mixing", "piece_codec", "knn", "language_id", "sharding"]
+MODULES = ["ngram_join", "suffix_dedup", "media", "mixing", "piece_codec", "url_lists", "warc", "knn", "language_id", "sharding"]
 
 
 def queries() -> dict:
