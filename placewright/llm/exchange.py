@@ -1,8 +1,8 @@
 """Counting values over all rows without a row per value.
 
 A block of documents asks, for every 64-bit value it holds, how often that value is asked for anywhere.  Values are
-dealt to parts by their low bits and travel packed, six bytes each; a part counts them and sends back one byte per
-value, in the order asked.  Six bytes and the part may confuse two values, which only raises a count: users treat
+dealt to parts by their low bits and travel packed, five bytes each; a part counts them and sends back one byte per
+value, in the order asked.  Five bytes and the part may confuse two values, which only raises a count: users treat
 counts as an upper bound and verify what they keep.  Nothing but these packed columns is shuffled, and no count is
 gathered anywhere.
 """
@@ -13,6 +13,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+def shrink(x: np.ndarray | bytes) -> bytes:
+    """An array as bytes for a shuffle: its bytes by place, compressed, behind their number."""
+    raw = x if isinstance(x, bytes) else np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() if len(x) else b""
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def expand(data: bytes, kind=None) -> np.ndarray | bytes:
+    """What ``shrink`` packed: an array of ``kind``, or bytes."""
+    n = int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], decompressed_size=n, codec="zstd", asbytes=True) if n else b""
+    if kind is None:
+        return raw
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(np.frombuffer(raw, np.uint8).reshape(width, -1).T.tobytes(), kind)
+
+
 REQUEST = "part int, block int, packed binary"
 ANSWER = "block int, part int, counts binary"
 
@@ -27,18 +43,18 @@ def order_by_part(values: np.ndarray, n_parts: int) -> tuple[np.ndarray, np.ndar
 
 def requests(block: int, values: np.ndarray, n_parts: int) -> pa.Table:
     order, present, edges = order_by_part(values, n_parts)
-    high, middle = (values >> np.uint64(32)).astype(np.uint32)[order], ((values >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.uint16)[order]
+    high, middle = (values >> np.uint64(32)).astype(np.uint32)[order], ((values >> np.uint64(24)) & np.uint64(0xFF)).astype(np.uint8)[order]
     packed = [high[a:b].tobytes() + middle[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
     return pa.table([pa.array(present, pa.int32()), pa.array(np.full(len(present), block), pa.int32()), pa.array(packed, pa.binary())], names=["part", "block", "packed"])
 
 
 def _answer(table: pa.Table) -> pa.Table:
     packed = table["packed"].to_pylist()
-    sizes = [len(p) // 6 for p in packed]
+    sizes = [len(p) // 5 for p in packed]
     values = np.empty(sum(sizes), np.uint64)
     at = 0
     for p, n in zip(packed, sizes, strict=True):
-        values[at : at + n] = np.frombuffer(p, np.uint32, n).astype(np.uint64) << np.uint64(16) | np.frombuffer(p, np.uint16, n, 4 * n)
+        values[at : at + n] = np.frombuffer(p, np.uint32, n).astype(np.uint64) << np.uint64(8) | np.frombuffer(p, np.uint8, n, 4 * n)
         at += n
     order = np.argsort(values)
     ranked = values[order]

@@ -28,13 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from placewright.llm.common import BYTE_VALUES, map_arrow, mix64, powers, read, text_bytes
-from placewright.llm.exchange import ANSWER, REQUEST, answers, code_of, read_answers, requests
+from placewright.llm.common import BYTE_VALUES, mix64, powers, read, text_bytes
+from placewright.llm.exchange import REQUEST, answers, code_of, expand, read_answers, requests, shrink
 
 LENGTH, ANCHOR = 50, 16
 #: Occurrences from which an anchor's windows are dealt out one by one.
-OFTEN = 400
+OFTEN = 10_000
 BLOCK_BYTES, PIECE = 4 << 20, 1 << 19
 NO_ID = (1 << 63) - 1
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -163,14 +164,15 @@ def segments(buffer: np.ndarray, edges: np.ndarray, length: int = LENGTH, anchor
         yield start + begin, count, h[spot[start]], span
 
 
-def _block(table: pa.Table) -> tuple[list[int], list[str], list[bytes]]:
-    """Distinct texts of a block with their smallest ids, ordered by digest."""
-    rows: dict[str, tuple[int, bytes]] = {}
-    for i, sha, text in zip(table["doc_id"].to_pylist(), table["sha"].to_pylist(), table["text"].to_pylist(), strict=True):
+def _block(table: pa.Table) -> tuple[list[int], list[str], list[bytes], list[int]]:
+    """Distinct texts of a block with their smallest ids, ordered by digest: ids, digests, texts, rows."""
+    rows: dict[str, tuple[int, int]] = {}
+    for k, (i, sha) in enumerate(zip(table["doc_id"].to_pylist(), table["sha"].to_pylist(), strict=True)):
         if sha not in rows or i < rows[sha][0]:
-            rows[sha] = i, text
+            rows[sha] = i, k
     order = sorted(rows)
-    return [rows[s][0] for s in order], order, [rows[s][1] for s in order]
+    at = [rows[s][1] for s in order]
+    return [rows[s][0] for s in order], order, [expand(t) for t in table["text"].take(pa.array(at, pa.int64())).to_pylist()], at
 
 
 def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +183,7 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _first_copies(docs: DataFrame, n_blocks: int) -> DataFrame:
-    """(block, doc_id, sha, text): texts long enough; of equal texts one for each task, with its smallest id."""
+    """(block, doc_id, sha, packed text): texts long enough; of equal texts one for each task, with its smallest id."""
 
     def run(batches):
         best: dict[bytes, int] = {}
@@ -194,15 +196,17 @@ def _first_copies(docs: DataFrame, n_blocks: int) -> DataFrame:
                     best[short] = d
                     keep.append(i)
             if keep:
-                yield batch.take(pa.array(keep))
+                found = batch.take(pa.array(keep))
+                packed = pa.array([shrink(t) for t in found["text"].to_pylist()], pa.binary())
+                yield found.set_column(found.schema.get_field_index("text"), "text", packed)
 
     long_enough = docs.filter(F.length("text") >= LENGTH)
-    return long_enough.mapInArrow(run, "doc_id long, text binary, sha string").withColumn("block", F.pmod(F.xxhash64("sha"), F.lit(n_blocks)).cast("int"))
+    return long_enough.mapInArrow(run, long_enough.schema).withColumn("block", F.pmod(F.xxhash64("sha"), F.lit(n_blocks)).cast("int"))
 
 
 def _steps(n_parts: int, n_buckets: int):
     def ask(table: pa.Table) -> pa.Table:
-        _, _, texts = _block(table)
+        texts = _block(table)[2]
         found = [h for _, _, h, _ in segments(*_joined(texts))]
         return requests(table["block"][0].as_py(), np.concatenate([*found, np.zeros(0, np.uint64)]), n_parts)
 
@@ -212,7 +216,7 @@ def _steps(n_parts: int, n_buckets: int):
         if not docs.num_rows or not got.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
         block = docs["block"][0].as_py()
-        ids, _, texts = _block(docs)
+        ids, _, texts, _ = _block(docs)
         buffer, edges = _joined(texts)
         pieces = list(segments(buffer, edges))
         count = read_answers(np.concatenate([p[2] for p in pieces]), n_parts, got)
@@ -242,21 +246,21 @@ def _steps(n_parts: int, n_buckets: int):
         data = _gather(buffer, start[head], windows[head] + LENGTH - 1)
         data_edge = np.concatenate(([0], np.cumsum(windows[head] + LENGTH - 1)))
         present, begin = np.unique(bucket[head], return_index=True)
-        ends = np.append(begin[1:], len(head))
+        ends = np.append(begin, len(head))[1:]
         rows = [[] for _ in range(6)]
         for a, b in zip(begin.tolist(), ends.tolist(), strict=True):
             x, y = head[a], head[b] if b < len(head) else len(same)
             for row, part in zip(rows, (windows[head[a:b]].astype(np.uint8), data[data_edge[a] : data_edge[b]], times[a:b].astype(np.uint32), doc[x:y], ordinal[x:y].astype(np.uint32), local[x:y].astype(np.uint32)), strict=True):
-                row.append(part.tobytes())
+                row.append(shrink(part))
         return pa.table([pa.array(present, kinds[0]), pa.array(np.full(len(present), block), kinds[1]), *[pa.array(r, pa.binary()) for r in rows]], names=names)
 
     def solve(table: pa.Table) -> pa.Table:
         def column(name: str, kind) -> np.ndarray:
-            return np.frombuffer(b"".join(table[name].to_pylist()), kind)
+            return np.concatenate([expand(x, kind) for x in table[name].to_pylist()])
 
         windows, times = column("windows", np.uint8).astype(np.int64), column("times", np.uint32).astype(np.int64)
         ids, ordinals, starts = column("ids", np.int64), column("ordinals", np.uint32), column("starts", np.uint32).astype(np.int64)
-        block = np.repeat(np.array(table["block"].to_pylist()), [len(x) // 8 for x in table["ids"].to_pylist()])
+        block = np.repeat(np.array(table["block"].to_pylist()), [int.from_bytes(x[:8], "little") // 8 for x in table["ids"].to_pylist()])
         size = windows + LENGTH - 1
         edge = np.cumsum(times) - times
         least = np.minimum.reduceat(ids, edge)
@@ -283,7 +287,7 @@ def _steps(n_parts: int, n_buckets: int):
         by = np.argsort(out_block, kind="stable")
         present, at = np.unique(out_block[by], return_index=True)
         cut = np.append(at, len(by)).tolist()
-        packed = [[x[by[a:b]].astype(np.uint32).tobytes() for a, b in zip(cut, cut[1:], strict=False)] for x in (out_ordinal, first, last)]
+        packed = [[shrink(x[by[a:b]].astype(np.uint32)) for a, b in zip(cut, cut[1:], strict=False)] for x in (out_ordinal, first, last)]
         return pa.table([pa.array(present, pa.int32()), *[pa.array(p, pa.binary()) for p in packed]], names=["block", "ordinals", "begins", "ends"])
 
     return ask, send, solve
@@ -302,10 +306,10 @@ def cut_spans(text: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def _removals(docs: DataFrame, finish, schema: str) -> DataFrame:
-    """``finish(digests, texts, masks or None)`` over the first copies of all texts of at least 50 bytes.
+def _removals(docs: DataFrame, finish, schema) -> DataFrame:
+    """``finish(rows, digests, texts, masks or None)`` over the first copies of all texts of at least 50 bytes.
 
-    docs: doc_id (never null), text (binary), sha.
+    docs: doc_id (never null), text (binary), sha, and what else ``finish`` wants of a row.
     """
     total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks = max(8, -(-total // BLOCK_BYTES))
@@ -317,12 +321,12 @@ def _removals(docs: DataFrame, finish, schema: str) -> DataFrame:
     spans = sent.groupBy("bucket").applyInArrow(solve, "block int, ordinals binary, begins binary, ends binary")
 
     def close(docs_: pa.Table, spans_: pa.Table) -> pa.Table:
-        _, digests, texts = _block(docs_) if docs_.num_rows else ([], [], [])
-        ordinals, begins, ends = (np.frombuffer(b"".join(spans_[c].to_pylist()), np.uint32).astype(np.int64) for c in ("ordinals", "begins", "ends"))
+        _, digests, texts, at = _block(docs_)
+        ordinals, begins, ends = (np.concatenate([np.zeros(0, np.int64), *[expand(x, np.uint32) for x in spans_[c].to_pylist()]]).astype(np.int64) for c in ("ordinals", "begins", "ends"))
         order = np.argsort(ordinals, kind="stable")
         edges = np.searchsorted(ordinals[order], np.arange(len(texts) + 1))
         masks = [cut_spans(t, begins[order[a:b]], ends[order[a:b]]) if b > a else None for t, a, b in zip(texts, edges, edges[1:], strict=False)]
-        return finish(digests, texts, masks)
+        return finish(docs_.take(pa.array(at, pa.int64())), digests, texts, masks)
 
     return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(close, schema)
 
@@ -335,7 +339,7 @@ def _with_digest(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
 
-    def finish(digests, texts, masks) -> pa.Table:
+    def finish(_, digests, texts, masks) -> pa.Table:
         removed, spans, kept = [], [], []
         for text, sha, mask in zip(texts, digests, masks, strict=True):
             if mask is None:
@@ -373,21 +377,26 @@ def whole_characters(text: bytes, mask: np.ndarray) -> np.ndarray:
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated strings cut from the text (whole characters only); rows of which nothing is left go."""
-    kept = docs.columns
-
-    def finish(digests, texts, masks) -> pa.Table:
-        rows = [(s, np.frombuffer(t, np.uint8)[~whole_characters(t, m)].tobytes().decode("utf-8", "replace")) for s, t, m in zip(digests, texts, masks, strict=True) if m is not None]
-        return pa.table([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=["__sha", "__cut"])
+    """``docs`` with repeated strings cut from the text (whole characters only); rows of which nothing is left go.
 
-    rows = _with_digest(docs, id_col, text_col)
-    cut = _removals(rows, finish, "__sha string, __cut string")
-    first = rows.groupBy(F.col("sha").alias("__sha")).agg(F.min("doc_id").alias("__first"), F.count("*").alias("__n"))
-    data = F.coalesce(text_bytes(text_col), F.lit(b""))
-    joined = docs.withColumn("__sha", F.sha2(data, 256)).withColumn("__size", F.length(data)).join(first.join(cut, "__sha", "left").filter(F.col("__cut").isNotNull() | (F.col("__n") > 1)), "__sha", "left")
-    copy = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) > F.col("__first")) & (F.col("__size") >= LENGTH)
-    left = joined.withColumn(text_col, F.when(copy, F.lit("")).otherwise(F.coalesce("__cut", text_col)))
-    return left.filter(F.col(text_col).isNull() | (F.trim(text_col) != "") | (F.col("__size") == 0)).select(*kept)
+    Texts below 50 bytes stay as they are; of rows with equal longer texts the one with the smallest id stays.  The
+    rows travel with their texts, so nothing is joined afterwards.
+    """
+    kept = docs.columns
+    own = StructType([f for f in docs.schema.fields])
+
+    def finish(rows, digests, texts, masks) -> pa.Table:
+        cut = [t if m is None else np.frombuffer(t, np.uint8)[~whole_characters(t, m)].tobytes() for t, m in zip(texts, masks, strict=True)]
+        left = pa.array([i for i, t in enumerate(cut) if masks[i] is None or t.strip()], pa.int64())
+        columns = [pa.array([t.decode("utf-8", "replace") for t in cut], pa.string()) if k == text_col else pa.array(rows["row"].combine_chunks().field(k)) for k in kept]
+        return pa.table(columns, names=kept).take(left)
+
+    data = text_bytes(text_col)
+    short = docs.filter(data.isNull() | (F.length(data) < LENGTH))
+    rows = docs.filter(F.length(data) >= LENGTH)
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) if f.name == text_col else F.col(f"`{f.name}`") for f in docs.schema.fields]
+    held = rows.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), data.alias("text"), F.sha2(data, 256).alias("sha"), F.struct(*blank).alias("row"))
+    return _removals(held, finish, own).unionByName(short)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
