@@ -8,7 +8,8 @@
    and once more with the words that a partial pass takes from it.
 5. ``sentencepiece``: the texts are encoded; the digests of ids and decoded texts are the result.
 
-Every stage takes (spark, docs, sf_dir) and gives a DataFrame that is written and read again for the next.
+Every stage takes (spark, docs, sf_dir) and gives a DataFrame that is written and read again for the next; so when
+a stage begins, the helper tables of the one before have done their work and are dropped.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewright.llm.common import materialize, read
+from placewright.llm.common import materialize, read, release
 from placewright.llm.language_id import learn, predict
 from placewright.llm.mixing import mixed_documents
 from placewright.llm.ngram_join import jaccard_components
@@ -25,23 +26,28 @@ from placewright.llm.suffix_dedup import without_repeats
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return predict(docs, learn(docs), docs.columns).filter("lang_pred <> 'und'").select(*docs.columns)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     first = jaccard_components(docs).groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     return docs.dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return without_repeats(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return mixed_documents(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release(spark)
     return piece_digests(docs)
 
 
@@ -55,5 +61,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = materialize(stage(spark, docs, sf_dir), name, hold=True)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -46,14 +46,30 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: a reliable cut of the lineage."""
+_written: list[str] = []
+
+
+def materialize(df: DataFrame, tag: str, hold: bool = False) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again: a reliable cut of the lineage.
+
+    ``hold`` keeps the table when ``release`` drops the others.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    if not hold:
+        _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Drop the tables that ``materialize`` wrote, once the results made of them have been written."""
+    jvm = spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def map_arrow(df: DataFrame, work: Callable[[pa.Table], Iterator[pa.RecordBatch | pa.Table] | pa.Table], schema: str) -> DataFrame:
     """``mapInArrow`` over batches; ``work`` gets one table for each batch."""
 

@@ -147,7 +147,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     goal = targets(sizes, weights, limit)
     plan = _plan(sizes, goal, block_words)
 
-    buckets = max(16, -(-sum(r["n"] for r in found) // BUCKET_ROWS))
+    buckets = max(64, -(-sum(r["n"] for r in found) // BUCKET_ROWS))
     rows = base.filter("size > 0").withColumn("__b", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(buckets)))
     sums = rows.groupBy("skey", "__b").agg(F.sum("size").alias("__n"))
     before = Window.partitionBy("skey").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
