@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from placewright.functions.text import NAME_MARKS, WS, after, compact, drop_prefix, last_index, strip, text, without_space
+from placewright.functions.text import NAME_MARKS, WS, after, compact, drop_prefix, last_index, let, stage, strip, text, without_space
 
 HAN = "一-鿿"
 # Vocabularies and patterns that results depend on.
@@ -82,10 +82,8 @@ def clean_label(v: Column) -> Column:
 
 def clean_repeat(v: Column) -> Column:
     """Third step: of several cities the last starts the address, unless a road or number stands before it."""
-    found = F.regexp_extract_all(v, F.lit(CITY_RUN), F.lit(1))
-    start = last_index(v, F.element_at(found, -1))
-    before = F.substring(v, F.lit(1), start)
-    return F.when((F.size(found) >= 2) & ~has(before, "[路街大道巷号栋座]"), after(v, start)).otherwise(v)
+    runs = lambda found: let(last_index(v, F.try_element_at(found, F.lit(-1))), lambda start: F.when((F.size(found) >= 2) & ~has(F.substring(v, F.lit(1), start), "[路街大道巷号栋座]"), after(v, start)).otherwise(v))
+    return let(F.regexp_extract_all(v, F.lit(CITY_RUN), F.lit(1)), runs)
 
 
 def clean_tail(v: Column) -> Column:
@@ -117,11 +115,11 @@ CLEAN_STEPS = (clean, clean_label, clean_repeat, clean_tail, clean_marks, clean_
 
 
 def cleaned(df, column: str, out: str):
-    """``df`` with the cleaned address; one projection for each step keeps the expressions small."""
-    df = df.withColumn(out, F.col(column))
+    """``df`` with the cleaned address."""
+    value = F.col(column)
     for step in CLEAN_STEPS:
-        df = df.withColumn(out, step(F.col(out)))
-    return df
+        value = let(value, step)
+    return stage(df, **{out: value})
 
 
 def unit_of(detail: Column) -> Column:
@@ -131,7 +129,7 @@ def unit_of(detail: Column) -> Column:
 
 def place_of(detail: Column) -> Column:
     """What follows the administrative unit."""
-    return after(detail, F.length(unit_of(detail)))
+    return let(detail, lambda x: after(x, F.length(unit_of(x))))
 
 
 def is_zone(name: Column) -> Column:
@@ -142,23 +140,28 @@ def is_zone(name: Column) -> Column:
 
 def is_specific(place: Column) -> Column:
     """Whether something specific follows the units."""
-    rest = F.regexp_replace(text(place), LOWER_UNITS, "")
-    return has(rest, SPECIFIC) | ((F.length(rest) >= 2) & ~has(rest, PLACE_ONLY))
+    return let(F.regexp_replace(text(place), LOWER_UNITS, ""), lambda rest: has(rest, SPECIFIC) | ((F.length(rest) >= 2) & ~has(rest, PLACE_ONLY)))
 
 
 def detail_key(c: Column | str) -> Column:
     """Last road and house number of an address, or all of it if it has none."""
-    v = without_space(c)
-    numbers = F.regexp_extract_all(v, F.lit(r"(\p{Nd}+(?:[-－]\p{Nd}+)?号)"), F.lit(1))
-    number = F.element_at(numbers, -1)
-    start = last_index(v, number)
-    head = F.substring(v, F.lit(1), start)
-    road = F.greatest(*[last_index(head, s) for s in ("大道", "大街", "路", "街", "巷", "弄", "道")])
-    before = F.substring(head, F.lit(1), road)
-    # separators are visited in this order, each moves the start forward only
-    marks = F.array(*[F.struct(last_index(before, s).alias("at"), F.lit(len(s)).alias("n")) for s in ("省", "市", "区", "县", "街道", "街", "镇", "乡")])
-    begin = F.aggregate(marks, F.lit(0), lambda a, m: F.when(m["at"] >= a, m["at"] + m["n"]).otherwise(a))
-    return F.when((F.size(numbers) == 0) | (road < 0), v).otherwise(F.substring(v, begin + 1, start + F.length(number) - begin))
+    rfind = lambda v, s: F.when(F.contains(v, F.lit(s)), F.length(v) - F.instr(F.reverse(v), s[::-1]) + 1 - len(s)).otherwise(F.lit(-1))
+
+    def key(v: Column, number: Column) -> Column:
+        def of_head(head: Column) -> Column:
+            road = F.greatest(*[rfind(head, s) for s in ("大道", "大街", "路", "街", "巷", "弄", "道")])
+            return let(road, lambda at: F.when(at < 0, v).otherwise(let(F.substring(head, F.lit(1), at), lambda before: of_road(head, before))))
+
+        def of_road(head: Column, before: Column) -> Column:
+            # separators are visited in this order, each moves the start forward only
+            marks = F.array(*[F.struct(rfind(before, s).alias("at"), F.lit(len(s)).alias("n")) for s in ("省", "市", "区", "县", "街道", "街", "镇", "乡")])
+            begin = F.aggregate(marks, F.lit(0), lambda a, m: F.when(m["at"] >= a, m["at"] + m["n"]).otherwise(a))
+            return F.concat(after(head, begin), number)
+
+        return let(F.substring(v, F.lit(1), last_index(v, number)), of_head)
+
+    last = lambda v: F.try_element_at(F.regexp_extract_all(v, F.lit(r"(\p{Nd}+(?:[-－]\p{Nd}+)?号)"), F.lit(1)), F.lit(-1))
+    return let(without_space(c), lambda v: let(last(v), lambda number: F.when(number.isNull(), v).otherwise(key(v, number))))
 
 
 def equivalence_key(c: Column | str) -> Column:
@@ -208,12 +211,10 @@ def number_of(c: Column | str) -> Column:
 
 def anchors_of(c: Column | str) -> Column:
     """Parks, then the first named place after the last number."""
-    v = compact(c)
-    number = F.try_element_at(F.regexp_extract_all(v, F.lit(NUMBER), F.lit(1)), F.lit(-1))
-    scope = F.when(number.isNull(), v).otherwise(after(v, last_index(v, number) + F.length(number)))
-    place = group(scope, NAMED_PLACE)
-    found = F.concat(F.regexp_extract_all(v, F.lit(f"({PARKS})"), F.lit(1)), F.array(place))
-    return F.array_distinct(F.filter(found, lambda x: x != ""))
+    last = lambda v: F.try_element_at(F.regexp_extract_all(v, F.lit(NUMBER), F.lit(1)), F.lit(-1))
+    scope = lambda v: let(last(v), lambda n: F.when(n.isNull(), v).otherwise(after(v, last_index(v, n) + F.length(n))))
+    found = lambda v: F.concat(F.regexp_extract_all(v, F.lit(f"({PARKS})"), F.lit(1)), F.array(group(scope(v), NAMED_PLACE)))
+    return F.array_distinct(F.filter(let(compact(c), found), lambda x: x != ""))
 
 
 def number_key(c: Column | str) -> Column:
@@ -249,12 +250,11 @@ def tolerant_key(c: Column, city: Column, unit: Column, rounds: int = 6) -> Colu
         )
 
     begin = name_key(F.regexp_replace(text(c), STATUS_WORDS, ""))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), begin, lambda v, _: step(v))
+    return F.aggregate(F.array(*map(F.lit, range(rounds))), begin, lambda v, _: step(v))
 
 
 def names_match(a: Column, b: Column, city: Column, unit: Column) -> Column:
-    loose = tolerant_key(a, city, unit)
-    return (campus_key(a) == campus_key(b)) | ((loose != "") & (loose == tolerant_key(b, city, unit)))
+    return (campus_key(a) == campus_key(b)) | let(tolerant_key(a, city, unit), lambda loose: (loose != "") & (loose == tolerant_key(b, city, unit)))
 
 
 def without_guides(c: Column | str) -> Column:
@@ -263,11 +263,11 @@ def without_guides(c: Column | str) -> Column:
 
 def detail_score(address: Column, city: Column) -> Column:
     """How detailed an address is: struct of road, number, length, to be compared."""
-    place = place_of(drop_prefix(compact(address), city))
-    return F.struct((road_of(place) != "").alias("road"), (number_of(place) != "").alias("number"), F.length(place).alias("size"))
+    score = lambda place: F.struct((road_of(place) != "").alias("road"), (number_of(place) != "").alias("number"), F.length(place).alias("size"))
+    return let(place_of(drop_prefix(compact(address), city)), score)
 
 
 def road_relation(a: Column, b: Column) -> Column:
-    x, y = compact(a), compact(b)
     base = lambda c: F.regexp_replace(c, "(?:辅路|[东南西北中])$", "")
-    return F.when(x == y, "equal").when(base(x) == base(y), "partial").when(F.endswith(x, y) | F.endswith(y, x), "suffix").otherwise("conflict")
+    relation = lambda x, y: F.when(x == y, "equal").when(base(x) == base(y), "partial").when(F.endswith(x, y) | F.endswith(y, x), "suffix").otherwise("conflict")
+    return let(F.struct(compact(a).alias("x"), compact(b).alias("y")), lambda p: relation(p["x"], p["y"]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The 29 characters that Python counts as white space, written for Java and RE2 alike.
@@ -17,6 +17,22 @@ ADDRESS_MARKS = WS[:-1] + r"，,。；;：:（）()]+"
 NAME_MARKS = WS[:-1] + r"()（）\[\]【】{}《》<>·\-—–_]"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)``, with the value worked out once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def stage(df: DataFrame, **columns: Column) -> DataFrame:
+    """``withColumns`` whose results are worked out here, once.
+
+    The optimizer folds the expressions of a projection into what refers to them, and pushes filters down by folding;
+    through long chains that grows without bound.  A generator of one row is where it stops.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    made = df.select("*", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("__stage"))
+    return made.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"__stage.{n}").alias(n) for n in columns])
+
+
 def text(c: Column | str) -> Column:
     """The column as text, '' for null."""
     return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
@@ -60,7 +76,7 @@ def cell_text(c: Column | str) -> Column:
 def page_lines(c: Column | str) -> Column:
     """As ``cell_text``, and a line that repeats the one before it goes."""
     lines = F.filter(F.transform(F.split(F.regexp_replace(text(c), r"[\x{a0}\x{3000}]", " "), BREAK), lambda x: strip(F.regexp_replace(x, r"[ \t]+", " "))), lambda x: x != "")
-    return F.array_join(F.filter(lines, lambda x, i: (i == 0) | (x != F.get(lines, i - 1))), "\n")
+    return let(lines, lambda a: F.array_join(F.filter(a, lambda x, i: (i == 0) | (x != F.get(a, i - 1))), "\n"))
 
 
 def error_line(c: Column | str) -> Column:
@@ -79,11 +95,10 @@ def after(c: Column, n: Column | int) -> Column:
 
 def drop_prefix(c: Column, prefix: Column) -> Column:
     """The text without the prefix, where it has it."""
-    return F.when((prefix != "") & F.startswith(c, prefix), after(c, F.length(prefix))).otherwise(c)
+    return let(F.struct(c.alias("c"), prefix.alias("p")), lambda x: F.when((x["p"] != "") & F.startswith(x["c"], x["p"]), after(x["c"], F.length(x["p"]))).otherwise(x["c"]))
 
 
 def last_index(c: Column, needle: Column | str) -> Column:
     """Offset from 0 of the last occurrence, -1 if there is none."""
     needle = F.lit(needle) if isinstance(needle, str) else needle
-    found = F.instr(F.reverse(c), F.reverse(needle))
-    return F.when(found > 0, F.length(c) - found + 1 - F.length(needle)).otherwise(F.lit(-1))
+    return let(F.instr(F.reverse(c), F.reverse(needle)), lambda found: F.when(found > 0, F.length(c) - found + 1 - F.length(needle)).otherwise(F.lit(-1)))

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from placewright.functions.address import (
     AUXILIARY_TEXT, AUXILIARY_TYPE, LIST_PLACE, MUNICIPALITIES, NO_UNIT, admin_key, anchors_of, detail_score, has, name_key, names_match, number_key, number_of, place_of, road_of, road_relation, target_unit, unit_of, without_guides,
 )
-from placewright.functions.text import compact, drop_prefix, strip, text
+from placewright.functions.text import compact, drop_prefix, let, stage, strip, text
 from placewright.operators.city import Catalog, catalog_literals
 from placewright.operators.normalize import CONTEXT_COLUMNS, RESULT, is_valid_structure, normalize_values
 
@@ -27,34 +27,50 @@ PRIORITY = {"consistent": 0, "partial": 1, "conflict": 2}
 
 def source_parts(address: Column, city: Column) -> Column:
     """city, admin_unit, detail, road, number and anchors of a normalized address."""
-    rest = drop_prefix(strip(address), city)
-    place = place_of(rest)
-    return F.struct(city.alias("city"), unit_of(rest).alias("admin_unit"), place.alias("detail"), road_of(place).alias("road"), number_of(place).alias("number"), anchors_of(place).alias("anchors"))
+    parts = lambda x: F.struct(city.alias("city"), x["unit"].alias("admin_unit"), x["place"].alias("detail"), road_of(x["place"]).alias("road"), number_of(x["place"]).alias("number"), anchors_of(x["place"]).alias("anchors"))
+    split = lambda rest: F.struct(unit_of(rest).alias("unit"), place_of(rest).alias("place"))
+    return let(drop_prefix(strip(address), city), lambda rest: let(split(rest), parts))
 
 
 def map_parts(candidate: Column, source_city: Column) -> Column:
     """city, admin_unit, street, number and address of a geocode candidate."""
-    get = lambda k: strip(candidate[k])
-    city = F.when((get("city") == "") & source_city.isin(*MUNICIPALITIES), get("province")).otherwise(get("city"))
-    rest = compact(get("formatted_address"))
-    for part in (get("province"), city, get("district")):
-        rest = drop_prefix(rest, compact(part))
+    plain = F.struct(*[strip(candidate[k]).alias(k) for k in ("formatted_address", "province", "city", "district", "street", "number")])
     or_else = lambda a, b: F.when(a != "", a).otherwise(b)
-    return F.struct(city.alias("city"), get("district").alias("admin_unit"), or_else(get("street"), road_of(rest)).alias("street"), or_else(get("number"), number_of(rest)).alias("number"), get("formatted_address").alias("address"))
+
+    def parts(x: Column) -> Column:
+        city = F.when((x["city"] == "") & source_city.isin(*MUNICIPALITIES), x["province"]).otherwise(x["city"])
+
+        def with_city(city: Column) -> Column:
+            rest = compact(x["formatted_address"])
+            for part in (x["province"], city, x["district"]):
+                rest = drop_prefix(rest, compact(part))
+            return let(rest, lambda r: F.struct(city.alias("city"), x["district"].alias("admin_unit"), or_else(x["street"], road_of(r)).alias("street"), or_else(x["number"], number_of(r)).alias("number"), x["formatted_address"].alias("address")))
+
+        return let(city, with_city)
+
+    return let(plain, parts)
 
 
 def judge(address: Column, source: Column, found: Column) -> Column:
     """(status, reason) of a candidate against the parts of a normalized address."""
     say = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     differ = lambda key: (source[key] != "") & (found[key] != "") & (admin_key(source[key]) != admin_key(found[key]))
-    relation = F.when((source["road"] != "") & (found["street"] != ""), road_relation(source["road"], found["street"])).otherwise("")
+    near = F.when((source["road"] != "") & (found["street"] != ""), road_relation(source["road"], found["street"])).otherwise("")
+    return let(near, lambda relation: let(_gaps(source, found, relation), lambda gaps: _verdict(address, source, found, relation, gaps, say, differ)))
+
+
+def _gaps(source: Column, found: Column, relation: Column) -> Column:
+    """What the candidate lacks of the parts of the address."""
     lacks = lambda key, other, label: F.when((source[key] != "") & (found[other] == ""), F.lit(label))
-    gaps = F.array_compact(
+    return F.array_compact(
         F.array(
             lacks("city", "city", "地图城市"), lacks("admin_unit", "admin_unit", "地图下级行政区"), lacks("road", "street", "地图道路"),
             F.when(relation == "suffix", F.lit("道路简称")).when(relation == "partial", F.lit("道路方位或辅路信息不完整")), lacks("number", "number", "地图门牌号"),
         )
     )
+
+
+def _verdict(address: Column, source: Column, found: Column, relation: Column, gaps: Column, say, differ) -> Column:
     both_numbers = (source["number"] != "") & (found["number"] != "")
     anchored = F.exists(source["anchors"], lambda a: F.contains(compact(found["address"]), compact(a)))
     result = lambda status, reason: F.struct(F.lit(status).alias("status"), (F.lit(reason) if isinstance(reason, str) else reason).alias("reason"))
@@ -75,15 +91,15 @@ def judge(address: Column, source: Column, found: Column) -> Column:
 
 def best_geocode(address: Column, city: Column, candidates: Column) -> Column:
     """The candidate with the best status, the first of equal ones: struct rank, pos, map_address, status, reason."""
-    source = source_parts(address, city)
 
-    def judged(candidate: Column, pos: Column) -> Column:
-        found = map_parts(candidate, city)
-        verdict = judge(address, source, found)
+    def ranked(verdict: Column, found: Column, pos: Column) -> Column:
         rank = F.coalesce(*[F.when(verdict["status"] == s, F.lit(r)) for s, r in PRIORITY.items()])
         return F.struct(rank.alias("rank"), pos.alias("pos"), found["address"].alias("map_address"), verdict["status"].alias("status"), verdict["reason"].alias("reason"))
 
-    return F.array_min(F.transform(candidates, judged))
+    def judged(source: Column):
+        return lambda candidate, pos: let(map_parts(candidate, city), lambda found: let(judge(address, source, found), lambda verdict: ranked(verdict, found, pos)))
+
+    return let(source_parts(address, city), lambda source: F.array_min(F.transform(candidates, judged(source))))
 
 
 def _evidence(source: Column, map_address: Column) -> tuple[Column, Column, Column]:
@@ -98,10 +114,10 @@ def final_choice(df: DataFrame) -> DataFrame:
     """The decision between official and map address, from normalized_address, RESULT and the map columns."""
     c, city = F.col, F.col("city_name")
     official, found = strip("normalized_address"), strip("map_address")
-    df = df.withColumn("__s", source_parts(c("normalized_address"), city))
+    df = stage(df, __s=source_parts(c("normalized_address"), city))
     same_road, same_number, map_road = _evidence(c("__s"), found)
     auxiliary = has(found, AUXILIARY_TEXT)
-    df = df.withColumns({
+    df = stage(df, **{
         "__aux": auxiliary,
         "__proved": (found != "") & (same_road | same_number | F.exists(c("__s.anchors"), lambda a: F.contains(compact(found), compact(a)))),
         "__district": (found != "") & ~auxiliary & (same_road | (same_number & map_road)),
@@ -128,7 +144,7 @@ def final_choice(df: DataFrame) -> DataFrame:
         .when(fine, keep("来源地址不比地图地址简略"))
         .otherwise(keep("地图状态未支持采用地图地址，保留来源地址"))
     )
-    df = df.withColumn("__f", chosen)
+    df = stage(df, __f=chosen)
     return df.withColumns({k: c(f"__f.{k}") for k in ("map_match_status", "map_reason", "final_address", "final_address_source", "final_address_reason")}).drop("__s", "__aux", "__proved", "__district", "__more", "__nounit", "__f")
 
 
@@ -142,14 +158,14 @@ def _normalized_again(df: DataFrame, column: str, unit: Column, literals: tuple[
     held = df.withColumns({f"__own_{k}": F.col(k) for k in RESULT})
     held = normalize_values(held, column, unit, *literals)
     usable = F.when(F.col("normalization_status").isin("complete", "partial"), F.col("normalized_address")).otherwise("")
-    return held.withColumn(column, usable).withColumns({k: F.col(f"__own_{k}") for k in RESULT}).drop(*[f"__own_{k}" for k in RESULT])
+    return stage(held, **{column: usable}).withColumns({k: F.col(f"__own_{k}") for k in RESULT}).drop(*[f"__own_{k}" for k in RESULT])
 
 
 def verify_by_geocode(df: DataFrame, geocodes: DataFrame, literals: tuple[Column, Column]) -> DataFrame:
     """Map columns from the best geocode of the normalized address; a query without a row found nothing."""
     asked = geocodes.select(F.col("query_address").alias("__qa"), F.col("query_city").alias("__qc"), F.coalesce("error", F.lit("")).alias("__error"), F.coalesce("candidates", F.array().cast(GEOCODES)).alias("__c"))
     df = with_map_columns(df).join(asked, (F.col("normalized_address") == F.col("__qa")) & (F.col("city_name") == F.col("__qc")), "left")
-    df = df.withColumn("__best", F.when(F.coalesce("__error", F.lit("")) == "", best_geocode(F.col("normalized_address"), F.col("city_name"), F.col("__c"))))
+    df = stage(df, __best=F.when(F.coalesce("__error", F.lit("")) == "", best_geocode(F.col("normalized_address"), F.col("city_name"), F.col("__c"))))
     failed = F.coalesce("__error", F.lit("")) != ""
     df = df.withColumns({
         "map_address": F.coalesce("__best.map_address", F.lit("")),
@@ -188,7 +204,8 @@ def find_by_poi(df: DataFrame, pois: DataFrame, literals: tuple[Column, Column])
     )
     detail, area = get("address"), get("adname")
     whole = F.when(detail == "", "").when(F.startswith(detail, c("city_name")), detail).when((area != "") & F.startswith(detail, area), F.concat("city_name", detail)).otherwise(F.concat(c("city_name"), area, detail))
-    rows = rows.withColumn("__fits", F.coalesce(fits, F.lit(False))).withColumn("found", F.when(F.col("__fits"), whole).otherwise(""))
+    rows = stage(rows, __fits=F.coalesce(fits, F.lit(False)))
+    rows = stage(rows, found=F.when(F.col("__fits"), whole).otherwise(""))
     rows = _normalized_again(rows, "found", c("__unit0"), literals).withColumn("found", without_guides("found"))
     good = c("__fits") & (c("found") != "")
     per_name = rows.groupBy("record_id", "turn").agg(
@@ -211,8 +228,11 @@ def find_by_poi(df: DataFrame, pois: DataFrame, literals: tuple[Column, Column])
 
 def route_of() -> Column:
     """How a normalized record is settled: placeholder, valid, list_official, list_geocode, list_poi, geocode, poi or skip."""
+    return let(source_parts(F.col("normalized_address"), F.col("city_name")), _route)
+
+
+def _route(s: Column) -> Column:
     c, official = F.col, strip("normalized_address")
-    s = source_parts(c("normalized_address"), c("city_name"))
     checkable = (s["number"] != "") | ((s["road"] != "") & ~F.endswith(s["road"], F.lit("街道")))
     listed = (official != "") & ((s["road"] != "") | (s["number"] != "") | has(s["detail"], LIST_PLACE))
     status = c("normalization_status")
@@ -236,7 +256,7 @@ def _settled(df: DataFrame, status: str, reason, address: Column | str, source:
 def resolve_records(normalized: DataFrame, catalog: Catalog, geocodes: DataFrame, pois: DataFrame) -> DataFrame:
     """Final addresses of records from ``normalize_records(..., keep_context=True)``."""
     literals = catalog_literals(normalized.sparkSession, catalog)
-    df = normalized.withColumn("route", route_of())
+    df = stage(normalized, route=route_of())
     at = lambda *routes: df.filter(F.col("route").isin(*routes))
     c, official = F.col, strip("normalized_address")
     parts = [
@@ -249,10 +269,9 @@ def resolve_records(normalized: DataFrame, catalog: Catalog, geocodes: DataFrame
     found = find_by_poi(at("poi", "list_poi"), pois, literals)
     listed, hit = c("route") == "list_poi", c("map_match_status") == "poi_match"
     unsure = ~listed & (c("normalization_status") == "complete") & (official != "") & c("map_match_status").isin("not_found", "ambiguous")
-    s = source_parts(c("normalized_address"), c("city_name"))
-    detailed = unsure & ((s["road"] != "") | (s["number"] != "") | (s["detail"] != ""))
+    detailed = unsure & let(source_parts(c("normalized_address"), c("city_name")), lambda s: (s["road"] != "") | (s["number"] != "") | (s["detail"] != ""))
     keeps = (listed & (official != "")) | unsure
-    found = found.withColumns({
+    found = stage(found, **{
         "final_address": F.when(hit, c("map_address")).when(keeps, official).otherwise(""),
         "final_address_source": F.when(hit, "map").when(keeps, "official").otherwise(""),
         "final_address_reason": F.when(hit & listed, "政府资料地址不完整，按地点名称补充地图地址").when(hit, "POI 名称匹配地址").when(listed & (official != ""), "政府资料地址")

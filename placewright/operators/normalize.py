@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placewright.functions.address import CITY, DISTRICT, LOWER_SUFFIXES, MODES, NO_PLACE, NO_UNIT, PROVINCE, SHORT_CITY, UNIT_SUFFIXES, cleaned, group, has, is_specific, is_zone, mode_of, target_unit, unit_of
-from placewright.functions.text import after, strip, text, without_space
+from placewright.functions.text import after, stage, strip, text, without_space
 from placewright.operators.city import Catalog, catalog_literals, prepared_contexts
 
 RESULT = ["normalized_address", "normalization_status", "normalization_reason", "resolved_city"]
@@ -82,7 +82,7 @@ def normalize_values(df: DataFrame, column: str, unit: Column, full: Column, sho
         .otherwise("")
     )
     df = df.withColumn("__why", F.when(c("__why") != "", c("__why")).when(foreign != "", F.concat(F.lit("原始地址中的城市与目标城市不一致："), foreign)).otherwise(""))
-    df = df.withColumn("__d", F.when(by_full, after(c("__a"), F.length("city_name"))).when(by_short, rest).otherwise(c("__a")))
+    df = stage(df, __d=F.when(by_full, after(c("__a"), F.length("city_name"))).when(by_short, rest).otherwise(c("__a")))
     # the unit that was asked for, where it stands near the start
     at = F.instr(c("__d"), c("__unit"))
     df = df.withColumn("__d", F.when((c("__unit") != "") & (at >= 1) & (at <= 21), after(c("__d"), at - 1)).otherwise(c("__d")))
@@ -104,9 +104,9 @@ def normalize_values(df: DataFrame, column: str, unit: Column, full: Column, sho
     df = df.withColumn("__reason", F.when((c("__u") == "") & (c("__unit") == ""), NO_UNIT).when(~is_specific(c("__place")), NO_PLACE).otherwise(""))
     result = lambda address, status, reason, city: F.struct(address.alias("normalized_address"), status.alias("normalization_status"), reason.alias("normalization_reason"), city.alias("resolved_city"))
     no, lit = F.lit(""), F.lit
-    df = df.withColumn(
-        "__r",
-        F.when(strip("__raw") == "", result(no, lit("empty"), lit("前置处理没有取得地址文本"), no))
+    df = stage(
+        df,
+        __r=F.when(strip("__raw") == "", result(no, lit("empty"), lit("前置处理没有取得地址文本"), no))
         .when(c("__clean") == "", result(no, lit("invalid"), lit("清理后没有可用地址"), no))
         .when(c("__why") != "", result(no, lit("conflict"), c("__why"), city_prefix(c("__clean"), shorts)))
         .when(c("__bad") != "", result(no, lit("conflict"), F.concat(lit("原始地址中的下级行政区不属于目标城市："), c("__bad")), c("city_name")))
@@ -132,7 +132,7 @@ def normalize_records(records: DataFrame, contexts: DataFrame, catalog: Catalog,
     df = normalize_values(df, "original_address", target_unit(F.col("attributes")), full, shorts)
     df = df.withColumn("original_address", strip("original_address"))
     other = F.when(F.col("normalized_address") == "", foreign_campus(F.col("place_name"), F.col("city_name"), F.col("city_short"), shorts)).otherwise("")
-    df = df.withColumn("__other", other)
+    df = stage(df, __other=other)
     away = F.col("__other") != ""
     df = df.withColumns({"normalization_status": F.when(away, "conflict").otherwise(F.col("normalization_status")), "normalization_reason": F.when(away, F.concat(F.lit("地点名称包含异地城市校区："), F.col("__other"))).otherwise(F.col("normalization_reason")), "resolved_city": F.when(away, F.col("__other")).otherwise(F.col("resolved_city"))})
     return df.drop("__other", *([] if keep_context else CONTEXT_COLUMNS))

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from placewright.plans.queries import ORACLES, QUERIES
+
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").groupBy("c_mktsegment").count()
+    """Statuses of normalized addresses: the flagship query."""
+    return QUERIES["address_normalize_status"](spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
-def oracles() -> dict:
-    return {}
+def oracles() -> dict[str, str]:
+    return dict(ORACLES)
