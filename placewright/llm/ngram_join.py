@@ -37,6 +37,7 @@ from placewright.llm.exchange import REQUEST, answers, read_answers, requests
 SIZE, NEED = 5, 75
 BLOCK_BYTES, CHUNK = 4 << 20, 1 << 19
 FRAGMENTS = 4
+NO_ID = (1 << 63) - 1
 #: Pairs that one group of a verification has, and parts that a leader's pairs are dealt to.
 PAIRS_PER_GROUP, SPREAD = 1000, 16
 
@@ -170,6 +171,16 @@ def verified(pairs: DataFrame, sets: DataFrame, n_pairs: int, need: int = NEED)
     return total.filter(F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * need).select("a", "b", "overlap")
 
 
+def _sortable(number):
+    """A long as eight bytes in the same order: the node with the least bytes has the least id."""
+    return F.unhex(F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+
+
+def _number(data):
+    """The long that ``_sortable`` wrote."""
+    return F.conv(F.hex(data), 16, -10).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
@@ -182,7 +193,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # equal sets are one node
     small = sets.select("doc_id", F.col("n").alias("n_shingles"), "node")
-    nodes = sets.filter("node is not null").select("node", "tokens").groupBy("node").agg(F.first("tokens").alias("tokens"))
+    nodes = sets.filter("node is not null").groupBy("node").agg(F.first("tokens").alias("tokens"), F.min("doc_id").alias("least"))
+    nodes = nodes.select(F.concat(_sortable(F.coalesce("least", F.lit(NO_ID))), "node").alias("node"), "tokens")
     facts = sets.filter("node is not null").agg(F.sum(F.length("tokens"))).first()[0] or 0
     n_blocks, n_parts = max(8, -(-facts // BLOCK_BYTES)), max(8, facts // (8 << 20))
     ask, keep = _node_steps(n_parts)
@@ -190,11 +202,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     got = answers(nodes.groupBy("block").applyInArrow(ask, REQUEST))
     kept = materialize(nodes.groupBy("block").cogroup(got.groupBy("block")).applyInArrow(keep, "node binary, n long, alone long, tokens binary, prefix array<long>"), "nodes")
 
-    labels = _labels(kept)
+    labels = _labels(kept).select(F.substring("node", 9, 16).alias("node"), F.nullif(_number(F.substring("label", 1, 8)), F.lit(NO_ID)).alias("label"))
     per_node = small.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = per_node.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_node = named.select("node", "label").join(least, "label").select("node", "component_id")
+    of_node = materialize(per_node.join(labels, "node", "left").select("node", F.coalesce("label", "least").alias("component_id")), "named")
     linked = small.filter("node is not null").join(of_node, "node").select("doc_id", "n_shingles", "component_id")
     alone = small.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
@@ -226,8 +236,10 @@ def _labels(kept: DataFrame) -> DataFrame:
     n_rest = rest.count()
     if not n_rest:
         return labels
-    more = verified(rest, kept, n_rest)
-    return components(links.select("a", "b").unionByName(more.select("a", "b")))
+    more = materialize(verified(rest, kept, n_rest).select("a", "b"), "links")
+    if more.isEmpty():
+        return labels
+    return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
