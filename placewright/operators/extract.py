@@ -143,6 +143,82 @@ def inspection(cells: DataFrame, preview: int = 8) -> DataFrame:
     return cells.filter("row_no is not null").groupBy("file", "kind", "location").agg(F.count("*").alias("row_count"), F.max(F.size("cells")).alias("column_count"), shown.alias("preview_rows"))
 
 
+def inspect_sources(items: list[dict], cells: DataFrame, pages: DataFrame, words: Vocabulary, stage: str, city_context=None, decorate: Callable[[dict, list, list], None] | None = None) -> tuple[dict, int]:
+    """(plan to be reviewed, 1 if a file failed) for sources with ``local_files`` and ``derived_files``.
+
+    ``cells`` comes from ``sources.files.cells``, ``pages`` has file and html.  A plan holds a few rules and previews for
+    each declared file, so it is a document of the driver; the tables themselves stay where they are.
+    """
+    wanted: list[str] = []
+    for i, item in enumerate(items, 1):
+        if not isinstance(item, dict) or not isinstance(item.get("local_files"), list) or not item["local_files"]:
+            raise ValueError(f"来源 {i} 缺少 local_files 非空列表")
+        wanted += [" ".join(str(f).split()) for f in [*item["local_files"], *(item.get("derived_files") or [])]]
+    cells, pages = cells.filter(F.col("file").isin(*wanted)), pages.filter(F.col("file").isin(*wanted))
+    as_dicts = lambda df: [json.loads(x) for x in df.toJSON().collect()]
+    by: dict[str, dict[str, list]] = defaultdict(lambda: defaultdict(list))
+    for r in as_dicts(cells.groupBy("file").agg(F.first("status", ignorenulls=True).alias("status"), F.first("error", ignorenulls=True).alias("error"))):
+        by[r["file"]]["status"].append(r)
+    for r in as_dicts(inspection(cells)):
+        by[r.pop("file")]["structures"].append({**r, "location": json.loads(r["location"])})
+    is_html = F.rlike("file", F.lit(r"(?i)\.html?$"))
+    pairs = as_dicts(infer_key_value_rules(cells.filter(is_html), words))
+    for r in pairs:
+        by[r["file"]]["rules"].append({**r, "kind": "html_key_value", "approved": False})
+    labelled = {r["file"] for r in pairs}
+    for r in as_dicts(infer_table_rules(cells.filter("row_no is not null"), words)):
+        if r["file"] not in labelled:
+            by[r["file"]]["rules"].append({**r, "location": json.loads(r["location"]), "data_end_row": None, "place_name_separator": "", "required_cell_values": [], "exclude_rows": [], "approved": False})
+    blocks = block_groups(pages).cache()
+    for r in as_dicts(blocks.select("file", "tag", "classes", "count", "preview")):
+        by[r.pop("file")]["blocks"].append(r)
+    for r in as_dicts(infer_css_rules(blocks, words)):
+        by[r["file"]]["rules"].append({**r, "kind": "html_css", "exclude_rows": [], "approved": False})
+    plans, counts, errors = [], defaultdict(int), 0
+    for item in items:
+        files, rules = [], []
+        for name in [" ".join(str(f).split()) for f in [*item["local_files"], *(item.get("derived_files") or [])]]:
+            seen = by.get(name)
+            state = (seen["status"] or [{"status": None}])[0] if seen else {"status": "error", "error": f"来源文件不存在：{name}"}
+            status = state.get("status") or "error"
+            if status == "manual_review" and any(r["kind"] == "html_css" for r in seen["rules"]):
+                status = "ready"
+            entry = {"file": name, "format": posixpath.splitext(name)[1].lstrip(".").lower(), "inspection_status": status}
+            if status == "error":
+                errors += 1
+                entry["error"] = state.get("error") or ""
+            else:
+                entry |= {"structures": seen["structures"], "repeated_blocks": seen["blocks"]}
+                rules += seen["rules"]
+            if name in (item.get("local_file_urls") or {}):
+                entry["source_url"] = " ".join(str(item["local_file_urls"][name]).split())
+            counts[status] += 1
+            files.append(entry)
+        rules = merged_rules(rules)
+        if decorate:
+            decorate(item, files, rules)
+        plans.append({**item, "files": files, "extraction_rules": rules, "review_status": "pending"})
+    summary = {"source_count": len(plans), "file_count": sum(len(p["files"]) for p in plans), "suggested_rule_count": sum(len(p["extraction_rules"]) for p in plans), "status_counts": dict(sorted(counts.items())), "error_count": errors}
+    return {"stage": stage, "city_context": city_context, "items": plans, "inspection_summary": summary}, int(errors > 0)
+
+
+def merged_rules(rules: list[dict]) -> list[dict]:
+    """``consolidate_rules`` for the few rules of one source, already on the driver."""
+    groups: dict[str, list[dict]] = defaultdict(list)
+    for r in rules:
+        if r["kind"] == "html_key_value":
+            groups[json.dumps({k: v for k, v in r.items() if k != "file"}, ensure_ascii=False, sort_keys=True)].append(r)
+    out = [r for r in rules if r["kind"] != "html_key_value"]
+    for same in groups.values():
+        places = {(posixpath.dirname(r["file"]), posixpath.splitext(r["file"])[1].lower()) for r in same}
+        if len(same) > 1 and len(places) == 1:
+            ((folder, suffix),) = places
+            out.append({**{k: v for k, v in same[0].items() if k != "file"}, "file_pattern": posixpath.join(folder, f"*{suffix}")})
+        else:
+            out += same
+    return out
+
+
 # -- running --------------------------------------------------------------------------------------------
 
 

@@ -26,6 +26,13 @@ def directory_links(pages: DataFrame, allowed_domain: str = "", link_pattern: st
     return _once(found)
 
 
+def link_metrics(manifest: DataFrame, fetched: DataFrame, found: DataFrame) -> DataFrame:
+    """page_count, link_count and error_count of a manifest (page), its fetches (page, error) and its links (page, url)."""
+    per_page = found.groupBy("page").agg(F.count("*").alias("n"))
+    met = manifest.select("page").join(fetched.select("page", F.coalesce("error", F.lit("")).alias("error")), "page", "left").join(per_page, "page", "left")
+    return met.agg(F.count("*").alias("page_count"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("link_count"), F.count_if(F.coalesce("error", F.lit("not fetched")) != "").alias("error_count"))
+
+
 def linked_pages(pages: DataFrame, selector: str, allowed_domain: str = "") -> DataFrame:
     """Links that a selector picks, web addresses of exactly one host, with the file each would be saved as; by address."""
     found = pages.select("page", html_links(F.col("html"), F.lit(""), selector, strict_base=True).alias("l")).select("page", F.explode("l.links").alias("x")).select("page", "x.*")

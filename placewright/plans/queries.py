@@ -277,7 +277,7 @@ def answers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def resolved(spark: SparkSession, d: str) -> DataFrame:
     geocodes, pois = answers(spark, d)
-    return match.resolve_records(normalized(spark, d, keep=True), S.CATALOG, geocodes, pois)
+    return match.resolve_records(normalized(spark, d, keep=True).cache(), S.CATALOG, geocodes, pois)
 
 
 @query()

@@ -228,3 +228,45 @@ def test_stream(spark, tmp_path):
     (folder / "b.json").write_text(json.dumps({**row, "record_id": 2, "original_address": ""}, ensure_ascii=False))
     run()
     assert sorted((r.record_id, r.normalization_status) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, "complete"), (2, "empty")]
+
+
+def test_inspecting_sources(spark):
+    pairs = [["机构名称", "甲"], ["地址", "a"]]
+    rows = [(f"d/{i}.html", "table", '{"table_index": 1}', k, c, "ready", None) for i in (1, 2) for k, c in enumerate(pairs, 1)]
+    rows += [("t.csv", "sheet", '{"sheet": "t"}', k, c, "ready", None) for k, c in enumerate([["名称", "地址"], ["乙", "b"]], 1)] + [("p.html", None, None, None, None, "manual_review", None), ("bad.csv", None, None, None, None, "error", "boom")]
+    html = "<body>" + "".join(f"<div class='b'><h3>第{i}中学</h3><p>文三路{i}号</p></div>" for i in range(3)) + "</body>"
+    items = [{"source_title": "S", "local_files": ["d/1.html", "d/2.html", "t.csv", "p.html"], "derived_files": ["bad.csv", "none.csv"], "local_file_urls": {"t.csv": "https://e.org/t"}}]
+    plan, code = extract.inspect_sources(items, spark.createDataFrame(rows, files.CELLS), spark.createDataFrame([("p.html", html)], "file string, html string"), WORDS, "plan")
+    (item,) = plan["items"]
+    assert code == 1 and plan["inspection_summary"]["status_counts"] == {"error": 2, "ready": 4} and item["review_status"] == "pending"
+    assert sorted((r["kind"], r.get("file") or r.get("file_pattern")) for r in item["extraction_rules"]) == [("html_css", "p.html"), ("html_key_value", "d/*.html"), ("sheet", "t.csv")]
+    assert item["files"][2]["source_url"] == "https://e.org/t" and item["files"][4]["error"] == "boom" and item["files"][0]["structures"][0]["row_count"] == 2
+    with pytest.raises(ValueError, match="local_files"):
+        extract.inspect_sources([{}], spark.createDataFrame(rows, files.CELLS), spark.createDataFrame([("p", "")], "file string, html string"), WORDS, "plan")
+
+
+def test_service_tables_and_tokens(spark):
+    reply = lambda u: (json.dumps({"status": "1", "geocodes": [{"formatted_address": "x", "city": []}], "pois": [{"name": "n"}]}).encode(), u, 200, "")
+    geo = connectors.answers_table(spark, "geocodes", [("a", "c"), ("a", "c")], "https://m", "k", connectors.Window(0), reply).collect()
+    assert len(geo) == 1 and geo[0].candidates[0].formatted_address == "x" and geo[0].candidates[0].city == ""
+    assert connectors.answers_table(spark, "pois", [("n", "c")], "https://m", "").first().error == "未配置 AMAP_KEY"
+    assert list(connectors.district_payloads(["c"], "https://m", "k", connectors.Window(0), reply))[0][2] == ""
+    assert connectors.expiry("2024-01-01 08:00:00") == 1704067200000 and connectors.expiry("x") == 0
+    now, calls = [1704067200.0], []
+
+    def post(path, body):
+        calls.append(path)
+        return {"nonce": "n", "algorithm": "HmacSHA1"} if path == "/getSignature" else {"jwt": f"t{len(calls)}", "expiration": "2024-01-01 08:10:00", "refreshExpiration": "2024-01-01 09:00:00", "refreshJwt": "r"}
+
+    s = connectors.Session("a", "b", post, lambda: now[0])
+    assert s.token() == "t2" and s.token() == "t2"
+    now[0] += 900
+    assert s.token() == "t3" and calls == ["/getSignature", "/getJwt", "/jwt/refresh"]
+    with pytest.raises(connectors.RecognitionConfigError):
+        connectors.Session("", "", post)
+
+
+def test_link_metrics(spark):
+    one = lambda rows, schema: spark.createDataFrame(rows, schema)
+    m = links.link_metrics(one([("a",), ("b",), ("c",)], "page string"), one([("a", ""), ("b", "down")], "page string, error string"), one([("a", "u"), ("a", "v")], "page string, url string")).first()
+    assert tuple(m) == (3, 2, 2)
