@@ -49,7 +49,7 @@ def main(argv: list[str] | None = None) -> int:
     normalized = normalize_records(good, contexts, catalog, keep_context=True)
     if args.geocodes or args.pois:
         table = lambda path, schema: spark.read.schema(schema).json(path) if path else spark.createDataFrame([], schema)
-        done = resolve_records(normalized, catalog, table(args.geocodes, f"query_address string, query_city string, error string, candidates {GEOCODES}"), table(args.pois, f"query_name string, query_city string, error string, candidates {POIS}"))
+        done = resolve_records(normalized, catalog, table(args.geocodes, f"asked_address string, asked_city string, error string, candidates {GEOCODES}"), table(args.pois, f"asked_name string, asked_city string, error string, candidates {POIS}"))
     else:
         done = resolve_without_key(normalized)
     done = done.cache()

@@ -1,7 +1,7 @@
 """Map verification: judging geocodes, matching points of interest, choosing the final address.
 
-Answers of the map service are tables: ``geocodes`` (query_address, query_city, error, candidates) and ``pois``
-(query_name, query_city, error, candidates), one row per query, candidates in the order of the service.  A route
+Answers of the map service are tables: ``geocodes`` (asked_address, asked_city, error, candidates) and ``pois``
+(asked_name, asked_city, error, candidates), one row per query, candidates in the order of the service.  A route
 is worked out first, so only the records that need an answer take part in a join.  Records need a unique
 ``record_id``.
 """
@@ -163,7 +163,7 @@ def _normalized_again(df: DataFrame, column: str, unit: Column, literals: tuple[
 
 def verify_by_geocode(df: DataFrame, geocodes: DataFrame, literals: tuple[Column, Column]) -> DataFrame:
     """Map columns from the best geocode of the normalized address; a query without a row found nothing."""
-    asked = geocodes.select(F.col("query_address").alias("__qa"), F.col("query_city").alias("__qc"), F.coalesce("error", F.lit("")).alias("__error"), F.coalesce("candidates", F.array().cast(GEOCODES)).alias("__c"))
+    asked = geocodes.select(F.col("asked_address").alias("__qa"), F.col("asked_city").alias("__qc"), F.coalesce("error", F.lit("")).alias("__error"), F.coalesce("candidates", F.array().cast(GEOCODES)).alias("__c"))
     df = with_map_columns(df).join(asked, (F.col("normalized_address") == F.col("__qa")) & (F.col("city_name") == F.col("__qc")), "left")
     df = stage(df, __best=F.when(F.coalesce("__error", F.lit("")) == "", best_geocode(F.col("normalized_address"), F.col("city_name"), F.col("__c"))))
     failed = F.coalesce("__error", F.lit("")) != ""
@@ -192,7 +192,7 @@ def search_names() -> Column:
 def find_by_poi(df: DataFrame, pois: DataFrame, literals: tuple[Column, Column]) -> DataFrame:
     """Map columns from points of interest: the first name with exactly one matching address."""
     c = F.col
-    asked = pois.select(c("query_name").alias("__qn"), c("query_city").alias("__qc"), F.coalesce("error", F.lit("")).alias("__error"), F.coalesce("candidates", F.array().cast(POIS)).alias("__c"))
+    asked = pois.select(c("asked_name").alias("__qn"), c("asked_city").alias("__qc"), F.coalesce("error", F.lit("")).alias("__error"), F.coalesce("candidates", F.array().cast(POIS)).alias("__c"))
     unit = target_unit(c("attributes"))
     names = df.select("record_id", "city_name", *CONTEXT_COLUMNS, *RESULT, unit.alias("__unit0"), F.posexplode(search_names()).alias("turn", "name"))
     names = names.join(asked, (c("name") == c("__qn")) & (c("city_name") == c("__qc")), "left")
@@ -289,7 +289,7 @@ def resolve_records(normalized: DataFrame, catalog: Catalog, geocodes: DataFrame
 def resolve_without_key(normalized: DataFrame) -> DataFrame:
     """What a run without access to the map service gives: records that need it get the status ``error``."""
     empty = lambda schema: normalized.sparkSession.createDataFrame([], T._parse_datatype_string(schema))
-    done = resolve_records(normalized, {}, empty(f"query_address string, query_city string, error string, candidates {GEOCODES}"), empty(f"query_name string, query_city string, error string, candidates {POIS}"))
+    done = resolve_records(normalized, {}, empty(f"asked_address string, asked_city string, error string, candidates {GEOCODES}"), empty(f"asked_name string, asked_city string, error string, candidates {POIS}"))
     asks = F.col("route").isin("geocode", "list_geocode", "poi", "list_poi")
     keeps = F.col("route").isin("geocode", "list_geocode")
     official = text("normalized_address")

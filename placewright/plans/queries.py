@@ -267,12 +267,12 @@ def answers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     make = lambda text, district: F.struct(text.alias("formatted_address"), F.lit("浙江省").alias("province"), F.lit("杭州市").alias("city"), district.alias("district"), F.lit("").alias("street"), F.lit("").alias("number"))
     whole = F.concat(F.lit("浙江省"), a)
     options = [make(whole, unit), make(F.concat(whole, F.lit("7号楼")), unit), make(F.regexp_replace(whole, "12号", "15号"), unit), make(F.lit("浙江省杭州市拱墅区文三路12号"), F.lit("拱墅区"))]
-    geocodes = own.select(a.alias("query_address"), F.lit("杭州市").alias("query_city"), F.when(k % 11 == 0, "高德服务错误：busy").otherwise("").alias("error"), F.when(k % 7 == 0, F.array().cast(match.GEOCODES)).when(k % 3 == 0, F.array(options[3], options[2], options[0])).when(k % 3 == 1, F.array(options[1])).otherwise(F.array(options[2], options[3])).alias("candidates"))
-    names = spark.createDataFrame([(n, i) for i, n in enumerate(S.PLACES)], "query_name string, i int")
+    geocodes = own.select(a.alias("asked_address"), F.lit("杭州市").alias("asked_city"), F.when(k % 11 == 0, "高德服务错误：busy").otherwise("").alias("error"), F.when(k % 7 == 0, F.array().cast(match.GEOCODES)).when(k % 3 == 0, F.array(options[3], options[2], options[0])).when(k % 3 == 1, F.array(options[1])).otherwise(F.array(options[2], options[3])).alias("candidates"))
+    names = spark.createDataFrame([(n, i) for i, n in enumerate(S.PLACES)], "asked_name string, i int")
     poi = lambda n, s: F.struct(n.alias("name"), F.lit("杭州市").alias("cityname"), F.lit("西湖区").alias("adname"), s.alias("address"), F.lit("科教文化服务").alias("type"), F.lit("141200").alias("typecode"))
-    n, i = F.col("query_name"), F.col("i")
+    n, i = F.col("asked_name"), F.col("i")
     found = F.when(i % 3 == 0, F.array(poi(F.concat(F.lit("杭州市"), n), F.lit("学院路8号")))).when(i % 3 == 1, F.array(poi(n, F.lit("学院路8号")), poi(n, F.lit("文一路9号")))).otherwise(F.array(poi(F.concat(n, F.lit("北门")), F.lit("学院路8号"))))
-    return geocodes, names.select("query_name", F.lit("杭州市").alias("query_city"), F.lit("").alias("error"), found.alias("candidates"))
+    return geocodes, names.select("asked_name", F.lit("杭州市").alias("asked_city"), F.lit("").alias("error"), found.alias("candidates"))
 
 
 def resolved(spark: SparkSession, d: str) -> DataFrame:

@@ -111,8 +111,8 @@ def test_judging(spark):
     assert spark.range(1).select(match.best_geocode(F.lit(source), F.lit("杭州市"), both)["pos"].alias("p")).first().p == 2
 
 
-GEO = f"query_address string, query_city string, error string, candidates {match.GEOCODES}"
-POI = f"query_name string, query_city string, error string, candidates {match.POIS}"
+GEO = f"asked_address string, asked_city string, error string, candidates {match.GEOCODES}"
+POI = f"asked_name string, asked_city string, error string, candidates {match.POIS}"
 
 
 def test_resolution(spark):
