@@ -8,6 +8,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -70,6 +72,16 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _release_at_exit() -> None:
+    with contextlib.suppress(Exception):  # the session may be gone by then
+        spark = SparkSession.getActiveSession()
+        if spark is not None:
+            release(spark)
+
+
+atexit.register(_release_at_exit)
+
+
 def map_arrow(df: DataFrame, work: Callable[[pa.Table], Iterator[pa.RecordBatch | pa.Table] | pa.Table], schema: str) -> DataFrame:
     """``mapInArrow`` over batches; ``work`` gets one table for each batch."""
 

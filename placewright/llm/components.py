@@ -18,9 +18,10 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "links")
     while not _are_stars(edges):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        under = large.groupBy("u").agg(F.min("v").alias("m"))
+        # the least neighbours are written too: a join of two tables can be split where a node has very many links
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
+        large = materialize(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v"), "large")
+        under = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "under")
         small = large.join(under, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         edges = materialize(small.union(under.select("u", F.col("m").alias("v"))).distinct(), "links")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select("v", "v").distinct())
