@@ -25,29 +25,35 @@ from placewright.llm.piece_codec import piece_digests
 from placewright.llm.suffix_dedup import without_repeats
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _begin(spark: SparkSession) -> None:
+    """Drop what earlier stages left, and keep batches small: five stages share the same Python workers."""
     release(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark)
     return predict(docs, learn(docs), docs.columns).filter("lang_pred <> 'und'").select(*docs.columns)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)
+    _begin(spark)
     first = jaccard_components(docs).groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     return docs.dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi")
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)
+    _begin(spark)
     return without_repeats(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)
+    _begin(spark)
     return mixed_documents(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)
+    _begin(spark)
     return piece_digests(docs)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -72,6 +73,17 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows that one call of a batch function gets.
+BATCH_ROWS = 1000
+
+
+def trim() -> None:
+    """Give memory that a worker no longer needs back to the machine; workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _release_at_exit() -> None:
     with contextlib.suppress(Exception):  # the session may be gone by then
         spark = SparkSession.getActiveSession()
@@ -86,11 +98,13 @@ def map_arrow(df: DataFrame, work: Callable[[pa.Table], Iterator[pa.RecordBatch
     """``mapInArrow`` over batches; ``work`` gets one table for each batch."""
 
     def run(batches):
+        trim()
         for batch in batches:
-            if batch.num_rows:
-                made = work(pa.Table.from_batches([batch]))
+            for begin in range(0, batch.num_rows, BATCH_ROWS):
+                made = work(pa.Table.from_batches([batch.slice(begin, BATCH_ROWS)]))
                 for part in [made] if isinstance(made, pa.Table) else made:
                     yield from part.to_batches()
+        trim()
 
     return df.mapInArrow(run, schema)
 

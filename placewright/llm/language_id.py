@@ -33,7 +33,7 @@ DOCS_PER_LANGUAGE = 1500
 ROUNDS = 3
 #: Probability of a character outside the vocabulary, weight of the pooled estimate, floor of a piece.
 UNKNOWN, POOL, FLOOR = 1e-7, 50.0, 1e-9
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -93,7 +93,7 @@ class Pieces:
         return out
 
 
-def _groups(words: list[str], limit: int = 400_000):
+def _groups(words: list[str], limit: int = 120_000):
     """(positions, code points) of words of one length, at most about ``limit`` characters together."""
     by: dict[int, list[int]] = {}
     for i, w in enumerate(words):
