@@ -1,7 +1,8 @@
 """A corpus pipeline over ``documents``: five stages, each a training-data operator at work on what is left.
 
 1. ``language_id``: documents without a language (no text, or no letter in it) go.
-2. ``ngram_join``: of each group of near-duplicates the document with the smallest id stays.
+2. ``ngram_join``: of each group of near-duplicates the document with the smallest id stays (nulls last; among equal
+   ids, the least digest of the text).  Rows have numbers of their own here, so null and repeated ids lose nothing.
 3. ``suffix_dedup``: strings of 50 bytes that also start in a document with a smaller id are cut out, in whole
    characters; documents of which nothing is left go.
 4. ``mixing``: the sources are mixed to their target weights; a document appears once for each whole pass of the mix,
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewright.llm.common import materialize, read, release
+from placewright.llm.common import ROW, materialize, numbered, read, release, text_bytes
 from placewright.llm.language_id import learn, predict
 from placewright.llm.mixing import mixed_documents
 from placewright.llm.ngram_join import jaccard_components
@@ -38,8 +39,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _begin(spark)
-    first = jaccard_components(docs).groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    return docs.dropDuplicates(["doc_id"]).join(first, "doc_id", "left_semi")
+    rows = numbered(docs, "rows")
+    # what is first must not depend on the numbers: id, text, then the other columns
+    order = rows.select(ROW, F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2(text_bytes(), 256), F.xxhash64(*docs.columns), ROW).alias("order"))
+    parts = jaccard_components(rows, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    first = parts.join(order, ROW).groupBy("component_id").agg(F.min("order").alias("order")).select(f"order.{ROW}")
+    return rows.join(first, ROW, "left_semi").select(*docs.columns)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,6 +73,18 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Column that ``numbered`` adds.
+ROW = "__row"
+
+
+def numbered(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written with a number for each row: a key where ids are null or repeated.
+
+    It is written, so every reader sees the same numbers; they depend on the partitions and must not decide a result.
+    """
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), tag)
+
+
 #: Rows that one call of a batch function gets.
 BATCH_ROWS = 1000
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from placewright.llm.common import SPACE_BYTES, map_arrow, materialize, mix64, n_words, read
+from placewright.llm.common import ROW, SPACE_BYTES, map_arrow, materialize, mix64, n_words, numbered, read
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
@@ -137,24 +137,31 @@ def slot_table(spark: SparkSession, plan: pd.DataFrame, block_words: int, seed:
     return map_arrow(rows, work, "shard long, skey string, slot long, epoch long, block long, take long, extra boolean")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """Per row: doc_id, size, source_size, target, epochs (whole passes), ranges (word ranges taken besides), taken."""
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, block_words: int = BLOCK_WORDS, seed: int = SEED, row_col: str | None = None) -> DataFrame:
+    """Per row: doc_id, size, source_size, target, epochs (whole passes), ranges (word ranges taken besides), taken.
+
+    ``row_col``, a unique number of the rows, is carried to the result; rows that share an id or have none are then
+    placed by a digest of their text.
+    """
     spark = docs.sparkSession
+    own = [row_col] if row_col else []
+    by_text = [F.sha2(F.col(text_col).cast("string").cast("binary"), 256).alias("__sha")] if row_col else []
+    hashed = lambda salt: F.when(F.col("doc_id").isNull(), F.xxhash64("__sha", F.lit(salt))).otherwise(F.xxhash64("doc_id", F.lit(salt))) if row_col else F.xxhash64("doc_id", F.lit(salt))
     skey = F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col)))
-    base = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), skey.alias("skey"), n_words(F.col(text_col)).alias("size")), "sizes")
+    base = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), skey.alias("skey"), n_words(F.col(text_col)).alias("size"), *own, *by_text), "sizes")
     found = base.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     sizes = [(r["source"], int(r["size"])) for r in found]
     goal = targets(sizes, weights, limit)
     plan = _plan(sizes, goal, block_words)
 
     buckets = max(64, -(-sum(r["n"] for r in found) // BUCKET_ROWS))
-    rows = base.filter("size > 0").withColumn("__b", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(buckets)))
+    rows = base.filter("size > 0").withColumn("__b", F.pmod(hashed(seed), F.lit(buckets)))
     sums = rows.groupBy("skey", "__b").agg(F.sum("size").alias("__n"))
     before = Window.partitionBy("skey").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("skey", "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("skey", "__b").orderBy(F.xxhash64("doc_id", F.lit(seed + 1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("skey", "__b").orderBy(hashed(seed + 1), "doc_id", "size", *(["__sha", row_col] if row_col else [])).rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("start", F.sum("size").over(inside) - F.col("size")).join(offsets, ["skey", "__b"])
-    placed = placed.withColumn("start", F.col("start") + F.col("__before")).select("doc_id", "skey", "size", "start")
+    placed = placed.withColumn("start", F.col("start") + F.col("__before")).select("doc_id", "skey", "size", "start", *own)
 
     width = F.lit(block_words)
     last = F.floor((F.col("start") + F.col("size") - 1) / width)
@@ -164,20 +171,24 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     met = spans.join(extra, ["skey", "block"], "left")
     upto = F.least(F.col("hi"), F.col("block") * width + F.col("take"))
     piece = F.when(F.col("take").isNotNull() & (upto > F.col("lo")), F.struct((F.col("lo") - F.col("start")).alias("begin"), (upto - F.col("start")).alias("end")))
-    done = met.groupBy("skey", "start", "doc_id", "size").agg(F.sort_array(F.collect_list(piece)).alias("ranges"))
-    blank = base.filter("size = 0").select("skey", F.lit(0).cast("long").alias("start"), "doc_id", "size", F.lit(None).cast("array<struct<begin:bigint,end:bigint>>").alias("ranges"))
+    done = met.groupBy("skey", "start", "doc_id", "size", *own).agg(F.sort_array(F.collect_list(piece)).alias("ranges"))
+    blank = base.filter("size = 0").select("skey", F.lit(0).cast("long").alias("start"), "doc_id", "size", *own, F.lit(None).cast("array<struct<begin:bigint,end:bigint>>").alias("ranges"))
     table = pd.DataFrame([(_key(s), n, goal[s]) for s, n in sizes], columns=["skey", "source_size", "target"])
     whole = {r.skey: int(r.epochs) for r in plan.itertuples()}
     table["epochs"] = [whole.get(k, 0) for k in table["skey"]]
     named = spark.createDataFrame(table, "skey string, source_size long, target double, epochs long")
     extra_words = F.aggregate(F.coalesce("ranges", F.array().cast("array<struct<begin:bigint,end:bigint>>")), F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["begin"])
-    return done.unionByName(blank).join(named, "skey").select("doc_id", "size", "source_size", "target", "epochs", "ranges", (F.col("epochs") * F.col("size") + extra_words).alias("taken"))
+    return done.unionByName(blank).join(named, "skey").select("doc_id", "size", "source_size", "target", "epochs", "ranges", (F.col("epochs") * F.col("size") + extra_words).alias("taken"), *own)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix as rows of ``docs`` (unique ids): a whole copy for each epoch, then the words taken besides."""
-    taken = mix(docs).filter("taken > 0").select("doc_id", "epochs", "ranges")
-    kept = docs.columns
+    """The mix as rows of ``docs``: a whole copy for each epoch, then the words taken besides.
+
+    Rows meet what is taken of them by a number of their own, so null and repeated ids are whole.
+    """
+    kept, schema = docs.columns, docs.schema
+    docs = numbered(docs, "rows")
+    taken = mix(docs, row_col=ROW).filter("taken > 0").select(ROW, "epochs", "ranges")
 
     def work(table: pa.Table):
         at, texts, wanted = [], [], table["ranges"].to_pylist()
@@ -192,7 +203,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         rows = table.take(pa.array(at, pa.int64()))
         yield pa.table([pa.array(texts, pa.string()) if k == "text" else rows[k] for k in kept], names=kept)
 
-    return map_arrow(docs.join(taken, "doc_id"), work, docs.schema)
+    return map_arrow(docs.join(taken, ROW), work, schema)
 
 
 def _word_edges(data: bytes) -> tuple[list[int], list[int]]:

@@ -362,3 +362,27 @@ def test_pipeline_against_plain_stages(spark, tmp_path):
     want = sorted((r["doc_id"], len(model.encode(r["text"], add_eos=True))) for r in out["mixing"])
     assert sorted((r["doc_id"], r["n_tokens"]) for r in out["sentencepiece"]) == want
     assert sorted((r.doc_id, r.n_tokens) for r in corpus_pipeline.run(spark, d).collect()) == want
+
+
+def test_pipeline_keeps_rows_with_null_and_repeated_ids(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = [cases.words(100 + i, 60, 100_000) for i in range(12)]
+    ids = [None, None, None, 7, 7, 7, None, 7, 1, 2, 3, 4]
+    near = texts[3] + " more"
+    data = [(i, t, "en", "s", len(t)) for i, t in zip(ids, texts, strict=True)]
+    data += [data[0], data[3], (9, near, "en", "s", len(near)), (None, texts[8], "en", "s", 1)]
+    key = lambda rows: sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in rows)
+    want = sorted((i is None, i or 0, t) for i, t in zip(ids, texts, strict=True))
+    for order in (data, data[::-1]):
+        docs = spark.createDataFrame(order, schema).repartition(3)
+        kept = corpus_pipeline.ngram_join(spark, docs, "")
+        assert kept.columns == docs.columns and key(kept.collect()) == want
+    kept = spark.createDataFrame(kept.collect(), schema)
+    assert key(corpus_pipeline.suffix_dedup(spark, kept, "").collect()) == want
+    # one source is taken exactly once as a whole; equal rows are rows of their own
+    twice = kept.union(kept.filter("doc_id is null"))
+    mixed = corpus_pipeline.mixing(spark, twice, "")
+    assert mixed.columns == docs.columns and key(mixed.collect()) == key(twice.collect())
+    # what a part of a pass takes does not depend on the order of the rows
+    two = kept.withColumn("source", mixing.F.when(mixing.F.length("text") % 2 == 0, "a").otherwise("b"))
+    assert key(corpus_pipeline.mixing(spark, two, "").collect()) == key(corpus_pipeline.mixing(spark, two.orderBy("text").repartition(5), "").collect())
