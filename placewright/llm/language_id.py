@@ -34,6 +34,8 @@ ROUNDS = 3
 #: Probability of a character outside the vocabulary, weight of the pooled estimate, floor of a piece.
 UNKNOWN, POOL, FLOOR = 1e-7, 50.0, 1e-9
 CACHED_WORDS = 100_000
+#: The first step of a pass whose sums are divided; all steps before it have scale 0.
+SCALED = 16
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -125,8 +127,8 @@ def _forward(rows: np.ndarray, prob: np.ndarray, reverse: bool = False) -> tuple
             if k == 0:
                 p = np.where(rows[:, at if reverse else other, 0, None] == 0, UNKNOWN, p)
             value = a[:, other] * p
-            total += value if step < 24 else value * np.exp(scale[:, other] - base)
-        if step >= 16 and step % 8 == 0:
+            total += value if step <= SCALED else value * np.exp(scale[:, other] - base)
+        if step >= SCALED and step % 8 == 0:
             divide = np.maximum(total, 1e-300)
             total, base = total / divide, base + np.log(divide)
         a[:, at], scale[:, at] = total, base

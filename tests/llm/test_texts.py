@@ -181,6 +181,28 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(long).all() and (long[0] < -700).all()
 
 
+def test_forward_sums_all_segmentations_of_long_words():
+    pieces = language_id.Pieces()
+    prob = np.random.default_rng(2).uniform(0, 0.01, (len(pieces.names) + 1, 2))
+    prob[0] = 0
+    rows = {p: i for i, p in enumerate(pieces.names, 1)}
+    languages = language_id.Languages(["a", "b"], np.zeros(2), prob)
+
+    def p(piece):
+        return prob[rows[piece]] if piece in rows else np.full(2, language_id.UNKNOWN if len(piece) == 1 else 0.0)
+
+    for n in [*range(14, 41), 90]:
+        word = "▁" + ("donaudampfschifffahrtsgesellschaft" * 3)[:n]
+        ahead, behind = [np.ones(2)], [np.ones(2)]  # sums over segmentations of each prefix and each suffix
+        for k in range(1, len(word) + 1):
+            ahead.append(sum(ahead[k - m] * p(word[k - m : k]) for m in range(1, min(k, pieces.longest) + 1)))
+            behind.append(sum(behind[k - m] * p(word[len(word) - k : len(word) - k + m]) for m in range(1, min(k, pieces.longest) + 1)))
+        assert np.allclose(languages.log_likelihood([word[1:]], pieces)[0], np.log(ahead[-1]), rtol=1e-9)
+        ((_, codes),) = language_id._groups([word[1:]])
+        b, scale = language_id._forward(pieces.rows(codes), prob, reverse=True)
+        assert np.allclose((np.log(b) + scale)[0, ::-1], np.log(behind), rtol=1e-9)
+
+
 # -- mixing ---------------------------------------------------------------------------------------------
 
 
