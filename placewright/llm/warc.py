@@ -8,7 +8,8 @@ reruns agree.
 
 Defined results: null or empty bytes have no records; a response without an HTTP head counts as all payload; bytes
 that can't be decoded become U+FFFD; repeated responses give repeated records; very long payloads are converted
-whole.  A truncated last record is read as far as it goes.  Other columns are not read.
+whole, and so are very long headers.  A header that the next record begins in is skipped.  A truncated last record
+is read as far as it goes.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -83,6 +84,16 @@ def value_of(headers: Headers, name: str, default: str = "") -> str:
     return next((v for k, v in headers if k.lower() == name.lower()), default)
 
 
+_NEXT = re.compile(rb"\nWARC/\d+\.\d+\r?\n")
+
+
+def _head_end(data: bytes, at: int) -> int:
+    """Where the header of the record at ``at`` ends, -1 without an end: at a blank line, ended as its first line is."""
+    line = data.find(b"\n", at)
+    ends = (b"\r\n\r\n", b"\n\n") if data[line - 1 : line] == b"\r" else (b"\n\n", b"\r\n\r\n")
+    return next((k + len(e) for e in ends if (k := data.find(e, at)) >= 0), -1)
+
+
 def parse(data: bytes | None) -> Iterator[tuple[Headers, bytes]]:
     """(headers, block) of each record."""
     rest = _plain(data or b"")
@@ -91,9 +102,14 @@ def parse(data: bytes | None) -> Iterator[tuple[Headers, bytes]]:
         at = rest.find(b"WARC/", at)
         if at < 0:
             return
-        _, headers, size = _head(rest[at:] if len(rest) - at < 65536 else rest[at : at + 65536])
-        if not size:
+        end = _head_end(rest, at)
+        if end < 0:  # no blank line follows, so no later header is whole either
             return
+        broken = _NEXT.search(rest, at, end)
+        if broken:
+            at = broken.start() + 1
+            continue
+        _, headers, size = _head(rest[at:end])
         n = value_of(headers, "Content-Length", "0")
         n = int(n) if n.isdigit() else 0
         yield headers, rest[at + size : at + size + n]

@@ -345,6 +345,18 @@ def test_warc_query(spark, tmp_path):
     assert {r.text_bytes for r in got if r.page_id == 1} == {1} and next(r.text_bytes for r in got if r.page_id == 3) == 249999
 
 
+def test_warc_long_and_broken_headers(spark, tmp_path):
+    date, url = "2024-01-01T00:00:00Z", "http://e.org/" + "u" * 70_000
+    parts = [warc.response(url, date, b"<p>one</p>"), warc.response("http://e.org/2", date, b"<p>two</p>" * 9000), b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://cut", b"\r\n", warc.response("http://e.org/3", date, b"a\r\n\r\nb")]
+    parts.append(warc.response("http://e.org/4", date, b"x").replace(b"\r\n", b"\n", 10))  # its header has LF only
+    got = list(warc.parse(b"".join(parts)))
+    assert [warc.value_of(h, "WARC-Target-URI") for h, _ in got] == [url, *(f"http://e.org/{k}" for k in (2, 3, 4))]
+    assert all(warc.digest(b) == warc.value_of(h, "WARC-Block-Digest") for h, b in got)
+    data = [(1, url, "<p>x</p>"), (2, "http://a.b/", "<p>yy</p>")]
+    rows = warc.op7_warc(spark, cases.write(spark, tmp_path, data, "page_id long, url string, html string", "pages")).collect()
+    assert sorted((r.page_id, r.text_bytes) for r in rows) == [(1, 1), (2, 2)]
+
+
 # -- all together ---------------------------------------------------------------------------------------
 
 
