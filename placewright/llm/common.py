@@ -14,6 +14,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -49,40 +50,65 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-_written: list[str] = []
+class Tables:
+    """Helper tables of one piece of work; whoever owns the work drops them once its results are written."""
 
+    def __init__(self):
+        self.paths: list[str] = []
+        _all.append(self)
 
-def materialize(df: DataFrame, tag: str, hold: bool = False) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: a reliable cut of the lineage.
+    def drop(self, spark: SparkSession) -> None:
+        jvm = spark.sparkContext._jvm
+        while self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if self in _all[1:]:
+            _all.remove(self)
 
-    ``hold`` keeps the table when ``release`` drops the others.
-    """
+
+_all: list[Tables] = []
+#: Tables without another owner live as long as the session.
+_owner: ContextVar[Tables] = ContextVar("owner", default=Tables())  # noqa: B039
+
+
+@contextlib.contextmanager
+def owned() -> Iterator[Tables]:
+    """Tables written inside belong to the value given, not to the session."""
+    tables = Tables()
+    token = _owner.set(tables)
+    try:
+        yield tables
+    finally:
+        _owner.reset(token)
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again: a reliable cut of the lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    if not hold:
-        _written.append(path)
+    _owner.get().paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Drop the tables that ``materialize`` wrote, once the results made of them have been written."""
-    jvm = spark.sparkContext._jvm
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores ahead until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 #: Column that ``numbered`` adds.
 ROW = "__row"
 
 
-def numbered(df: DataFrame, tag: str) -> DataFrame:
+def numbered(df: DataFrame, tag: str, name: str = ROW) -> DataFrame:
     """``df`` written with a number for each row: a key where ids are null or repeated.
 
     It is written, so every reader sees the same numbers; they depend on the partitions and must not decide a result.
     """
-    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), tag)
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), tag)
 
 
 #: Rows that one call of a batch function gets.
@@ -99,8 +125,8 @@ def trim() -> None:
 def _release_at_exit() -> None:
     with contextlib.suppress(Exception):  # the session may be gone by then
         spark = SparkSession.getActiveSession()
-        if spark is not None:
-            release(spark)
+        for tables in list(_all) if spark is not None else []:
+            tables.drop(spark)
 
 
 atexit.register(_release_at_exit)

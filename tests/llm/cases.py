@@ -89,11 +89,11 @@ def repeated(docs, length=50):
 
 
 def top(vectors, k=10):
-    """(query_id, rank, vec_id, score) over whole-number vectors."""
+    """(query_id, rank, vec_id, score) over rows (vec_id, whole-number vector)."""
     out = []
-    for q, v in vectors.items():
+    for at, (q, v) in enumerate(vectors):
         if q % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, x, strict=False)), i) for i, x in vectors.items() if i != q)[:k]
+            scored = sorted((-sum(a * b for a, b in zip(v, x, strict=False)), i) for n, (i, x) in enumerate(vectors) if n != at)[:k]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
     return sorted(out)
 

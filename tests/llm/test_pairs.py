@@ -95,11 +95,18 @@ def test_top_k_against_brute_force(spark, tmp_path):
     rows = [(i, v, "extra", 1) for i, v in data.items()]
     rows += [(2, None, "n", 2), (5, [0.1, None], "n", 2), (8, [float("nan")] * 8, "n", 2), (11, [float("inf")] * 8, "n", 2), (None, [0.1] * 8, None, None), (0, data[0], "again", 3), (14, [0.25], "short", 4)]
     d = cases.write(spark, tmp_path, rows, "vec_id long, embedding array<float>, `rank` string, cell int", "embeddings")
-    ints = {i: [int(np.floor(float(np.float32(x)) * 1024)) for x in v] for i, v in [*data.items(), (14, [0.25])]}
+    ints = [(i, [int(np.floor(float(np.float32(x)) * 1024)) for x in v]) for i, v in [*data.items(), (14, [0.25]), (0, data[0])]]
     got = sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in knn.op8_topk(spark, d).collect())
     assert got == cases.top(ints)
 
 
+def test_top_k_repeated_ids_are_rows_of_their_own(spark, tmp_path):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (3, [0.5, 0.5]), (3, [2.0, 2.0]), (100, [-1.0, 4.0])]
+    d = cases.write(spark, tmp_path, rows, "vec_id long, embedding array<float>", "embeddings")
+    got = sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in knn.op8_topk(spark, d).collect())
+    assert got == cases.top([(i, [int(x * 1024) for x in v]) for i, v in rows])
+
+
 def test_top_k_few_candidates(spark, tmp_path):
     d = cases.write(spark, tmp_path, [(0, [1.0, 2.0]), (100, [3.0, -1.0])], "vec_id long, embedding array<float>", "embeddings")
     assert sorted((x.query_id, x["rank"], x.vec_id) for x in knn.op8_topk(spark, d).collect()) == [(0, 1, 100), (100, 1, 0)]
