@@ -5,28 +5,32 @@ The words of a source, its documents in a pseudorandom but fixed order, are pack
 size with the excess reshared; it is met by slots: whole epochs over all blocks, then a part of one more, whose
 last slot may take the beginning of a block only, so the words taken are the rounded target exactly.  Every output
 shard draws its source counts from a multinomial over the slots not yet dealt, so shards vary as independent draws
-do while the totals hold.  A slot finds its block through a permutation of the block numbers, one for each source
-and epoch (a Feistel network with cycle walking: no table), and blocks meet documents in a join by block number.
-
-What visits the driver is one row per source and one per shard and source.  Documents are placed by counts of
-salted buckets, so a hot source is spread over all tasks.
-
-Defined results: a null or blank text has size 0 and nothing is taken; null sources form one source, after all
-others; sources without words have target 0; repeated rows are rows of their own; an empty table gives no rows;
-other columns pass by unread.  Reruns agree, as everything is seeded.
+do while the totals hold.  The draws halve the range of shards again and again, each half with a seed of its own,
+so a task finds the counts of its shards without those of the others.  A slot finds its block through a permutation
+of the block numbers, one for each source and epoch (a Feistel network with cycle walking: no table), and blocks meet
+documents in a join by block number: ``mixed_slots`` is what the shards hold, and all totals are counted from it.
+
+What visits the driver is one row per source.  Documents are placed by counts of salted buckets, so a hot source is
+spread over all tasks.
+
+Defined results: a null or blank text has size 0 and nothing is taken; a very long text spans as many blocks as it
+fills; null sources form one source, after all others; sources without words have target 0; repeated rows are rows
+of their own, and which of two equal rows has which words is left open; an empty table gives no rows; other columns
+pass by unread, whatever their names.  Reruns agree, as everything is seeded.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from placewright.llm.common import ROW, SPACE_BYTES, map_arrow, materialize, mix64, n_words, numbered, read
+from placewright.llm.common import SPACE_BYTES, free_name, map_arrow, materialize, mix64, n_words, numbered, read
 
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
@@ -75,135 +79,193 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def draws(slots: list[int], n_shards: int, seed: int = SEED) -> np.ndarray:
-    """Slots of each source (columns) in each shard (rows): multinomial draws from those not yet dealt."""
-    rng, left = np.random.default_rng(seed), np.array(slots, dtype=np.int64)
-    out = np.zeros((n_shards, len(slots)), dtype=np.int64)
-    for shard in range(n_shards):
-        need = int(left.sum()) // (n_shards - shard)
+def deal(slots: np.ndarray, n_shards: int, low: int, high: int, seed: int = SEED) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(shard, first slot and number of slots of each source) for the shards from ``low`` to ``high``."""
+    todo = [(0, n_shards, slots, np.zeros_like(slots))]
+    while todo:
+        a, b, left, first = todo.pop()
+        if b <= low or a >= high:
+            continue
+        if b - a == 1:
+            yield a, first, left
+            continue
+        middle, rest = (a + b) // 2, left.copy()
+        need = int(left.sum()) * (middle - a) // (b - a)
+        rng = np.random.default_rng([seed, a, b])
         while need:
-            got = np.minimum(rng.multinomial(need, left / left.sum()), left)
-            out[shard] += got
-            left -= got
+            got = np.minimum(rng.multinomial(need, rest / rest.sum()), rest)
+            rest = rest - got
             need -= int(got.sum())
-    return out
+        taken = left - rest
+        todo += [(middle, b, rest, first + taken), (a, middle, taken, first)]
+
+
+def draws(slots: list[int], n_shards: int, seed: int = SEED) -> np.ndarray:
+    """Slots of each source (columns) in each shard (rows): multinomial draws from those not yet dealt."""
+    return np.array([n for _, _, n in deal(np.array(slots, dtype=np.int64), n_shards, 0, n_shards, seed)])
 
 
-def _plan(sizes: list[tuple[str | None, int]], goal: dict, block_words: int) -> pd.DataFrame:
-    """One row per shard and source with slots: which slots, and how they map to blocks."""
-    rows = []
+class Share(NamedTuple):
+    """The slots of one source: ``epochs`` whole passes over its blocks, then some more, the last of ``part`` words."""
+
+    skey: str
+    number: int
+    full: int
+    tail: int
+    epochs: int
+    part: int
+    slots: int
+
+
+def shares(sizes: list[tuple[str | None, int]], goal: dict, block_words: int) -> list[Share]:
+    out = []
     for i, (source, size) in enumerate(sorted(sizes, key=lambda x: (x[0] is None, x[0] or ""))):
-        if not size:
-            continue
-        full, tail = divmod(size, block_words)
-        epochs, rest = divmod(round(goal[source]), size)
-        whole, part = divmod(rest, block_words)
-        slots = epochs * (full + (tail > 0)) + whole + (part > 0)
-        rows.append((_key(source), i, full, tail, epochs, part, slots))
-    n = sum(r[-1] for r in rows)
-    dealt = draws([r[-1] for r in rows], max(16, -(-n // SLOTS_PER_SHARD))) if n else np.zeros((0, len(rows)), int)
-    begin = np.cumsum(dealt, axis=0) - dealt
-    parts = [(k, *r, int(begin[k, j]), int(dealt[k, j])) for k in range(len(dealt)) for j, r in enumerate(rows) if dealt[k, j]]
-    return pd.DataFrame(parts, columns=["shard", "skey", "number", "full", "tail", "epochs", "part", "slots", "first", "n"])
+        if size:
+            full, tail = divmod(size, block_words)
+            epochs, rest = divmod(round(goal[source]), size)
+            whole, part = divmod(rest, block_words)
+            out.append(Share(_key(source), i, full, tail, epochs, part, epochs * (full + (tail > 0)) + whole + (part > 0)))
+    return out
 
 
 def _key(source: str | None) -> str:
     return "n" if source is None else f"s{source}"
 
 
-PLAN = "shard long, skey string, number long, full long, tail long, epochs long, part long, slots long, first long, n long"
+SLOTS = "shard long, skey string, slot long, epoch long, block long, take long"
 
 
-def slot_table(spark: SparkSession, plan: pd.DataFrame, block_words: int, seed: int = SEED) -> DataFrame:
-    """Every slot of the mix: shard, skey, slot, epoch, block, the words it takes, and whether its epoch is not whole."""
+def slot_table(spark: SparkSession, plan: list[Share], block_words: int, seed: int = SEED, slots_per_shard: int = SLOTS_PER_SHARD) -> DataFrame:
+    """Every slot of the mix: shard, skey, slot, epoch, block and the words it takes from the block."""
+    slots = np.array([r.slots for r in plan], dtype=np.int64)
+    n_shards = max(16, -(-int(slots.sum()) // slots_per_shard)) if len(slots) else 0
+
+    def of_source(r: Share, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        epoch, k = np.divmod(j, r.full + (r.tail > 0))
+        block = k.copy()
+        for e in np.unique(epoch).tolist():
+            at = np.flatnonzero((epoch == e) & (k < r.full))
+            block[at] = permute(k[at], r.full, seed * 1_000_003 + r.number * 8191 + e)
+        take = np.where(k < r.full, block_words, r.tail)
+        if r.part:
+            take[j == r.slots - 1] = r.part
+        return epoch, block, take
 
     def work(table: pa.Table):
-        for r in table.to_pylist():
-            each = r["full"] + (r["tail"] > 0)
-            for begin in range(r["first"], r["first"] + r["n"], 100_000):
-                j = np.arange(begin, min(begin + 100_000, r["first"] + r["n"]))
-                epoch, k = j // each, j % each
-                block = k.copy()
-                for e in np.unique(epoch).tolist():
-                    at = np.flatnonzero((epoch == e) & (k < r["full"]))
-                    block[at] = permute(k[at], r["full"], seed * 1_000_003 + r["number"] * 8191 + e)
-                take = np.where(k < r["full"], block_words, r["tail"])
-                if r["part"]:
-                    take[j == r["slots"] - 1] = r["part"]
-                n = len(j)
-                yield pa.table([pa.array([r["shard"]] * n, pa.int64()), pa.array([r["skey"]] * n), j, epoch, block, take, epoch >= r["epochs"]], names=["shard", "skey", "slot", "epoch", "block", "take", "extra"])
-
-    rows = spark.createDataFrame(plan, PLAN).repartition(max(1, min(len(plan), 512)), "shard", "skey")
-    return map_arrow(rows, work, "shard long, skey string, slot long, epoch long, block long, take long, extra boolean")
+        ids = table["id"].to_pylist()
+        for shard, first, n in deal(slots, n_shards, ids[0], ids[-1] + 1, seed):
+            for i in np.flatnonzero(n).tolist():
+                for begin in range(int(first[i]), int(first[i] + n[i]), 100_000):
+                    j = np.arange(begin, min(begin + 100_000, int(first[i] + n[i])))
+                    yield pa.table([pa.array(np.full(len(j), shard)), pa.array([plan[i].skey] * len(j), pa.string()), j, *of_source(plan[i], j)], names=["shard", "skey", "slot", "epoch", "block", "take"])
 
+    return map_arrow(spark.range(0, n_shards, 1, max(1, min(n_shards, 512))), work, SLOTS)
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, block_words: int = BLOCK_WORDS, seed: int = SEED, row_col: str | None = None) -> DataFrame:
-    """Per row: doc_id, size, source_size, target, epochs (whole passes), ranges (word ranges taken besides), taken.
 
-    ``row_col``, a unique number of the rows, is carried to the result; rows that share an id or have none are then
-    placed by a digest of their text.
-    """
-    spark = docs.sparkSession
-    own = [row_col] if row_col else []
-    by_text = [F.sha2(F.col(text_col).cast("string").cast("binary"), 256).alias("__sha")] if row_col else []
-    hashed = lambda salt: F.when(F.col("doc_id").isNull(), F.xxhash64("__sha", F.lit(salt))).otherwise(F.xxhash64("doc_id", F.lit(salt))) if row_col else F.xxhash64("doc_id", F.lit(salt))
-    skey = F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col)))
-    base = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), skey.alias("skey"), n_words(F.col(text_col)).alias("size"), *own, *by_text), "sizes")
-    found = base.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    sizes = [(r["source"], int(r["size"])) for r in found]
-    goal = targets(sizes, weights, limit)
-    plan = _plan(sizes, goal, block_words)
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, own: list[str]) -> DataFrame:
+    """doc_id, skey, size and a pseudorandom place of every row, written."""
+    source = F.col(source_col).cast("string")
+    place = F.xxhash64(F.col(id_col), F.col(text_col))  # rows without an id, or that share one, are spread by their texts
+    return materialize(docs.select(F.col(id_col).alias("doc_id"), source.alias("source"), _skey(source).alias("skey"), n_words(F.col(text_col)).alias("size"), place.alias("place"), *own), "sizes")
+
+
+def _skey(source: Column) -> Column:
+    return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source))
+
+
+def _starts(base: DataFrame, n_rows: int, seed: int, own: list[str]) -> DataFrame:
+    """The rows with words, and the first word of each in the fixed order of its source."""
+    buckets = max(64, -(-n_rows // BUCKET_ROWS))
+    rows = base.filter("size > 0").withColumn("bucket", F.pmod(F.xxhash64("place", F.lit(seed)), F.lit(buckets)))
+    sums = rows.groupBy("skey", "bucket").agg(F.sum("size").alias("n"))
+    before = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("skey", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("skey", "bucket").orderBy(F.xxhash64("place", F.lit(seed + 1)), "doc_id", "size", *own).rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("start", F.sum("size").over(inside) - F.col("size")).join(offsets, ["skey", "bucket"])
+    return placed.select("doc_id", "skey", "size", (F.col("start") + F.col("offset")).alias("start"), *own)
 
-    buckets = max(64, -(-sum(r["n"] for r in found) // BUCKET_ROWS))
-    rows = base.filter("size > 0").withColumn("__b", F.pmod(hashed(seed), F.lit(buckets)))
-    sums = rows.groupBy("skey", "__b").agg(F.sum("size").alias("__n"))
-    before = Window.partitionBy("skey").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("skey", "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    inside = Window.partitionBy("skey", "__b").orderBy(hashed(seed + 1), "doc_id", "size", *(["__sha", row_col] if row_col else [])).rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("start", F.sum("size").over(inside) - F.col("size")).join(offsets, ["skey", "__b"])
-    placed = placed.withColumn("start", F.col("start") + F.col("__before")).select("doc_id", "skey", "size", "start", *own)
 
+def _held(placed: DataFrame, slots: DataFrame, block_words: int, own: list[str]) -> DataFrame:
+    """Blocks joined by index: which words of which row every slot holds; a row that no slot holds has nulls once."""
     width = F.lit(block_words)
     last = F.floor((F.col("start") + F.col("size") - 1) / width)
     spans = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / width), last)))
-    spans = spans.withColumn("lo", F.greatest(F.col("start"), F.col("block") * width)).withColumn("hi", F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * width))
-    extra = slot_table(spark, plan, block_words, seed).filter("extra").groupBy("skey", "block").agg(F.max("take").alias("take"))
-    met = spans.join(extra, ["skey", "block"], "left")
-    upto = F.least(F.col("hi"), F.col("block") * width + F.col("take"))
-    piece = F.when(F.col("take").isNotNull() & (upto > F.col("lo")), F.struct((F.col("lo") - F.col("start")).alias("begin"), (upto - F.col("start")).alias("end")))
-    done = met.groupBy("skey", "start", "doc_id", "size", *own).agg(F.sort_array(F.collect_list(piece)).alias("ranges"))
-    blank = base.filter("size = 0").select("skey", F.lit(0).cast("long").alias("start"), "doc_id", "size", *own, F.lit(None).cast("array<struct<begin:bigint,end:bigint>>").alias("ranges"))
-    table = pd.DataFrame([(_key(s), n, goal[s]) for s, n in sizes], columns=["skey", "source_size", "target"])
-    whole = {r.skey: int(r.epochs) for r in plan.itertuples()}
-    table["epochs"] = [whole.get(k, 0) for k in table["skey"]]
-    named = spark.createDataFrame(table, "skey string, source_size long, target double, epochs long")
-    extra_words = F.aggregate(F.coalesce("ranges", F.array().cast("array<struct<begin:bigint,end:bigint>>")), F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["begin"])
-    return done.unionByName(blank).join(named, "skey").select("doc_id", "size", "source_size", "target", "epochs", "ranges", (F.col("epochs") * F.col("size") + extra_words).alias("taken"), *own)
+    low = F.greatest(F.col("start"), F.col("block") * width)
+    high = F.least(F.col("start") + F.col("size"), F.col("block") * width + F.col("take"))
+    met = spans.join(slots, ["skey", "block"], "left")
+    piece = F.when(F.col("slot").isNotNull() & (high > low), F.struct("epoch", (low - F.col("start")).alias("begin"), (high - F.col("start")).alias("end"), "shard", "slot"))
+    return met.select("skey", "block", "doc_id", "size", "start", piece.alias("piece"), *own)
+
+
+def _mixed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], limit: int, block_words: int, seed: int, own: list[str]):
+    """(sizes table, sizes and targets of the sources, what the slots hold)."""
+    base = _sizes(docs, id_col, text_col, source_col, own)
+    found = base.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    sizes = [(r["source"], int(r["size"])) for r in found]
+    goal = targets(sizes, weights, limit)
+    slots = slot_table(docs.sparkSession, shares(sizes, goal, block_words), block_words, seed)
+    held = _held(_starts(base, sum(r["n"] for r in found), seed, own), slots, block_words, own)
+    return base, [(s, n, goal[s]) for s, n in sizes], held
+
+
+def mixed_slots(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+    """What the output shards hold: shard, source, slot, epoch, block, doc_id, and the words begin .. end of the document.
+
+    A slot is one block of a source; its rows in the order of ``position`` are its words.
+    """
+    held = _mixed(docs, id_col, text_col, source_col, weights, limit, block_words, seed, [])[2]
+    source = F.when(F.col("skey") != "n", F.substr("skey", F.lit(2)))
+    held = held.filter("piece is not null")
+    return held.select("piece.shard", source.alias("source"), "piece.slot", "piece.epoch", "block", (F.col("start") + F.col("piece.begin")).alias("position"), "doc_id", "piece.begin", "piece.end")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, block_words: int = BLOCK_WORDS, seed: int = SEED, row_col: str | None = None) -> DataFrame:
+    """Per row: doc_id, size, source_size, target, taken, n_slots, n_shards, and pieces (epoch, begin, end) by epoch.
+
+    ``row_col``, a unique number of the rows, is carried to the result.
+    """
+    own = [row_col] if row_col else []
+    base, sources, held = _mixed(docs, id_col, text_col, source_col, weights, limit, block_words, seed, own)
+    done = held.groupBy("skey", "start", "doc_id", "size", *own).agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+    blank = base.filter("size = 0").select("skey", F.lit(0).cast("long").alias("start"), "doc_id", "size", F.lit(None).cast(done.schema["pieces"].dataType).alias("pieces"), *own)
+    every = done.unionByName(blank).withColumn("pieces", F.coalesce("pieces", F.array().cast(done.schema["pieces"].dataType)))
+    table = [(_key(s), n, t) for s, n, t in sources]
+    named = docs.sparkSession.createDataFrame(table, "skey string, source_size long, target double")
+    taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["begin"])
+    counts = [F.size("pieces").cast("long").alias("n_slots"), F.size(F.array_distinct("pieces.shard")).cast("long").alias("n_shards")]
+    return every.join(named, "skey").select("doc_id", "size", "source_size", "target", taken.alias("taken"), *counts, "pieces", *own)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix as rows of ``docs``: a whole copy for each epoch, then the words taken besides.
+    """The mix as rows of ``docs``: one for each pass that takes words of a document, with the words it takes.
 
-    Rows meet what is taken of them by a number of their own, so null and repeated ids are whole.
+    A pass that takes all words gives the text as it is.  Rows meet what is taken of them by a number of their own, so
+    null and repeated ids are whole; the columns can have any names.
     """
     kept, schema = docs.columns, docs.schema
-    docs = numbered(docs, "rows")
-    taken = mix(docs, row_col=ROW).filter("taken > 0").select(ROW, "epochs", "ranges")
+    row, pieces = free_name("row", kept), free_name("pieces", kept)
+    docs = numbered(docs, "rows", row)
+    taken = mix(docs, row_col=row).filter("taken > 0").select(F.col(row), F.col("size").alias(free_name("size", kept)), F.col("pieces").alias(pieces))
 
     def work(table: pa.Table):
-        at, texts, wanted = [], [], table["ranges"].to_pylist()
-        for i, (text, epochs) in enumerate(zip(table["text"].to_pylist(), table["epochs"].to_pylist(), strict=True)):
-            ranges = wanted[i] or []
-            at += [i] * (epochs + bool(ranges))
-            texts += [text] * epochs
-            if ranges:
-                starts, ends = _word_edges(text.encode())
-                data = text.encode()
-                texts.append(b" ".join(data[starts[r["begin"]] : ends[r["end"] - 1]] for r in ranges).decode("utf-8", "replace"))
+        at, texts = [], []
+        for i, (text, size, found) in enumerate(zip(table["text"].to_pylist(), table[free_name("size", kept)].to_pylist(), table[pieces].to_pylist(), strict=True)):
+            passes: dict[int, list[dict]] = {}
+            for p in found:
+                passes.setdefault(p["epoch"], []).append(p)
+            data, edges = text.encode(), None
+            for parts in passes.values():
+                at.append(i)
+                if sum(p["end"] - p["begin"] for p in parts) == size:
+                    texts.append(text)
+                    continue
+                edges = edges or _word_edges(data)
+                starts, ends = edges
+                texts.append(b" ".join(data[starts[p["begin"]] : ends[p["end"] - 1]] for p in parts).decode("utf-8", "replace"))
         rows = table.take(pa.array(at, pa.int64()))
         yield pa.table([pa.array(texts, pa.string()) if k == "text" else rows[k] for k in kept], names=kept)
 
-    return map_arrow(docs.join(taken, ROW), work, schema)
+    return map_arrow(docs.join(taken, row), work, schema)
 
 
 def _word_edges(data: bytes) -> tuple[list[int], list[int]]:
@@ -214,8 +276,8 @@ def _word_edges(data: bytes) -> tuple[list[int], list[int]]:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mix of all documents by the weights 5, 2, 1."""
-    return mix(read(spark, sf_dir, "documents", "doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+    """The mix of all documents by the weights 5, 2, 1; words, slots and shards are counted from what the shards hold."""
+    return mix(read(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("pieces")
 
 
 QUERIES = {"op4_mixing": op4_mixing}
