@@ -8,29 +8,36 @@ each piece's expected count.  All passes run over many words of one length at on
 piece covers cost a fixed probability.
 
 Fitting uses a bounded sample of the labelled rows (``docs_per_language``, chosen by a hash of the id, whole
-texts); prediction covers every row.
+texts); prediction covers every row.  The sample's distinct words are a written table; every expectation step is a
+job over it, and what visits the driver is one number for each piece and language that occurs.
 
 Defined results: a null text, or one without a letter, gives ``und`` and score 0; ties go to the language that
-sorts first; without any labelled row everything is ``und``.  Repeated rows are judged each for itself, a null id
-counts as not held out, and other columns are not read.
+sorts first; without any labelled row everything is ``und``, and an empty table gives no rows.  Very long texts and
+words are judged whole, repeated rows each for itself; a null id counts as not held out.  Other columns are not read,
+or are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from placewright.llm.common import map_arrow, mix64, read, text_bytes
+from placewright.llm.common import free_name, map_arrow, materialize, mix64, read, text_bytes
 from placewright.llm.piece_codec import META, default_model
 
 #: Upper bound (in the mean of the hash) of labelled texts per language that the fit reads.
 DOCS_PER_LANGUAGE = 1500
+_HASHES = 1 << 60
 ROUNDS = 3
+#: Tasks of an expectation step over the sample's words; the sample is bounded, so their number is too.
+STEP_PARTS = 24
 #: Probability of a character outside the vocabulary, weight of the pooled estimate, floor of a piece.
 UNKNOWN, POOL, FLOOR = 1e-7, 50.0, 1e-9
 CACHED_WORDS = 100_000
@@ -55,7 +62,7 @@ class Pieces:
         names = sorted({model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))})
         self.names = [p for p in names if p.strip(META) or p == META]
         self.longest = max(map(len, self.names), default=1)
-        keys = np.array([self._key(p) for p in self.names], dtype=np.uint64)
+        keys = self._keys(self.names)
         bits = 18
         self.shift = np.uint64(64 - bits)
         self.table_key, self.table_row = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
@@ -70,11 +77,14 @@ class Pieces:
         self.more_rows = np.array([self.more[k] for k in sorted(self.more)], dtype=np.int32)
 
     @staticmethod
-    def _key(piece: str) -> int:
-        h = 0
-        for c in piece:
-            h = int(mix64(np.array([h ^ ord(c)], dtype=np.uint64))[0])
-        return h
+    def _keys(names: list[str]) -> np.ndarray:
+        """The hash of each name, as ``rows`` finds it character by character."""
+        out = np.zeros(len(names), np.uint64)
+        size = np.array([len(n) for n in names], dtype=np.int64)
+        for k in range(int(size.max(initial=0))):
+            at = np.flatnonzero(size > k)
+            out[at] = mix64(out[at] ^ np.array([ord(names[i][k]) for i in at.tolist()], dtype=np.uint64))
+        return out
 
     def rows(self, codes: np.ndarray) -> np.ndarray:
         """codes: words x characters; the result's [w, start, length - 1] is the row of that piece, or 0."""
@@ -95,6 +105,16 @@ class Pieces:
         return out
 
 
+_pieces: dict[str | None, Pieces] = {}
+
+
+def pieces_of(model_path: str | None) -> Pieces:
+    """The process's vocabulary, read once."""
+    if model_path not in _pieces:
+        _pieces[model_path] = Pieces(model_path)
+    return _pieces[model_path]
+
+
 def _groups(words: list[str], limit: int = 120_000):
     """(positions, code points) of words of one length, at most about ``limit`` characters together."""
     by: dict[int, list[int]] = {}
@@ -149,40 +169,59 @@ class Languages:
         return out
 
 
-def fit(counts: list[tuple[str, str, int]], docs: dict[str, int], pieces: Pieces, rounds: int = ROUNDS) -> Languages:
-    """Expectation-maximisation over (language, word, count)."""
-    names = sorted(docs)
-    words = sorted({w for _, w, _ in counts})
-    at = {w: i for i, w in enumerate(words)}
-    weight = np.zeros((len(words), len(names)))
-    for lang, word, n in counts:
-        weight[at[word], names.index(lang)] += n
-    n_rows = len(pieces.names) + 1
-    prob = None
+def expected(words: list[str], weight: np.ndarray, prob: np.ndarray | None, pieces: Pieces) -> np.ndarray:
+    """Expected count of each piece (rows) in each language (columns) over words with weights (words x languages).
+
+    Without probabilities, every occurrence as a substring counts.
+    """
+    n_rows, n_langs = len(pieces.names) + 1, weight.shape[1]
+    found = np.zeros((n_rows, n_langs))
+    for where, codes in _groups(words, 100_000):
+        rows = pieces.rows(codes)
+        if prob is None:
+            for k in range(rows.shape[2]):
+                for lang in range(n_langs):
+                    found[:, lang] += np.bincount(rows[:, :, k].ravel(), np.repeat(weight[where, lang], rows.shape[1]), n_rows)
+            continue
+        a, a_scale = _forward(rows, prob)
+        b, b_scale = _forward(rows, prob, reverse=True)
+        whole, whole_scale = np.maximum(a[:, -1], 1e-300), a_scale[:, -1]
+        for start in range(rows.shape[1]):
+            for k in range(min(rows.shape[2], rows.shape[1] - start)):
+                r = rows[:, start, k]
+                end = start + k + 1
+                share = weight[where] * a[:, start] * prob[r] * b[:, end] / whole * np.exp(a_scale[:, start] + b_scale[:, end] - whole_scale)
+                for lang in range(n_langs):
+                    found[:, lang] += np.bincount(r, share[:, lang], n_rows)
+    found[0] = 0
+    return found
+
+
+def maximised(found: np.ndarray) -> np.ndarray:
+    """Piece probabilities from expected counts, smoothed towards all languages together."""
+    pool = found.sum(1, keepdims=True) + 1e-3
+    pool[0] = 0
+    prob = (found + POOL * pool / pool.sum()) / (found.sum(0) + POOL)
+    prob[1:] = np.maximum(prob[1:], FLOOR)
+    return prob
+
+
+def weights_of(counts: Iterable[tuple[str, str, int]], names: list[str]) -> tuple[list[str], np.ndarray]:
+    """(words, words x languages) of (language, word, count)."""
+    at: dict[str, int] = {}
+    place = {n: i for i, n in enumerate(names)}
+    cells = [(at.setdefault(w, len(at)), place[lang], n) for lang, w, n in counts]
+    weight = np.zeros((len(at), len(names)))
+    for i, j, n in cells:
+        weight[i, j] += n
+    return list(at), weight
+
+
+def fit(docs: dict[str, int], step: Callable[[np.ndarray | None], np.ndarray], rounds: int = ROUNDS) -> Languages:
+    """Expectation-maximisation; ``step`` gives the expected counts under some probabilities, of substrings without."""
+    names, prob = sorted(docs), None
     for _ in range(rounds + 1):
-        found = np.zeros((n_rows, len(names)))
-        for where, codes in _groups(words, 100_000):
-            rows = pieces.rows(codes)
-            if prob is None:  # the first round counts every occurrence as a substring
-                for k in range(rows.shape[2]):
-                    for lang in range(len(names)):
-                        found[:, lang] += np.bincount(rows[:, :, k].ravel(), np.repeat(weight[where, lang], rows.shape[1]), n_rows)
-                continue
-            a, a_scale = _forward(rows, prob)
-            b, b_scale = _forward(rows, prob, reverse=True)
-            whole, whole_scale = np.maximum(a[:, -1], 1e-300), a_scale[:, -1]
-            for start in range(rows.shape[1]):
-                for k in range(min(rows.shape[2], rows.shape[1] - start)):
-                    r = rows[:, start, k]
-                    end = start + k + 1
-                    share = weight[where] * a[:, start] * prob[r] * b[:, end] / whole * np.exp(a_scale[:, start] + b_scale[:, end] - whole_scale)
-                    for lang in range(len(names)):
-                        found[:, lang] += np.bincount(r, share[:, lang], n_rows)
-        found[0] = 0
-        pool = found.sum(1, keepdims=True) + 1e-3
-        pool[0] = 0
-        prob = (found + POOL * pool / pool.sum()) / (found.sum(0) + POOL)
-        prob[1:] = np.maximum(prob[1:], FLOOR)
+        prob = maximised(step(prob))
     total = np.array([docs[x] for x in names], dtype=float)
     return Languages(names, np.log(total / total.sum()), prob)
 
@@ -197,27 +236,52 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
     count = {r[0]: r[1] for r in labelled.groupBy(F.col(lang_col)).count().collect()}
     if not count:
-        return Languages([], np.zeros(0), np.zeros((len(Pieces(model_path).names) + 1, 0)))
-    limit = F.create_map(*[F.lit(x) for lang, n in count.items() for x in (lang, min(1_000_000, -(-1_000_000 * docs_per_language // n)))])
-    sample = labelled.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit("fit")), F.lit(1_000_000)) < limit[F.col(lang_col)])
+        return Languages([], np.zeros(0), np.zeros((len(pieces_of(model_path).names) + 1, 0)))
+    limit = F.create_map(*[F.lit(x) for lang, n in count.items() for x in (lang, min(_HASHES, -(-_HASHES * docs_per_language // n)))])
+    sample = labelled.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit("fit")), F.lit(_HASHES)) < limit[F.col(lang_col)])
 
-    def work(table: pa.Table) -> pa.Table:
+    def count_words(table: pa.Table) -> pa.Table:
         found: dict[str, Counter] = {}
         for lang, text in zip(table["lang"].to_pylist(), table["text"].to_pylist(), strict=True):
             found.setdefault(lang, Counter()).update(words_of(text.decode("utf-8", "replace")))
         rows = [(lang, w, n) for lang, c in found.items() for w, n in c.items()]
         return pa.table([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())], names=["lang", "word", "n"])
 
-    counted = map_arrow(sample.select(F.col(lang_col).alias("lang"), text_bytes(text_col).alias("text")), work, "lang string, word string, n long")
-    rows = [tuple(r) for r in counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).toPandas().itertuples(index=False)]
-    return fit(rows, count, Pieces(model_path))
+    counted = map_arrow(sample.select(F.col(lang_col).alias("lang"), text_bytes(text_col).alias("text")), count_words, "lang string, word string, n long")
+    totals = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    # a word's languages together, words of all lengths in every part
+    words = materialize(totals.repartition(STEP_PARTS, "word"), "words")
+    return fit(count, lambda prob: _step(words, sorted(count), prob, model_path))
+
+
+def _step(words: DataFrame, names: list[str], prob: np.ndarray | None, model_path: str | None) -> np.ndarray:
+    """One expectation step over the table (lang, word, n)."""
+    shared = words.sparkSession.sparkContext.broadcast(prob)  # pieces x languages: fixed by the vocabulary
+
+    def work(batches):
+        pieces = pieces_of(model_path)
+        total = np.zeros((len(pieces.names) + 1, len(names)))
+        for b in batches:
+            for begin in range(0, b.num_rows, 20_000):
+                part = b.slice(begin, 20_000)
+                own, weight = weights_of(zip(part["lang"].to_pylist(), part["word"].to_pylist(), part["n"].to_pylist(), strict=True), names)
+                total += expected(own, weight, shared.value, pieces)
+        row, lang = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(lang), pa.array(total[row, lang])], ["row", "lang", "n"])
+
+    parts = words.mapInArrow(work, "row long, lang long, n double")
+    # summed in a fixed order, so reruns agree to the last digit
+    summed = parts.groupBy("row", "lang").agg(F.aggregate(F.sort_array(F.collect_list("n")), F.lit(0.0), lambda a, x: a + x).alias("n")).toArrow()
+    found = np.zeros((len(pieces_of(model_path).names) + 1, len(names)))
+    found[np.asarray(summed["row"]), np.asarray(summed["lang"])] = np.asarray(summed["n"])
+    return found
 
 
 class _Judge:
     """A worker's words with their likelihoods."""
 
     def __init__(self, languages: Languages, model_path: str | None):
-        self.languages, self.pieces = languages, Pieces(model_path)
+        self.languages, self.pieces = languages, pieces_of(model_path)
         self.at: dict[str, int] = {}
         self.known = np.zeros((0, len(languages.names)))
 
@@ -242,22 +306,22 @@ class _Judge:
         return langs, scores
 
 
-def predict(docs: DataFrame, languages: Languages, keep: list[str], text_col: str = "text", model_path: str | None = None) -> DataFrame:
-    """Columns ``keep`` with ``lang_pred`` and ``score``."""
+def predict(docs: DataFrame, languages: Languages, keep: list[str], text_col: str = "text", model_path: str | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` with the language and its score, under ``names``."""
     shared = docs.sparkSession.sparkContext.broadcast(languages)  # pieces x languages: fixed by the vocabulary
-    state: dict[str, _Judge] = {}
+    text, state = free_name("text", keep), []
 
     def work(table: pa.Table):
-        judge = state.setdefault("judge", None) or _Judge(shared.value, model_path)
-        state["judge"] = judge
+        if not state:
+            state.append(_Judge(shared.value, model_path))
         for begin in range(0, table.num_rows, 256):
             part = table.slice(begin, 256)
-            langs, scores = judge.judge([None if b is None else b.decode("utf-8", "replace") for b in part["__text"].to_pylist()])
-            yield pa.table([*[part[k] for k in keep], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+            langs, scores = state[0].judge([None if b is None else b.decode("utf-8", "replace") for b in part[text].to_pylist()])
+            yield pa.table([*[part[k] for k in keep], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, *names])
 
-    pruned = docs.select(*keep, text_bytes(text_col).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pruned.schema.fields if f.name in keep)
-    return map_arrow(pruned, work, f"{schema}, lang_pred string, score double")
+    pruned = docs.select(*[F.col(f"`{k}`") for k in keep], text_bytes(text_col).alias(text))
+    schema = T.StructType([*[f for f in pruned.schema.fields if f.name != text], T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return map_arrow(pruned, work, schema)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
