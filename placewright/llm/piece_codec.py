@@ -1,14 +1,14 @@
 """SentencePiece encoding and decoding with byte spans (operator 5).
 
-``PieceCodec`` reads the model file itself for its normalizer: the compiled character map is a
-double-array trie over UTF-8 bytes; at each position the longest prefix found there is replaced, and every
-byte of the replacement remembers the source bytes it came from.  The model segments the normalised text, and
-its pieces are projected back to spans of the original UTF-8 bytes.  Where the map is empty and only spaces
-change, as in the default model, the projection is a running sum over the pieces' own source lengths.
-
-Defined results: a null text counts as empty (ids: only the end id; decoded: empty); bytes that aren't UTF-8
-count as U+FFFD; very long texts are encoded whole.  Repeated rows are encoded each for itself, other columns
-pass through untouched.
+``PieceCodec`` reads the model file itself for its normalizer: the compiled character map is a double-array trie over
+UTF-8 bytes.  All characters of a text walk down the trie at once; from left to right the longest prefix found is
+replaced, and every byte of the normalised text remembers the source byte it came from.  The model segments the
+normalised text, and the edges of its pieces, which tile that text, are projected back to spans of the original UTF-8
+bytes.  The default model's map is empty, so only its spaces are rewritten; the way is the same.
+
+Defined results: a null text counts as empty (ids: only the end id; decoded: empty); bytes that aren't UTF-8 count as
+U+FFFD; very long texts are encoded whole; repeated rows are encoded each for itself; an empty table gives no rows.
+``encode_pieces`` keeps the other columns and replaces those named like its own; the query reads no others.
 """
 
 from __future__ import annotations
@@ -67,34 +67,49 @@ class CharMap:
     """A compiled character map: length of the trie, its units, then zero-ended replacements."""
 
     def __init__(self, blob: bytes):
-        self.units: tuple[int, ...] = ()
-        self.strings = b""
+        self.units, self.strings = np.zeros(0, np.int64), b""
         if blob:
             (size,) = struct.unpack_from("<I", blob)
-            self.units = struct.unpack_from(f"<{size // 4}I", blob, 4)
+            self.units = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64)
             self.strings = blob[4 + size :]
 
     def longest(self, text: bytes, at: int) -> tuple[int, bytes] | None:
         """(source bytes, replacement) of the longest key that starts at ``at``."""
-        if not self.units:
-            return None
-        node, found = 0, None
-        unit = self.units[0]
-        node ^= (unit >> 10) << ((unit & 512) >> 6)
-        for i in range(at, len(text)):
-            node ^= text[i]
-            if node >= len(self.units):
-                break
-            unit = self.units[node]
-            if unit & 0x800000FF != text[i]:
-                break
-            node ^= (unit >> 10) << ((unit & 512) >> 6)
-            if unit >> 8 & 1:
-                found = i + 1 - at, self.units[node] & 0x7FFFFFFF
-        if found is None:
-            return None
-        n, begin = found
-        return n, self.strings[begin : self.strings.index(b"\0", begin)]
+        _, size, value = self.prefixes(np.frombuffer(text, np.uint8), np.array([at]))
+        return (int(size[0]), self.replacement(int(value[0]))) if len(size) else None
+
+    def replacement(self, value: int) -> bytes:
+        return self.strings[value : self.strings.index(b"\0", value)]
+
+    def prefixes(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, bytes, value) of the longest key at each of ``starts`` that has one; all walk the trie together."""
+        if not len(self.units):
+            return starts[:0], starts[:0], starts[:0]
+        units = self.units
+        size, value = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        who, node = np.arange(len(starts)), np.full(len(starts), self._below(units[:1])[0], np.int64)
+        depth = 0
+        while len(who):
+            inside = starts[who] + depth < len(data)
+            who, node = who[inside], node[inside]
+            byte = data[starts[who] + depth].astype(np.int64)
+            node = node ^ byte
+            inside = node < len(units)
+            who, node, byte = who[inside], node[inside], byte[inside]
+            fits = units[node] & 0x800000FF == byte
+            who, node = who[fits], node[fits]
+            unit = units[node]
+            node = node ^ self._below(unit)
+            depth += 1
+            ends = np.flatnonzero(unit >> 8 & 1)
+            size[who[ends]], value[who[ends]] = depth, units[node[ends]] & 0x7FFFFFFF
+        found = np.flatnonzero(size)
+        return starts[found], size[found], value[found]
+
+    @staticmethod
+    def _below(unit: np.ndarray) -> np.ndarray:
+        """The offset from a node to its children."""
+        return (unit >> 10) << ((unit & 512) >> 6)
 
 
 class PieceCodec:
@@ -121,100 +136,81 @@ class PieceCodec:
                             self.escape = bool(v)
         self.map = CharMap(blob)
         self.pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        #: Without a map, only spaces change: a piece's own bytes tell what it covers.
-        self.plain = self.dummy and not self.squeeze and self.escape and not self.map.units and any(map(self.model.is_byte, range(len(self.pieces))))
         self.decimal = [str(i) for i in range(len(self.pieces))]
-        self.lengths = np.array([len(p.encode()) - 2 * p.count(META) for p in self.pieces], dtype=np.int64)
-        self.is_lead = np.zeros(len(self.pieces), dtype=bool)
-        for i in filter(self.model.is_byte, range(len(self.pieces))):
-            byte = int(self.pieces[i][1:-1], 16)
-            self.is_lead[i] = not 0x80 <= byte < 0xC0
-            self.lengths[i] = -1 if byte < 0xC0 else -2 if byte < 0xE0 else -3 if byte < 0xF0 else -4
+        #: Bytes of the normalised text that a piece covers.
+        self.widths = np.array([1 if self.model.is_byte(i) else len(p.encode()) for i, p in enumerate(self.pieces)], dtype=np.int64)
 
     # -- normalisation ---------------------------------------------------------------------------------
 
     def normalize(self, text: str) -> tuple[bytes, list[int]]:
         """(normalised bytes, source offset of each of them and of the end), by longest-prefix replacement."""
-        source = text.encode()
-        out, origin = bytearray(), []
-
-        def put(piece: bytes, at: int) -> None:
-            if self.escape:
-                piece = piece.replace(b" ", META.encode())
-            out.extend(piece)
-            origin.extend([at] * len(piece))
-
-        at, found = 0, []
-        while at < len(source):
-            hit = self.map.longest(source, at)
-            if hit is None:
-                lead = source[at]
-                n = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
-                hit = n, source[at : at + n]
-            found.append((at, hit[1]))
-            at += hit[0]
-        if self.squeeze:
-            while found and found[0][1] == b" ":
-                found.pop(0)
-            while found and found[-1][1].rstrip(b" ") == b"":
-                at = found.pop()[0]
-        if found and self.dummy:
-            put(b" ", found[0][0])
-        after_space = self.squeeze
-        for i, (begin, piece) in enumerate(found):
-            if self.squeeze:
-                if after_space:
-                    piece = piece.lstrip(b" ")
-                if piece:
-                    after_space = piece.endswith(b" ")
-            put(piece, begin)
-        space = META.encode() if self.escape else b" "
-        if self.squeeze:
-            while out.endswith(space):
-                del out[-len(space) :]
-                at = origin[-len(space)]
-                del origin[-len(space) :]
-        return bytes(out), [*origin, at]
+        made, origin = self._normal(np.frombuffer(text.encode(), np.uint8))
+        return made.tobytes(), origin.tolist()
+
+    def _mapped(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes after the map, source offset of each): from left to right the longest prefix is replaced."""
+        lead = (data & 0xC0) != 0x80
+        origin = np.maximum.accumulate(np.where(lead, np.arange(len(data), dtype=np.int32), 0)) if len(data) else np.zeros(0, np.int32)
+        starts, sizes, values = self.map.prefixes(data, np.flatnonzero(lead))
+        if not len(starts):
+            return data, origin
+        parts, origins, at = [], [], 0
+        for begin, size, value in zip(starts.tolist(), sizes.tolist(), values.tolist(), strict=True):
+            if begin >= at:  # else an earlier replacement has eaten it
+                new = np.frombuffer(self.map.replacement(value), np.uint8)
+                parts += [data[at:begin], new]
+                origins += [origin[at:begin], np.full(len(new), begin, np.int32)]
+                at = begin + size
+        return np.concatenate([*parts, data[at:]]), np.concatenate([*origins, origin[at:]])
+
+    def _normal(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        made, origin = self._mapped(data)
+        end = len(data)
+        if self.squeeze:  # runs of spaces become one, at the ends none
+            solid = np.flatnonzero(made != 32)
+            if not len(solid):
+                return made[:0], np.array([end], np.int32)
+            first, last = int(solid[0]), int(solid[-1]) + 1
+            end = int(origin[last]) if last < len(made) else end
+            made, origin = made[first:last], origin[first:last]
+            keep = made != 32
+            keep[1:] |= made[:-1] != 32
+            made, origin = made[keep], origin[keep]
+        if self.dummy and len(made):
+            made, origin = np.concatenate((np.array([32], np.uint8), made)), np.concatenate((origin[:1], origin))
+        if self.escape:
+            times = np.where(made == 32, 3, 1)
+            made, origin = np.repeat(made, times), np.repeat(origin, times)
+            made.reshape(-1)[np.flatnonzero(made == 32)] = np.resize(np.frombuffer(META.encode(), np.uint8), int((made == 32).sum()))
+        return made, np.append(origin, np.int32(end))
 
     # -- segmentation ----------------------------------------------------------------------------------
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begin and end of each in the text's UTF-8 bytes)."""
-        if self.plain and META not in text:
-            ids = np.asarray(self.model.encode(text), dtype=np.int32)
-            end = np.cumsum(self._lengths(ids)) - 1
-            np.maximum(end, 0, out=end)  # the meta space before the text stands for no byte
-            begin = np.concatenate((np.zeros(min(1, len(end)), dtype=np.int64), end[:-1]))
-        else:
-            norm, origin = self.normalize(text)
-            ids, begin, end = self._aligned(norm.decode(), np.asarray(origin, dtype=np.int64))
+        data = np.frombuffer(text.encode(), np.uint8)
+        made, origin = self._normal(data)
+        norm = made.tobytes().decode()
+        ahead = int(self.dummy and norm[:1] == (META if self.escape else " "))
+        ids = np.asarray(self.model.encode(norm[ahead:]), dtype=np.int32)
+        edges = np.concatenate(([0], np.cumsum(self.widths[ids])))
+        if edges[-1] == len(made):
+            where = origin[edges].astype(np.int64)
+            begin, end = where[:-1], where[1:]
+        else:  # an unknown piece covers more or less than its name
+            begin, end = self._aligned(norm, ahead, origin)
         if self.end:
-            last = len(text.encode())
-            ids, begin, end = np.append(ids, np.int32(self.end[0])), np.append(begin, last), np.append(end, last)
+            ids, begin, end = np.append(ids, np.int32(self.end[0])), np.append(begin, len(data)), np.append(end, len(data))
         return ids, begin, end
 
-    def _lengths(self, ids: np.ndarray) -> np.ndarray:
-        """Source bytes of each piece where only spaces were replaced; of a character in bytes the last has all."""
-        lengths = self.lengths[ids]
-        odd = np.flatnonzero(lengths < 0)
-        if len(odd):
-            width = -lengths[odd]  # 1 of a continuation byte, else the width of the character
-            lengths[odd] = 0
-            lead = self.is_lead[ids[odd]]
-            lengths[odd[lead] + width[lead] - 1] = width[lead]
-        return lengths
-
-    def _aligned(self, norm: str, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Pieces of a normalised text, projected through the source offset of each of its bytes."""
-        ahead = int(self.dummy and norm[:1] == META)
-        found = self.model.encode_as_offset_mapping(norm[ahead:])
-        ids = np.asarray(found["ids"], dtype=np.int32)
-        chars = np.asarray(found["offsets"], dtype=np.int64).reshape(-1, 2) + ahead
+    def _aligned(self, norm: str, ahead: int, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Spans by the library's own character offsets in the normalised text."""
+        chars = np.asarray(self.model.encode_as_offset_mapping(norm[ahead:])["offsets"], dtype=np.int64).reshape(-1, 2) + ahead
         if len(chars):
             chars[0, 0] = 0
         width = np.fromiter((len(c.encode()) for c in norm), dtype=np.int64, count=len(norm))
-        where = origin[np.concatenate(([0], np.cumsum(width))).astype(np.int64)]
-        return ids, where[chars[:, 0]], where[chars[:, 1]]
+        where = origin[np.concatenate(([0], np.cumsum(width)))].astype(np.int64)
+        return where[chars[:, 0]], where[chars[:, 1]]
 
     def said(self, ids: np.ndarray) -> str:
         """The ids in decimal, one space between them."""
