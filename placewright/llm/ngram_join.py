@@ -12,13 +12,15 @@ document gets the smallest id in its component.
    with its most frequent leader.  Near copies of one text thereby meet its best copy, not each other.
 4. What shares a prefix shingle but isn't connected yet is verified pair by pair, with filters by length and by
    position, so no link is lost; pairs that are connected already can't change a component.
-5. Verification is the vertical partitioning: the order of hashes is cut into fragments, each task counts the
-   overlaps of its pairs in its fragment, and the counts are summed for each pair.  A leader with many members is
-   spread over several tasks.
+5. Verification is the vertical partitioning: the global order is cut into fragments of equal weight, each task counts
+   the overlaps of its pairs in its fragment, and the counts are summed for each pair.  What a candidate filter adds
+   to this: only pairs that steps 3 and 4 bring together are counted, and no pair that links is missing among them.
+   A leader is spread over as many tasks as its members fill.
 
 Defined results: null or blank texts have no shingles and component themselves; a text below five words is one
-shingle; repeated rows share a component; null ids have a null component unless something with an id is reachable;
-an empty table gives no rows; other columns are not read.  Hashes of 64 bits stand for shingles.
+shingle; very long texts are hashed whole; repeated rows share a component, ties (equal texts, equal overlaps) change
+nothing; null ids have a null component unless something with an id is reachable; an empty table gives no rows; other
+columns are not read.  Hashes of 64 bits stand for shingles, 56 of them behind the count in the global order.
 """
 
 from __future__ import annotations
@@ -37,9 +39,8 @@ from placewright.llm.exchange import REQUEST, answers, read_answers, requests
 SIZE, NEED = 5, 75
 BLOCK_BYTES, CHUNK = 4 << 20, 1 << 19
 FRAGMENTS = 4
-NO_ID = (1 << 63) - 1
-#: Pairs that one group of a verification has, and parts that a leader's pairs are dealt to.
-PAIRS_PER_GROUP, SPREAD = 1000, 16
+#: Pairs that one group of a verification has.
+PAIRS_PER_GROUP = 1000
 
 _ODD = mix64(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
@@ -116,9 +117,9 @@ def _node_steps(n_parts: int):
             at += len(s)
             alone = int((c == 1).sum())
             prefix = len(s) // 4 + 1
-            if alone < prefix:
-                order = np.lexsort((s, c))[alone:prefix]
-                rows.append((node, len(s), alone, s.tobytes(), s[order].view(np.int64).tolist()))
+            if alone < prefix:  # shingles found nowhere else come first in the order, and no overlap has them
+                place = np.sort(c.astype(np.uint64) << np.uint64(56) | s >> np.uint64(8))
+                rows.append((node, len(s), alone, place[alone:].tobytes(), place[alone:prefix].view(np.int64).tolist()))
         columns = list(zip(*rows, strict=True)) or [[]] * 5
         kinds = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
         return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["node", "n", "alone", "tokens", "prefix"])
@@ -126,10 +127,30 @@ def _node_steps(n_parts: int):
     return ask, keep
 
 
-def verified(pairs: DataFrame, sets: DataFrame, n_pairs: int, need: int = NEED) -> DataFrame:
+def fragment_edges(sets: DataFrame, fragments: int = FRAGMENTS) -> np.ndarray:
+    """Where the global order is cut, so that fragments hold about as many shingles; at most 65,536 counts are read."""
+
+    def work(table: pa.Table) -> pa.Table:
+        high = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(t, np.uint64) for t in table["tokens"].to_pylist()]]) >> np.uint64(48)
+        found, n = np.unique(high, return_counts=True)
+        return pa.table([pa.array(found.astype(np.int64)), pa.array(n, pa.int64())], names=["high", "n"])
+
+    found = map_arrow(sets.select("tokens"), work, "high long, n long").groupBy("high").agg(F.sum("n").alias("n")).orderBy("high").toArrow()
+    upto = np.cumsum(np.asarray(found["n"], dtype=np.int64))
+    if not len(upto):
+        return np.zeros(fragments - 1, np.uint64)
+    at = np.searchsorted(upto, upto[-1] * np.arange(1, fragments) / fragments)
+    last = np.asarray(found["high"])[at].astype(np.uint64)
+    return last << np.uint64(48) | np.uint64((1 << 48) - 1)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, n_pairs: int, edges: np.ndarray, need: int = NEED) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, with the overlap; ``sets`` has node, n, tokens."""
     groups = max(8, -(-n_pairs // PAIRS_PER_GROUP))
-    pairs = pairs.withColumn("grp", F.pmod(F.xxhash64("b", F.pmod(F.xxhash64("a"), F.lit(SPREAD))), F.lit(groups)).cast("int"))
+    # written, so the join below can be split where a leader has very many members
+    members = materialize(pairs.groupBy("b").agg(F.ceil(F.count("*") / PAIRS_PER_GROUP).alias("spread")).filter("spread > 1"), "spread")
+    pairs = pairs.join(members, "b", "left").withColumn("part", F.pmod(F.xxhash64("a"), F.coalesce("spread", F.lit(1))))
+    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b", "part"), F.lit(groups)).cast("int").alias("grp"))
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t")), "a")
     right = pairs.select("grp", "b").distinct().join(sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t")), "b")
 
@@ -138,8 +159,7 @@ def verified(pairs: DataFrame, sets: DataFrame, n_pairs: int, need: int = NEED)
             at, fragment, tokens = [], [], []
             for i, data in enumerate(table["t"].to_pylist()):
                 s = np.frombuffer(data, np.uint64)
-                edges = np.searchsorted(s, np.arange(1, FRAGMENTS, dtype=np.uint64) * np.uint64((1 << 64) // FRAGMENTS))
-                for f, part in enumerate(np.split(s, edges)):
+                for f, part in enumerate(np.split(s, np.searchsorted(s, edges, side="right"))):
                     at.append(i)
                     fragment.append(f)
                     tokens.append(part.tobytes())
@@ -171,14 +191,20 @@ def verified(pairs: DataFrame, sets: DataFrame, n_pairs: int, need: int = NEED)
     return total.filter(F.col("overlap") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * need).select("a", "b", "overlap")
 
 
+#: Bytes that ``_sortable`` writes.
+ID_BYTES = 9
+
+
 def _sortable(number):
-    """A long as eight bytes in the same order: the node with the least bytes has the least id."""
-    return F.unhex(F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"))
+    """A long or null as nine bytes in the same order, null last: the node with the least bytes has the least id."""
+    digits = F.lpad(F.hex(F.coalesce(number, F.lit(0)).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.unhex(F.concat(F.when(number.isNull(), "01").otherwise("00"), digits))
 
 
 def _number(data):
-    """The long that ``_sortable`` wrote."""
-    return F.conv(F.hex(data), 16, -10).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
+    """The long or null that ``_sortable`` wrote."""
+    value = F.conv(F.hex(F.substring(data, 2, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
+    return F.when(F.hex(F.substring(data, 1, 1)) == "00", value)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -187,14 +213,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n_blocks, n_parts = max(8, -(-total // BLOCK_BYTES)), max(8, total // (12 << 20))
     ask, keep = _steps(n_parts, SIZE)
-    blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(n_blocks)).cast("int"))
+    blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).cast("int"))
     got = answers(blocks.groupBy("block").applyInArrow(ask, REQUEST))
     sets = materialize(blocks.groupBy("block").cogroup(got.groupBy("block")).applyInArrow(keep, "doc_id long, n long, node binary, tokens binary"), "sets")
 
     # equal sets are one node
     small = sets.select("doc_id", F.col("n").alias("n_shingles"), "node")
     nodes = sets.filter("node is not null").groupBy("node").agg(F.first("tokens").alias("tokens"), F.min("doc_id").alias("least"))
-    nodes = nodes.select(F.concat(_sortable(F.coalesce("least", F.lit(NO_ID))), "node").alias("node"), "tokens")
+    nodes = nodes.select(F.concat(_sortable(F.col("least")), "node").alias("node"), "tokens")
     facts = sets.filter("node is not null").agg(F.sum(F.length("tokens"))).first()[0] or 0
     n_blocks, n_parts = max(8, -(-facts // BLOCK_BYTES)), max(8, facts // (8 << 20))
     ask, keep = _node_steps(n_parts)
@@ -202,7 +228,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     got = answers(nodes.groupBy("block").applyInArrow(ask, REQUEST))
     kept = materialize(nodes.groupBy("block").cogroup(got.groupBy("block")).applyInArrow(keep, "node binary, n long, alone long, tokens binary, prefix array<long>"), "nodes")
 
-    labels = _labels(kept).select(F.substring("node", 9, 16).alias("node"), F.nullif(_number(F.substring("label", 1, 8)), F.lit(NO_ID)).alias("label"))
+    labels = _labels(kept).select(F.substring("node", ID_BYTES + 1, 16).alias("node"), _number(F.substring("label", 1, ID_BYTES)).alias("label"))
     per_node = small.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     of_node = materialize(per_node.join(labels, "node", "left").select("node", F.coalesce("label", "least").alias("component_id")), "named")
     linked = small.filter("node is not null").join(of_node, "node").select("doc_id", "n_shingles", "component_id")
@@ -218,7 +244,8 @@ def _labels(kept: DataFrame) -> DataFrame:
     close = F.least("n", "n_b") * 4 >= F.greatest("n", "n_b") * 3
     led = places.join(shared, "token").filter((F.col("node") != F.col("b")) & close).groupBy("node", "b").count()
     first = materialize(led.groupBy("node").agg(F.max(F.struct("count", "b")).alias("best")).select(F.col("node").alias("a"), F.col("best.b").alias("b")), "pairs")
-    links = materialize(verified(first, kept, first.count()), "links")
+    edges = fragment_edges(kept)
+    links = materialize(verified(first, kept, first.count(), edges), "links")
     labels = materialize(components(links), "labels")
 
     # what shares a prefix shingle and isn't connected yet
@@ -236,7 +263,7 @@ def _labels(kept: DataFrame) -> DataFrame:
     n_rest = rest.count()
     if not n_rest:
         return labels
-    more = materialize(verified(rest, kept, n_rest).select("a", "b"), "links")
+    more = materialize(verified(rest, kept, n_rest, edges).select("a", "b"), "links")
     if more.isEmpty():
         return labels
     return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
