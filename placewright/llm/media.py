@@ -10,23 +10,28 @@ Writing: ``store_bytes`` keeps a payload losslessly in the format's own unit, th
 are the 64 coefficients of one block in zigzag order, blocks fill the planes Y (2x2), Cb and Cr one after another,
 and the scans split each value into its upper bits and a refined last bit.
 
+``media_table`` has the stored file, the payload read back from it and the decoded tensor as columns; the query's
+digests are made of these columns, and its feature of the tensor column.
+
 Defined results: a null or empty payload is one block of zeros; payloads of any length work (blocks go through in
 batches, one image holds up to 6 GB); equal payloads give equal files; repeated rows are stored each for itself;
-other columns are not read.  Files that aren't progressive Huffman JPEGs raise ValueError in ``decode``; the column
-operator gives nulls for them and for null files.
+null ids stay null; an empty table gives no rows; other columns are not read.  ``coefficients`` raises ValueError for
+files that aren't progressive Huffman JPEGs, whose heads are broken, or promise more blocks than their bytes have
+bits for; the column operator gives nulls for them and for null files, and the other files of a batch are not hurt.
 """
 
 from __future__ import annotations
 
-import hashlib
 import struct
-import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placewright.llm.common import chunks, map_arrow, read, text_bytes
 
@@ -96,6 +101,7 @@ def _grid(n_blocks: int) -> tuple[int, int]:
     return across, -(-mcus // across)
 
 
+@lru_cache(64)
 def _mcu_order(across: int, down: int) -> np.ndarray:
     """Block number of each place in the order of a scan of all planes."""
     y, x = np.divmod(np.arange(across * down), across)
@@ -338,7 +344,11 @@ def parse(data: bytes) -> Image:
             for k in range(n):
                 c, hv, q = body[6 + 3 * k : 9 + 3 * k]
                 image.planes[c] = Plane(hv >> 4, hv & 15, q)
+            if not image.planes or not image.width or not image.height or not all(1 <= x <= 4 for p in image.planes.values() for x in (p.h, p.v)):
+                raise ValueError("a frame without planes, samples or sampling factors")
             h, v = max(p.h for p in image.planes.values()), max(p.v for p in image.planes.values())
+            if any(h % p.h or v % p.v for p in image.planes.values()):
+                raise ValueError("sampling factors that don't divide each other")
             image.mcus = -(-image.width // (8 * h)), -(-image.height // (8 * v))
             for p in image.planes.values():
                 p.across, p.down = image.mcus[0] * p.h, image.mcus[1] * p.v
@@ -377,6 +387,8 @@ def parse(data: bytes) -> Image:
         at = end
     if not image.planes:
         raise ValueError("no frame")
+    if sum(p.across * p.down for p in image.planes.values()) > 8 * len(data):  # the first scan has a bit for each block
+        raise ValueError("more blocks than bits")
     return image
 
 
@@ -396,10 +408,21 @@ def _scan_order(image: Image, components: list[int]) -> np.ndarray:
     planes = [image.planes[c] for c in components]
     if len(planes) == 1:
         p = planes[0]
-        y, x = np.divmod(np.arange(p.own_across * p.own_down), p.own_across)
-        return p.first + y * p.across + x
-    y, x = np.divmod(np.arange(image.mcus[0] * image.mcus[1]), image.mcus[0])
-    return np.stack([p.first + (y * p.v + v) * p.across + x * p.h + h for p in planes for v in range(p.v) for h in range(p.h)], axis=1).ravel()
+        return p.first + _plane_order(p.own_across, p.own_down, p.across)
+    return np.stack([p.first + x for p in planes for x in _unit_order(*image.mcus, p.h, p.v)], axis=1).ravel()
+
+
+@lru_cache(64)
+def _plane_order(own_across: int, own_down: int, across: int) -> np.ndarray:
+    y, x = np.divmod(np.arange(own_across * own_down), own_across)
+    return y * across + x
+
+
+@lru_cache(64)
+def _unit_order(mcus_across: int, mcus_down: int, h: int, v: int) -> list[np.ndarray]:
+    """For each block of an MCU: its number in the plane, MCU by MCU."""
+    y, x = np.divmod(np.arange(mcus_across * mcus_down), mcus_across)
+    return [(y * v + j) * mcus_across * h + x * h + i for j in range(v) for i in range(h)]
 
 
 class Lanes:
@@ -651,6 +674,9 @@ def stored_payload(image: Image, coef: np.ndarray) -> bytes:
 # -- columns --------------------------------------------------------------------------------------------
 
 
+MEDIA = T.StructType([T.StructField(n, t) for n, t in (("n_bytes", T.LongType()), ("media", T.BinaryType()), ("payload", T.BinaryType()), ("height", T.IntegerType()), ("width", T.IntegerType()), ("rgb", T.BinaryType()))])
+
+
 def pad(text: bytes) -> bytes:
     return text + bytes(-len(text) % 64 or (0 if text else 64))
 
@@ -663,50 +689,101 @@ def media_column(df: DataFrame, id_col: str, bytes_col: str) -> DataFrame:
         for part in chunks(data, BATCH_BYTES):
             yield pa.table([table["id"].slice(part.start, len(part)), pa.array(store_bytes([data[i] for i in part]), pa.binary())], names=["id", "media"])
 
-    kind = dict(df.dtypes)[id_col]
-    return map_arrow(df.select(F.col(id_col).alias("id"), F.col(bytes_col).cast("binary").alias("b")), work, f"id {kind}, media binary").withColumnRenamed("id", id_col)
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), MEDIA["media"]])
+    return map_arrow(df.select(F.col(id_col).alias("id"), F.col(bytes_col).cast("binary").alias("b")), work, schema).withColumnRenamed("id", id_col)
+
+
+def _decoded(files: list[bytes | None]) -> Iterator[tuple[Image, np.ndarray] | None]:
+    """Image and coefficients of each file, None for those that can't be read; batches are decoded together."""
+    there = [i for i, f in enumerate(files) if f is not None]
+    found: dict[int, tuple[Image, np.ndarray]] = {}
+    done = 0
+    for part in chunks([files[i] for i in there], BATCH_BYTES):
+        numbers = [there[k] for k in part]
+        for group in [numbers] if len(numbers) == 1 else [numbers, *[[n] for n in numbers]]:
+            try:
+                images, coef = coefficients([files[i] for i in group])
+            except UNREADABLE:  # a bad file among them: one by one
+                continue
+            found |= {i: (image, coef) for i, image in zip(group, images, strict=True)}
+            if group is numbers:
+                break
+        yield from (found.pop(i, None) for i in range(done, numbers[-1] + 1))
+        done = numbers[-1] + 1
+    yield from (None for _ in range(done, len(files)))
+
+
+#: What reading a damaged file can raise.
+UNREADABLE = (ValueError, IndexError, struct.error, AttributeError, KeyError, TypeError, ZeroDivisionError, OverflowError, MemoryError)
 
 
 def tensor_column(df: DataFrame, id_col: str, media_col: str = "media") -> DataFrame:
     """(id, height, width, rgb): files decoded to full-resolution tensors; nulls for null or unreadable files."""
 
     def work(table: pa.Table):
-        for i, data in zip(table["id"], table["m"].to_pylist(), strict=True):
-            height = width = tensor = None
-            if data is not None:
-                try:
-                    images, coef = coefficients([data])
-                    made = rgb(images[0], coef)
-                    height, width, tensor = *made.shape[:2], made.tobytes()
-                except (ValueError, IndexError, struct.error, AttributeError, KeyError):
-                    pass
-            yield pa.table([pa.array([i.as_py()], table["id"].type), pa.array([height], pa.int32()), pa.array([width], pa.int32()), pa.array([tensor], pa.binary())], names=["id", "height", "width", "rgb"])
+        ids, files = table["id"], table["m"].to_pylist()
+        for begin in range(0, len(files), 64):
+            rows = [[], [], []]
+            for found in _decoded(files[begin : begin + 64]):
+                made = rgb(*found) if found else None
+                for row, value in zip(rows, (None, None, None) if made is None else (*made.shape[:2], made.tobytes()), strict=True):
+                    row.append(value)
+            yield pa.table([ids.slice(begin, 64), pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.binary())], names=["id", "height", "width", "rgb"])
 
-    kind = dict(df.dtypes)[id_col]
-    return map_arrow(df.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("m")), work, f"id {kind}, height int, width int, rgb binary").withColumnRenamed("id", id_col)
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), *MEDIA.fields[3:]])
+    return map_arrow(df.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("m")), work, schema).withColumnRenamed("id", id_col)
 
 
-def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the payload stored, read back, and a feature of its tensor, as digests."""
+def media_table(df: DataFrame, id_col: str = "doc_id", bytes_col: str = "text") -> DataFrame:
+    """(id, n_bytes, media, payload, height, width, rgb): values stored as files, read back, and decoded to tensors."""
 
     def work(table: pa.Table):
-        texts = [b or b"" for b in table["text"].to_pylist()]
-        for part in chunks(texts, BATCH_BYTES):
-            files = store_bytes([pad(texts[i]) for i in part])
+        data = [b or b"" for b in table["b"].to_pylist()]
+        for part in chunks(data, BATCH_BYTES):
+            files = store_bytes([pad(data[i]) for i in part])
             images, coef = coefficients(files)
-            rows = []
-            for i, data, image in zip(part, files, images, strict=True):
-                payload = stored_payload(image, coef)
-                tensor = rgb(image, coef)
-                sums = tensor.reshape(-1, 3).sum(0, dtype=np.int64).tolist()
-                feature = f"{image.width}x{image.height}:" + ",".join(f"{s / (image.width * image.height):.6f}" for s in sums)
-                rows.append((len(texts[i]), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature))
-            columns = list(zip(*rows, strict=True))
-            names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            yield pa.table([table["doc_id"].slice(part.start, len(part)), *[pa.array(c, pa.string() if isinstance(c[0], str) else pa.int64()) for c in columns]], names=["doc_id", *names])
+            tensors = [rgb(image, coef) for image in images]
+            columns = [[len(data[i]) for i in part], files, [stored_payload(image, coef) for image in images], [image.height for image in images], [image.width for image in images], [t.tobytes() for t in tensors]]
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+            made = pa.table([table["id"].slice(part.start, len(part)), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["id", *MEDIA.names])
+            del files, images, coef, tensors, columns
+            yield made
+
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), *MEDIA.fields])
+    return map_arrow(df.select(F.col(id_col).alias("id"), F.col(bytes_col).cast("binary").alias("b")), work, schema).withColumnRenamed("id", id_col)
+
 
+def with_features(df: DataFrame) -> DataFrame:
+    """Add ``feature``, size and channel means of the tensor columns height, width and rgb, which are dropped."""
+    kept = [f for f in df.schema.fields if f.name not in ("height", "width", "rgb")]
+
+    def work(table: pa.Table) -> pa.Table:
+        out = []
+        for height, width, tensor in zip(table["height"].to_pylist(), table["width"].to_pylist(), table["rgb"], strict=True):
+            if not tensor.is_valid:
+                out.append(None)
+                continue
+            means = np.frombuffer(tensor.as_buffer(), np.uint8).reshape(-1, 3).sum(0, dtype=np.int64) / (width * height)
+            out.append(f"{width}x{height}:" + ",".join(f"{m:.6f}" for m in means.tolist()))
+        return pa.table([*[table[f.name] for f in kept], pa.array(out, pa.string())], names=[*[f.name for f in kept], "feature"])
+
+    return map_arrow(df, work, T.StructType([*kept, T.StructField("feature", T.StringType())]))
+
+
+def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: digests of the payload read back and of the stored file, and a feature of the tensor column."""
     pruned = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
-    return map_arrow(pruned, work, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    stored = media_table(pruned).select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        *MEDIA.names[3:],
+    )
+    return with_features(stored)
 
 
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,6 +136,70 @@ def test_media_columns(spark):
         media.parse(b"junk")
 
 
+def test_media_table_and_features_against_plain_decoding(spark):
+    docs = [(i, t) for i, t in enumerate(cases.texts())] + [(None, "x"), (3, None), (0, cases.texts()[0])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = media.media_table(df).collect()
+    assert len(got) == len(docs)
+    for x in got:
+        images, coef = media.coefficients([bytes(x.media)])
+        assert media.stored_payload(images[0], coef) == bytes(x.payload) and media.rgb(images[0], coef).tobytes() == bytes(x.rgb)
+        assert (x.height, x.width) == (images[0].height, images[0].width)
+    digests = sorted((str(x.doc_id), x.media_sha256, x.media_bytes, x.feature) for x in media.media_digests(df).collect())
+    want = []
+    for x in got:
+        means = np.frombuffer(bytes(x.rgb), np.uint8).reshape(-1, 3).astype(float).mean(0)
+        want.append((str(x.doc_id), hashlib.sha256(bytes(x.media)).hexdigest(), len(x.media), f"{x.width}x{x.height}:" + ",".join(f"{m:.6f}" for m in means)))
+    assert [d[:3] for d in digests] == [w[:3] for w in sorted(want)]
+    for d, w in zip(digests, sorted(want), strict=True):
+        assert d[3].split(":")[0] == w[3].split(":")[0] and np.allclose([float(v) for v in d[3].split(":")[1].split(",")], [float(v) for v in w[3].split(":")[1].split(",")], atol=1e-5)
+
+
+def test_media_texts_beyond_one_batch(spark, monkeypatch):
+    """Texts that cross the batch size, alone and together, are stored as in one piece."""
+    texts = [b"ab" * 3000, b"", b"c" * 9000, b"d", b"e" * 20000]
+    whole = media.store_bytes([media.pad(t) for t in texts])
+    monkeypatch.setattr(media, "BATCH_BYTES", 4096)
+    assert [f for part in media.chunks([media.pad(t) for t in texts], media.BATCH_BYTES) for f in media.store_bytes([media.pad(texts[i]) for i in part])] == whole
+    got = list(media._decoded([None, whole[0], b"junk", None, whole[2], None]))
+    assert [g is not None for g in got] == [False, True, False, False, True, False]
+    assert media.stored_payload(*got[4]) == media.pad(texts[2])
+
+
+def test_media_bad_files_are_nulls(spark):
+    (good,) = media.store_bytes([media.pad(b"good")])
+    at = good.index(b"\xff\xc2")
+    zero = good[: at + 11] + b"\x00" + good[at + 12 :]  # a sampling factor of 0
+    huge = good[: at + 5] + b"\xff\xff\xff\xff" + good[at + 9 :]  # 65,535 x 65,535
+    files = [(1, good), (2, zero), (3, huge), (4, good[: len(good) // 2]), (5, b""), (6, None), (7, good[:at]), (8, good)]
+    got = {r.doc_id: r.rgb for r in media.tensor_column(spark.createDataFrame(files, "doc_id long, media binary"), "doc_id").collect()}
+    assert got[1] is not None and got[1] == got[8] and all(got[k] is None for k in (2, 3, 5, 6, 7))
+
+
+def test_media_reads_files_of_another_writer(spark):
+    """Progressive files written by the JDK, whose refining scans and sampling differ from ours."""
+    jvm = spark._jvm
+    image = jvm.java.awt.image.BufferedImage(37, 29, 1)
+    for y in range(29):
+        for x in range(37):
+            image.setRGB(x, y, (x * 6 << 16) | (y * 8 << 8) | (x * y % 256))
+    writer = jvm.javax.imageio.ImageIO.getImageWritersByFormatName("jpeg").next()
+    param = writer.getDefaultWriteParam()
+    param.setProgressiveMode(1)
+    out = jvm.java.io.ByteArrayOutputStream()
+    stream = jvm.javax.imageio.ImageIO.createImageOutputStream(out)
+    writer.setOutput(stream)
+    writer.write(None, jvm.javax.imageio.IIOImage(image, None, None), param)
+    stream.flush()
+    data = bytes(out.toByteArray())
+    got = media.tensor_column(spark.createDataFrame([(1, data)], "doc_id long, media binary"), "doc_id").first()
+    own = np.frombuffer(bytes(got.rgb), np.uint8).reshape(29, 37, 3).astype(int)
+    back = jvm.javax.imageio.ImageIO.read(jvm.java.io.ByteArrayInputStream(bytearray(data)))
+    theirs = np.array([[[(back.getRGB(x, y) >> s) & 255 for s in (16, 8, 0)] for x in range(37)] for y in range(29)])
+    luma = np.array([0.299, 0.587, 0.114])
+    assert np.quantile(np.abs((own - theirs) @ luma), 0.95) <= 4
+
+
 # -- language ID ----------------------------------------------------------------------------------------
 
 
