@@ -421,6 +421,60 @@ def test_warc_long_and_broken_headers(spark, tmp_path):
     assert sorted((r.page_id, r.text_bytes) for r in rows) == [(1, 1), (2, 2)]
 
 
+def test_warc_gzip_members_are_read_in_linear_time_and_past_damage():
+    import gzip
+    import time
+
+    def packed(n):
+        return b"".join(gzip.compress(warc.response(f"http://e.org/{k}", "2024-01-01T00:00:00Z", b"<p>%d</p>" % k * 300, key=str(k))) for k in range(n))
+
+    took = []
+    for n in (500, 4000):
+        data = packed(n)
+        began = time.perf_counter()
+        assert [warc.value_of(h, "WARC-Target-URI") for h, _ in warc.parse(data)] == [f"http://e.org/{k}" for k in range(n)]
+        took.append(time.perf_counter() - began)
+    assert took[1] < took[0] * 8 * 4  # eight times the members
+    parts = [gzip.compress(warc.response(f"http://e.org/{k}", "2024-01-01T00:00:00Z", random.Random(k).randbytes(3000))) for k in range(4)]
+    broken = bytearray(parts[1])
+    broken[1500:1600] = bytes(100)
+    got = [(warc.value_of(h, "WARC-Target-URI"), len(b)) for h, b in warc.parse(parts[0] + bytes(broken) + parts[2] + parts[3][:900])]
+    assert [u for u, n in got if n > 3000] == ["http://e.org/0", "http://e.org/2"] and list(warc.parse(b"\x1f\x8bjunk")) == []
+
+
+def test_warc_bodies_by_their_encodings():
+    import gzip
+
+    def derived(head, payload):
+        block = b"HTTP/1.1 200 OK\r\n" + head + b"\r\n\r\n" + payload
+        (_, envelope), (_, text) = warc.derive([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:a>"), ("X", "1"), ("X", "2")], block)
+        return json.loads(envelope), text.decode()
+
+    page = "<title>Grüße</title><p title='a > b'>naïve</p>"
+    data = gzip.compress(page.encode())
+    assert derived(b"Content-Encoding: gzip", data)[1] == "Grüße\nnaïve"
+    assert derived(b"Content-Encoding: deflate", zlib.compress(page.encode()))[1] == "Grüße\nnaïve"
+    assert derived(b"Content-Encoding: gzip", page.encode())[1] == "Grüße\nnaïve"
+    chunked = b"".join(b"%x;x=y\r\n" % len(c) + c + b"\r\n" for c in (data[:7], data[7:])) + b"0\r\n\r\n"
+    assert derived(b"Transfer-Encoding: chunked\r\nContent-Encoding: gzip", chunked)[1] == "Grüße\nnaïve"
+    assert derived(b"Transfer-Encoding: chunked", page.encode())[1] == "Grüße\nnaïve"
+    assert derived(b"Content-Type: text/html; charset=iso-8859-1", "é".encode("latin-1"))[1] == "é"
+    assert derived(b"A: b", '<meta charset="gb18030"><p>中文</p>'.encode("gb18030"))[1] == "中文"
+    assert derived(b"A: b", b"\xff\xfe" + "日本".encode("utf-16-le"))[1] == "日本"
+    assert derived(b"Content-Type: text/html; charset=nonsense", "é".encode())[1] == "é"
+    envelope, _ = derived(b"Set-Cookie: a\r\nSet-Cookie: b\r\nVia: c", b"")
+    assert envelope["http"]["headers"] == {"Set-Cookie": ["a", "b"], "Via": "c"} and envelope["source"]["X"] == ["1", "2"]
+
+
+def test_warc_pages_with_odd_markup():
+    page = '<a title="x > y" href=/1>one</a><script>if (a < b) { "<p>" }</script><a href="/2?a&gt;b">two</a><p title="open>three<p>four<!-- <a href=/no> --><img alt="" src=\'/3\'><title>T &lt;b&gt;</title><style>.x{}'
+    title, text, links = warc.read_page(page)
+    assert title == "T <b>" and [x["url"] for x in links] == ["/1", "/2?a>b", "/3"]
+    assert "one" in text and "two" in text and "four" in text and "no" not in text.split() and "{" not in text
+    long = "<p>" + "<b x='" * 20_000 + "end"
+    assert warc.read_page(long)[0] == ""
+
+
 # -- all together ---------------------------------------------------------------------------------------
 
 
