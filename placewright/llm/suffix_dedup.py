@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from placewright.llm.common import BYTE_VALUES, mix64, powers, read, text_bytes
+from placewright.llm.common import BYTE_VALUES, materialize, mix64, powers, read, text_bytes
 from placewright.llm.exchange import REQUEST, answers, code_of, expand, read_answers, requests, shrink
 
 LENGTH, ANCHOR = 50, 16
@@ -333,7 +333,8 @@ def _removals(docs: DataFrame, finish, schema) -> DataFrame:
 
 def _with_digest(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     data = F.coalesce(text_bytes(text_col), F.lit(b""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), data.alias("text")).withColumn("sha", F.sha2("text", 256))
+    number = F.col(id_col).cast("long")
+    return docs.select(F.coalesce(number, F.lit(NO_ID)).alias("doc_id"), number.isNull().alias("no_id"), data.alias("text")).withColumn("sha", F.sha2("text", 256))
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -353,13 +354,14 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table([pa.array(digests, pa.string()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string())], names=["sha", "n_removed", "n_spans", "kept"])
 
     rows = _with_digest(docs, id_col, text_col)
-    cut = _removals(rows, finish, "sha string, n_removed long, n_spans long, kept string")
-    small = rows.select("doc_id", F.length("text").cast("long").alias("n_bytes"), "sha")
+    cut = _removals(rows.drop("no_id"), finish, "sha string, n_removed long, n_spans long, kept string")
+    small = rows.select("doc_id", "no_id", F.length("text").cast("long").alias("n_bytes"), "sha")
     first = small.groupBy("sha").agg(F.min("doc_id").alias("first"))
-    known = first.join(cut, "sha", "left")
+    # written, so that both sides of the last join are read anew and a text with very many copies can be split
+    known = materialize(first.join(cut, "sha", "left"), "known")
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_bytes") >= LENGTH)
     return small.join(known, "sha").select(
-        F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"),
+        F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"),
         "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
