@@ -231,9 +231,12 @@ _CLOSE = {name: re.compile(rf"</{name}\b[^>]*>|\Z", re.I) for name in (*_DROP, "
 def read_page(page: str) -> tuple[str, str, list[dict[str, str]]]:
     """(title, visible text, links in document order) in one pass; the text has a line for each block."""
     text, links_, title, at = [], [], None, 0
-    while (found := _TOKEN.search(page, at)) is not None:
+    stop = page.rfind(">") + 1  # nothing ends behind it; looking there would cost time for every "<"
+    while (found := _TOKEN.search(page, at, stop)) is not None:
         text.append(page[at : found.start()])
         at = found.end()
+        if at == stop and found[0].startswith("<!--") and not found[0].endswith("-->"):
+            at = len(page)
         name = (found["name"] or "").lower()
         if not name:
             continue
@@ -255,7 +258,7 @@ def read_page(page: str) -> tuple[str, str, list[dict[str, str]]]:
             else:
                 text.append(" ")
             at = close.end()
-    text.append(page[at:])
+    text.append(page[at:].split("<!--", 1)[0])
     lines = (" ".join(line.split()) for line in html.unescape("".join(text)).split("\n"))
     return title or "", "\n".join(line for line in lines if line), links_
 

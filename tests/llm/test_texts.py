@@ -472,7 +472,7 @@ def test_warc_pages_with_odd_markup():
     assert title == "T <b>" and [x["url"] for x in links] == ["/1", "/2?a>b", "/3"]
     assert "one" in text and "two" in text and "four" in text and "no" not in text.split() and "{" not in text
     long = "<p>" + "<b x='" * 20_000 + "end"
-    assert warc.read_page(long)[0] == ""
+    assert warc.read_page(long)[0] == "" and warc.read_page("a<b>c<!-- > d")[1] == "ac" == warc.read_page("a<b>c<!-- d")[1]
 
 
 # -- all together ---------------------------------------------------------------------------------------
