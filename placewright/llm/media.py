@@ -38,7 +38,7 @@ from placewright.llm.common import chunks, map_arrow, read, text_bytes
 #: Blocks in a restart interval of a scan of one plane, MCUs in one of a scan of all planes.
 BLOCKS, MCUS = 8, 8
 #: Payload bytes that go through one batch together.
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 2 << 20
 #: Spectral bands of each plane; all are sent without their last bit first, then refined.
 BANDS = (((1, 5), (6, 63)), ((1, 63),), ((1, 63),))
 
