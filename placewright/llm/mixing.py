@@ -181,7 +181,7 @@ def _starts(base: DataFrame, n_rows: int, seed: int, own: list[str]) -> DataFram
     before = Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("skey", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("skey", "bucket").orderBy(F.xxhash64("place", F.lit(seed + 1)), "doc_id", "size", *own).rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("start", F.sum("size").over(inside) - F.col("size")).join(offsets, ["skey", "bucket"])
+    placed = rows.withColumn("start", F.sum("size").over(inside) - F.col("size")).join(offsets.hint("merge"), ["skey", "bucket"])
     return placed.select("doc_id", "skey", "size", (F.col("start") + F.col("offset")).alias("start"), *own)
 
 
@@ -192,7 +192,7 @@ def _held(placed: DataFrame, slots: DataFrame, block_words: int, own: list[str])
     spans = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / width), last)))
     low = F.greatest(F.col("start"), F.col("block") * width)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * width + F.col("take"))
-    met = spans.join(slots, ["skey", "block"], "left")
+    met = spans.join(slots.hint("merge"), ["skey", "block"], "left")  # both grow with the words: never broadcast
     piece = F.when(F.col("slot").isNotNull() & (high > low), F.struct("epoch", (low - F.col("start")).alias("begin"), (high - F.col("start")).alias("end"), "shard", "slot"))
     return met.select("skey", "block", "doc_id", "size", "start", piece.alias("piece"), *own)
 
