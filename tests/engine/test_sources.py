@@ -13,7 +13,7 @@ from placewright.operators import extract, links, output
 from placewright.operators.extract import Attribute, Vocabulary
 from placewright.sources import connectors, files, pages, sinks
 from placewright.sources.dom import parse
-from placewright.sources.evidence import Page
+from placewright.sources.evidence import evidence_of
 
 WORDS = Vocabulary(("机构名称",), ("名称",), ("地址",), (Attribute("level", ("级别",), "级别", True),), "学校|中学", "路|街", "级别")
 
@@ -97,7 +97,7 @@ def test_recognised_tables(spark):
 
 
 def test_evidence():
-    find = lambda html, *labels: [(e["address_text"], e["extraction_method"]) for e in Page(html, list(labels)).evidence()]
+    find = lambda html, *labels: [(e["address_text"], e["extraction_method"]) for e in evidence_of(html, list(labels))]
     assert find("<p>地址：杭州市西湖区文三路12号 邮编：310000</p>") == [("杭州市西湖区文三路12号", "inline_label")]
     assert find("<table><tr><td>校址</td><td>杭州市西湖区文三路12号</td></tr></table>", "校址") == [("杭州市西湖区文三路12号", "label_relation")]
     assert find("<dl><dt>地址</dt><dd>杭州市西湖区文三路12号</dd></dl>") == [("杭州市西湖区文三路12号", "label_relation")]
