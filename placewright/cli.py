@@ -10,11 +10,33 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
+def asked_districts(spark: SparkSession, catalog: dict, name: str, endpoint: str, fail) -> list[tuple[str, str, str]]:
+    """The map service's answers for a city and, where it stands for another one, for that."""
+    from placewright.operators.city import catalog_frame, resolve_city_names, subdivisions_of
+    from placewright.sources.connectors import Window, district_payloads, setting
+
+    key = setting("AMAP_KEY")
+    if not key:
+        fail("未配置 AMAP_KEY")
+    row = resolve_city_names(spark.createDataFrame([(name,)], "c string"), "c", catalog_frame(spark, catalog)).first()
+    if row["city_error"]:
+        fail(row["city_error"])
+    limiter, rows, city = Window(), [], row["city_name"]
+    while city and city not in {r[0] for r in rows}:
+        rows += district_payloads([city], endpoint, key, limiter)
+        _, payload, error = rows[-1]
+        one = spark.createDataFrame([(payload,)], "p string").select(subdivisions_of(F.try_parse_json("p"), F.lit(city))["next_city"].alias("n")).first()
+        city = None if error else one["n"]
+    return rows
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="placewright")
     sub = parser.add_subparsers(dest="command", required=True)
     city = sub.add_parser("city")
     city.add_argument("--city", required=True)
+    city.add_argument("--districts", help="JSON lines of (asked_city, payload, error); without them the map service is asked")
+    city.add_argument("--endpoint", default="https://restapi.amap.com/v3/config/district")
     process = sub.add_parser("process")
     process.add_argument("--input", required=True)
     process.add_argument("--output", required=True)
@@ -24,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--catalog", required=True)
     args = parser.parse_args(argv)
 
-    from placewright.operators.city import SUBDIVISIONS, catalog_frame, read_catalog, resolve_city_names
+    from placewright.operators.city import SUBDIVISIONS, catalog_frame, city_contexts, read_catalog
     from placewright.operators.match import GEOCODES, POIS, resolve_records, resolve_without_key
     from placewright.operators.metrics import resolution_metrics
     from placewright.operators.normalize import normalize_records, split_invalid
@@ -33,10 +55,16 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.getOrCreate()
     catalog = read_catalog(spark, args.catalog)
     if args.command == "city":
-        row = resolve_city_names(spark.createDataFrame([(args.city,)], "input_city string"), "input_city", catalog_frame(spark, catalog)).first()
-        if row["city_error"]:
-            parser.error(row["city_error"])
-        print(json.dumps({"stage": "city_context", "input_city": row["input_city"], "city_name": row["city_name"], "province_name": row["province_name"], "subdivisions": []}, ensure_ascii=False))
+        names = spark.createDataFrame([(args.city,)], "input_city string")
+        schema = "asked_city string, payload string, error string"
+        if args.districts:
+            districts = spark.read.schema(schema).json(args.districts)
+        else:
+            districts = spark.createDataFrame(asked_districts(spark, catalog, args.city, args.endpoint, parser.error), schema)
+        row = city_contexts(names, "input_city", catalog_frame(spark, catalog), districts).first()
+        if row["error"]:
+            parser.error(row["error"])
+        print(json.dumps({k: v for k, v in row.asDict(recursive=True).items() if k != "error"}, ensure_ascii=False))
         return 0
     context = f"struct<stage:string,input_city:string,city_name:string,province_name:string,subdivisions:{SUBDIVISIONS}>"
     item = "struct<place_name:string,original_address:string,address_mode:string,source_nature:string,source_reference:string,attributes:map<string,string>>"
@@ -52,11 +80,12 @@ def main(argv: list[str] | None = None) -> int:
         done = resolve_records(normalized, catalog, table(args.geocodes, f"asked_address string, asked_city string, error string, candidates {GEOCODES}"), table(args.pois, f"asked_name string, asked_city string, error string, candidates {POIS}"))
     else:
         done = resolve_without_key(normalized)
-    done = done.cache()
+    done = done.persist()
     name = contexts.first()["city_name"]
     metrics = json.loads(resolution_metrics(done, name).toJSON().first())
     rows = [json.loads(x) for x in done.orderBy("record_id").drop("record_id", "route").toJSON().toLocalIterator()]
     write_json(args.output, {"stage": "processed_address_records", "city_context": contexts.first().asDict(recursive=True), "items": rows, "metrics": metrics})
+    done.unpersist()
     print(json.dumps(metrics, ensure_ascii=False))
     return 0
 

@@ -234,10 +234,10 @@ def campus_key(c: Column | str) -> Column:
     return F.regexp_replace(name_key(c), "新(校区|校园)", "$1")
 
 
-def tolerant_key(c: Column, city: Column, unit: Column, rounds: int = 6) -> Column:
-    """A name without status words and without the city, unit and town names before it.
+def tolerant_key(c: Column, city: Column, unit: Column) -> Column:
+    """A name without status words and without the city, unit and town names before it, however many there are.
 
-    Prefixes are taken off one after another; ``rounds`` bounds how many, far above what names have.
+    Every turn but the last takes a prefix off, so there are no more turns than characters; the rest are skipped.
     """
 
     def step(v: Column) -> Column:
@@ -249,8 +249,13 @@ def tolerant_key(c: Column, city: Column, unit: Column, rounds: int = 6) -> Colu
             .otherwise(v)
         )
 
-    begin = name_key(F.regexp_replace(text(c), STATUS_WORDS, ""))
-    return F.aggregate(F.array(*map(F.lit, range(rounds))), begin, lambda v, _: step(v))
+    def turn(state: Column, _: Column) -> Column:
+        stripped = lambda new: F.struct(new.alias("v"), (new != state["v"]).alias("goes_on"))
+        return F.when(state["goes_on"], let(step(state["v"]), stripped)).otherwise(state)
+
+    first = name_key(F.regexp_replace(text(c), STATUS_WORDS, ""))
+    turns = lambda begin: F.sequence(F.lit(1), F.length(begin) + 1)
+    return let(first, lambda begin: F.aggregate(turns(begin), F.struct(begin.alias("v"), F.lit(True).alias("goes_on")), turn)["v"])
 
 
 def names_match(a: Column, b: Column, city: Column, unit: Column) -> Column:

@@ -73,6 +73,26 @@ def context_error() -> Column:
     )
 
 
+def city_contexts(names: DataFrame, column: str, catalog: DataFrame, districts: DataFrame) -> DataFrame:
+    """City contexts of names, with their subdivisions: stage, input_city, city_name, province_name, subdivisions, error.
+
+    ``districts`` (asked_city, payload, error) holds the answers of the map service as JSON text.  A city whose only
+    child is a city of another name has that one's children.
+    """
+    answers = districts.groupBy("asked_city").agg(F.min(F.struct(F.coalesce("error", F.lit("")).alias("error"), "payload")).alias("a"))
+    found = subdivisions_of(F.try_parse_json("a.payload"), F.col("asked_city"))
+    failed = F.col("a.error") != ""
+    known = answers.select("asked_city", F.when(failed, F.struct(F.array().cast(SUBDIVISIONS).alias("subdivisions"), F.lit(None).cast("string").alias("next_city"), F.col("a.error").alias("error"))).otherwise(found).alias("s"))
+    first = resolve_city_names(names, column, catalog).join(known, F.col("city_name") == F.col("asked_city"), "left").drop("asked_city")
+    second = known.select(F.col("asked_city").alias("__next"), F.col("s").alias("__s"))
+    met = first.join(second, F.col("s.next_city") == F.col("__next"), "left")
+    missing = F.concat(F.lit("高德未唯一匹配目标城市："), F.coalesce("s.next_city", "city_name"))
+    own = F.when(F.col("s.next_city").isNull(), F.col("s")).otherwise(F.col("__s"))
+    error = F.when(F.col("city_error") != "", F.col("city_error")).when(own.isNull(), missing).otherwise(own["error"])
+    subdivisions = F.coalesce(F.when(error == "", own["subdivisions"]), F.array().cast(SUBDIVISIONS))
+    return met.select(F.lit("city_context").alias("stage"), strip(column).alias("input_city"), "city_name", "province_name", subdivisions.alias("subdivisions"), error.alias("error"))
+
+
 def prepared_contexts(contexts: DataFrame) -> DataFrame:
     """Contexts with what the normalizer needs of them, worked out once for each city."""
     names = F.transform("subdivisions", lambda s: strip(s["name"]))

@@ -169,11 +169,12 @@ def inspect_sources(items: list[dict], cells: DataFrame, pages: DataFrame, words
     for r in as_dicts(infer_table_rules(cells.filter("row_no is not null"), words)):
         if r["file"] not in labelled:
             by[r["file"]]["rules"].append({**r, "location": json.loads(r["location"]), "data_end_row": None, "place_name_separator": "", "required_cell_values": [], "exclude_rows": [], "approved": False})
-    blocks = block_groups(pages).cache()
+    blocks = block_groups(pages).persist()
     for r in as_dicts(blocks.select("file", "tag", "classes", "count", "preview")):
         by[r.pop("file")]["blocks"].append(r)
     for r in as_dicts(infer_css_rules(blocks, words)):
         by[r["file"]]["rules"].append({**r, "kind": "html_css", "exclude_rows": [], "approved": False})
+    blocks.unpersist()
     plans, counts, errors = [], defaultdict(int), 0
     for item in items:
         files, rules = [], []
@@ -203,20 +204,16 @@ def inspect_sources(items: list[dict], cells: DataFrame, pages: DataFrame, words
 
 
 def merged_rules(rules: list[dict]) -> list[dict]:
-    """``consolidate_rules`` for the few rules of one source, already on the driver."""
-    groups: dict[str, list[dict]] = defaultdict(list)
-    for r in rules:
-        if r["kind"] == "html_key_value":
-            groups[json.dumps({k: v for k, v in r.items() if k != "file"}, ensure_ascii=False, sort_keys=True)].append(r)
-    out = [r for r in rules if r["kind"] != "html_key_value"]
-    for same in groups.values():
-        places = {(posixpath.dirname(r["file"]), posixpath.splitext(r["file"])[1].lower()) for r in same}
-        if len(same) > 1 and len(places) == 1:
-            ((folder, suffix),) = places
-            out.append({**{k: v for k, v in same[0].items() if k != "file"}, "file_pattern": posixpath.join(folder, f"*{suffix}")})
-        else:
-            out += same
-    return out
+    """The rules of one source, its key-value rules consolidated; these come last."""
+    others = [r for r in rules if r["kind"] != "html_key_value"]
+    pairs = [r for r in rules if r["kind"] == "html_key_value"]
+    if len(pairs) < 2:
+        return others + pairs
+    spark = SparkSession.getActiveSession()
+    same = lambda r: json.dumps({k: v for k, v in r.items() if k != "file"}, ensure_ascii=False, sort_keys=True)
+    merged = consolidate_rules(spark.createDataFrame([(r["file"], same(r)) for r in pairs], "file string, rule string")).collect()
+    place = lambda r: {"file": r["file"]} if r["file"] is not None else {"file_pattern": r["file_pattern"]}
+    return others + [{**json.loads(r["rule"]), **place(r)} for r in sorted(merged, key=lambda r: r["file"] or r["file_pattern"])]
 
 
 # -- running --------------------------------------------------------------------------------------------
@@ -241,8 +238,24 @@ def _location(rule: dict) -> str:
     return json.dumps(rule.get("location") or {}, ensure_ascii=False)
 
 
+def _chosen(df: DataFrame, rule: dict, url: str) -> DataFrame:
+    """The rows that a rule is for, with the address of their source.
+
+    A rule names one file, or comes with rows that have been joined with its files (file, source_url) already.
+    """
+    if "source_url" not in df.columns:
+        df = df.withColumn("source_url", F.lit(url))
+    return df.filter(F.col("file") == rule["file"]) if rule.get("file") else df
+
+
+def attribute_value(cell: Column | None, value) -> Column:
+    """An attribute from its cell, or the constant where the rule has no column or the row no cell."""
+    constant = squeeze(value if isinstance(value, Column) else F.lit(value))
+    return constant if cell is None else F.when(cell.isNotNull(), squeeze(cell)).otherwise(constant)
+
+
 def table_records(cells: DataFrame, rule: dict, words: Vocabulary, url: str = "") -> DataFrame:
-    """Rows of one table as raw records.
+    """Rows of tables as raw records, each table for itself.
 
     Order matters: row range, excluded rows and required values come first, then blank cells take the last value
     above them among the rows that are left, then rows without a name or that repeat the header go.
@@ -254,7 +267,7 @@ def table_records(cells: DataFrame, rule: dict, words: Vocabulary, url: str = ""
     fills = [_index(i, "fill_down_columns") for i in rule.get("fill_down_columns") or []]
     skip = [_index(i, "exclude_rows") for i in rule.get("exclude_rows") or []]
     at = lambda i: F.coalesce(F.get("cells", F.lit(i - 1)), F.lit(""))
-    df = cells.filter((F.col("file") == rule["file"]) & (F.col("kind") == rule["kind"]) & (F.col("location") == _location(rule)) & (F.col("row_no") >= start))
+    df = _chosen(cells, rule, url).filter((F.col("kind") == rule["kind"]) & (F.col("location") == _location(rule)) & (F.col("row_no") >= start))
     if rule.get("data_end_row") is not None:
         df = df.filter(F.col("row_no") <= _index(rule["data_end_row"], "data_end_row"))
     if skip:
@@ -274,11 +287,11 @@ def table_records(cells: DataFrame, rule: dict, words: Vocabulary, url: str = ""
     for p in parts:
         df = df.filter(~words.is_place(p))
     address = rule.get("original_address_column")
-    values = {k: squeeze(at(_index(e["column"], "attribute_fields.column"))) if e.get("column") is not None else squeeze(F.lit(e.get("value"))) for k, e in _entries(rule).items()}
+    values = {k: attribute_value(at(_index(e["column"], "attribute_fields.column")) if e.get("column") is not None else None, e.get("value")) for k, e in _entries(rule).items()}
     place = [F.lit(f"{k} {v}") for k, v in (rule.get("location") or {}).items()]
     return df.filter("place_name <> ''").select(
         "place_name", (squeeze(at(_index(address, "original_address_column"))) if address is not None else F.lit("")).alias("original_address"), _map(values).alias("attributes"), F.col("cells").alias("row"),
-        located(F.lit(url), [squeeze("file"), *place, F.concat(F.lit("row "), F.col("row_no").cast("string"))]).alias("source_reference"), "file", F.col("row_no").cast("long").alias("row_no"),
+        located(F.col("source_url"), [squeeze("file"), *place, F.concat(F.lit("row "), F.col("row_no").cast("string"))]).alias("source_reference"), "file", F.col("row_no").cast("long").alias("row_no"),
     )
 
 
@@ -296,19 +309,19 @@ def css_records(pages: DataFrame, rule: dict, words: Vocabulary, url: str = "")
         raise ValueError("html_css 规则缺少行或地点选择器")
     entries = _entries(rule)
     picks = {k: e["selector"] for k, e in entries.items() if (e.get("selector") or "").strip()}
-    df = pages.filter(F.col("file") == rule["file"]).select("file", F.explode(selected_rows(F.col("html"), row, name, (rule.get("original_address_selector") or "").strip(), picks)).alias("r"))
+    df = _chosen(pages, rule, url).select("file", "source_url", F.explode(selected_rows(F.col("html"), row, name, (rule.get("original_address_selector") or "").strip(), picks)).alias("r"))
     skip = rule.get("exclude_rows") or []
     if skip:
         df = df.filter(~F.col("r.row_no").isin(*skip))
     values = {k: F.coalesce(F.try_element_at("r.attributes", F.lit(k)), F.lit("")) if k in picks else squeeze(F.lit(e.get("value"))) for k, e in entries.items()}
-    reference = located(F.lit(url), [_base(F.col("file")), F.lit(row), F.concat(F.lit("row "), F.col("r.row_no").cast("string"))])
+    reference = located(F.col("source_url"), [_base(F.col("file")), F.lit(row), F.concat(F.lit("row "), F.col("r.row_no").cast("string"))])
     return _record(df.filter(~words.is_place(F.col("r.place_name"))), F.col("r.place_name"), F.col("r.original_address"), _map(values), reference, F.col("r.row_no"))
 
 
 def key_value_records(pages: DataFrame, rule: dict, words: Vocabulary, url: str = "") -> DataFrame:
     """One record for a page of labels and values; the first value of a label counts."""
     pairs = F.filter(F.transform(key_values("html"), lambda p: F.struct(label_key(p["label"]).alias("k"), squeeze(p["value"]).alias("v"))), lambda p: (p["k"] != "") & (p["v"] != ""))
-    df = pages.filter(F.col("file") == rule["file"]).select("file", pairs.alias("pairs"))
+    df = _chosen(pages, rule, url).select("file", "source_url", pairs.alias("pairs"))
 
     def read(own, default) -> Column:
         labels = own or list(default)
@@ -322,7 +335,7 @@ def key_value_records(pages: DataFrame, rule: dict, words: Vocabulary, url: str
         got = read(e.get("labels"), by[k].headers if k in by else ())
         values[k] = F.when(got != "", got).otherwise(squeeze(F.lit(e.get("value"))))
     name = read(rule.get("place_name_labels"), (*words.place_headers, *words.exact_place_headers))
-    reference = located(F.lit(url), [_base(F.col("file")), F.lit("key-value table")])
+    reference = located(F.col("source_url"), [_base(F.col("file")), F.lit("key-value table")])
     return _record(df, F.when(words.is_place(name), "").otherwise(name), read(rule.get("original_address_labels"), words.address_headers), _map(values), reference, F.lit(1))
 
 
@@ -338,10 +351,10 @@ def regex_records(segments: DataFrame, rule: dict, url: str = "") -> DataFrame:
     if "place_name" not in groups:
         raise ValueError("text_regex 必须包含 place_name 命名组")
     each = F.arrays_zip(*[F.regexp_extract_all("text", F.lit(pattern), F.lit(i)).alias(k) for k, i in groups.items()])
-    df = segments.filter(F.col("file") == rule["file"]).select("file", "reference", F.posexplode(each).alias("at", "m"))
+    df = _chosen(segments, rule, url).select("file", "source_url", "reference", F.posexplode(each).alias("at", "m"))
     values = {k: F.when(squeeze(F.col(f"m.{k}")) != "", squeeze(F.col(f"m.{k}"))).otherwise(squeeze(F.lit(e.get("value")))) if k in groups else squeeze(F.lit(e.get("value"))) for k, e in _entries(rule).items()}
     address = squeeze(F.col("m.original_address")) if "original_address" in groups else F.lit("")
-    return _record(df, squeeze(F.col("m.place_name")), address, _map(values), located(F.lit(url), [F.col("reference")]), F.col("at") + 1)
+    return _record(df, squeeze(F.col("m.place_name")), address, _map(values), located(F.col("source_url"), [F.col("reference")]), F.col("at") + 1)
 
 
 def page_segments(pages: DataFrame) -> DataFrame:
@@ -354,7 +367,7 @@ def object_records(texts: DataFrame, rule: dict, url: str = "") -> DataFrame:
     keys, kind, body = rule.get("place_name_keys") or [], str(rule.get("object_format") or "json").strip(), F.col("text")
     if not keys:
         raise ValueError("object_list 规则缺少 place_name_keys")
-    df = texts.filter(F.col("file") == rule["file"])
+    df = _chosen(texts, rule, url)
     if kind in ("json", "jsonp"):
         if kind == "jsonp":
             call = r"(?s)^\s*[\w.]+\s*\((.*)\)\s*;?\s*$"
@@ -362,25 +375,25 @@ def object_records(texts: DataFrame, rule: dict, url: str = "") -> DataFrame:
         path = "$" + "".join(f"[{json.dumps(str(k), ensure_ascii=False)}]" for k in rule.get("container_keys") or [])
         items = F.try_variant_get(F.parse_json(body), path, "array<variant>")
         get = lambda k: squeeze(F.coalesce(F.try_variant_get("item", f"$[{json.dumps(str(k), ensure_ascii=False)}]", "string"), F.lit("")))
-        df = df.select("file", F.posexplode(F.coalesce(items, F.array().cast("array<variant>"))).alias("at", "item")).filter(F.schema_of_variant("item").startswith("OBJECT"))
+        df = df.select("file", "source_url", F.posexplode(F.coalesce(items, F.array().cast("array<variant>"))).alias("at", "item")).filter(F.schema_of_variant("item").startswith("OBJECT"))
     elif kind == "html_object_literal":
         get = lambda k: squeeze(F.coalesce(F.try_variant_get("item", f"$[{json.dumps(str(k), ensure_ascii=False)}]", "string"), F.lit("")))
-        df = df.select("file", F.posexplode(html_objects(body, list(map(str, rule.get("marker_keys") or [])))).alias("at", "o")).select("file", "at", F.parse_json("o").alias("item"))
+        df = df.select("file", "source_url", F.posexplode(html_objects(body, list(map(str, rule.get("marker_keys") or [])))).alias("at", "o")).select("file", "source_url", "at", F.parse_json("o").alias("item"))
     elif kind == "html_js_assignment":
         prefix = str(rule.get("assignment_id_prefix") or "").strip()
         if not prefix:
             raise ValueError("html_js_assignment 规则缺少 assignment_id_prefix")
         pattern = "\\Q" + prefix + '\\E(\\p{Nd}+)\\.(\\w+)="([^"]*)"'
         parts = F.arrays_zip(*[F.regexp_extract_all(body, F.lit(pattern), F.lit(i)).alias(n) for i, n in ((1, "card"), (2, "name"), (3, "value"))])
-        rows = df.select("file", F.posexplode(parts).alias("pos", "p")).groupBy("file", F.col("p.card").cast("long").alias("card"), "p.name").agg(F.max_by("p.value", "pos").alias("value"))
-        cards = rows.groupBy("file", "card").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("item"))
+        rows = df.select("file", "source_url", F.posexplode(parts).alias("pos", "p")).groupBy("file", "source_url", F.col("p.card").cast("long").alias("card"), "p.name").agg(F.max_by("p.value", "pos").alias("value"))
+        cards = rows.groupBy("file", "source_url", "card").agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("item"))
         df = cards.withColumn("at", F.row_number().over(Window.partitionBy("file").orderBy("card")) - 1)
         get = lambda k: squeeze(F.coalesce(F.try_element_at("item", F.lit(str(k))), F.lit("")))
     else:
         raise ValueError(f"不支持的 object_format：{kind}")
     first = lambda ks: F.coalesce(*[F.nullif(get(k), F.lit("")) for k in ks], F.lit("")) if ks else F.lit("")
     values = {k: first(e["keys"]) if isinstance(e.get("keys"), (list, tuple)) else squeeze(F.lit(e.get("value"))) for k, e in _entries(rule).items()}
-    reference = located(F.lit(url), [_base(F.col("file")), F.concat(F.lit("row "), (F.col("at") + 1).cast("string"))])
+    reference = located(F.col("source_url"), [_base(F.col("file")), F.concat(F.lit("row "), (F.col("at") + 1).cast("string"))])
     return _record(df, first(keys), first(rule.get("original_address_keys") or []), _map(values), reference, F.col("at") + 1)
 
 
@@ -401,26 +414,28 @@ def rule_files(files: list[dict], rule: dict) -> list[tuple[str, str]]:
     return [(n, declared[n]) for n in names]
 
 
+#: For each kind of rule: which input it reads, and what makes records of it.
+READERS: dict[str, tuple[str, Callable]] = {
+    **{kind: ("cells", table_records) for kind in TABLE_KINDS},
+    "html_css": ("pages", css_records),
+    "html_key_value": ("pages", key_value_records),
+    "text_regex": ("segments", lambda df, rule, words, url="": regex_records(df, rule, url)),
+    "object_list": ("texts", lambda df, rule, words, url="": object_records(df, rule, url)),
+}
+
+
 def run_rule(rule: dict, files: list[dict], source: dict, inputs: dict[str, DataFrame], words: Vocabulary) -> DataFrame:
-    """Raw records of one rule.  inputs: cells, pages (file, html), segments (file, text, reference), texts (file, text)."""
-    kind, out = rule.get("kind"), None
-    for name, own_url in rule_files(files, rule):
-        url = own_url or " ".join(str(source.get("content_url") or source.get("landing_page_url") or "").split())
-        one = {**rule, "file": name}
-        if kind in TABLE_KINDS:
-            made = table_records(inputs["cells"], one, words, url)
-        elif kind == "html_css":
-            made = css_records(inputs["pages"], one, words, url)
-        elif kind == "html_key_value":
-            made = key_value_records(inputs["pages"], one, words, url)
-        elif kind == "text_regex":
-            made = regex_records(inputs["segments"], one, url)
-        elif kind == "object_list":
-            made = object_records(inputs["texts"], one, url)
-        else:
-            raise ValueError(f"不支持的规则类型：{kind}")
-        out = made if out is None else out.unionByName(made)
-    return out
+    """Raw records of one rule.  inputs: cells, pages (file, html), segments (file, text, reference), texts (file, text).
+
+    The rule's files are a table that its input is joined with, so the plan is the same for one file and ten thousand.
+    """
+    if rule.get("kind") not in READERS:
+        raise ValueError(f"不支持的规则类型：{rule.get('kind')}")
+    name, read = READERS[rule["kind"]]
+    fallback = " ".join(str(source.get("content_url") or source.get("landing_page_url") or "").split())
+    chosen = [(f, url or fallback) for f, url in rule_files(files, rule)]
+    table = inputs[name].sparkSession.createDataFrame(chosen, "file string, source_url string")
+    return read(inputs[name].join(table, "file"), {k: v for k, v in rule.items() if k not in ("file", "file_pattern")}, words)
 
 
 def run_plan(spark: SparkSession, plan: dict, stage: str, inputs: dict[str, DataFrame], words: Vocabulary, build: Callable[[DataFrame], DataFrame] | None = None, skip: Callable[[Column], Column] | None = None) -> tuple[DataFrame, dict[str, int], list[str]]:
@@ -468,6 +483,4 @@ def run_plan(spark: SparkSession, plan: dict, stage: str, inputs: dict[str, Data
     return out, {"source_count": len(plan["items"]), **{n: count[n] for n in names}, "error_count": len(errors)}, errors
 
 
-def attribute_value(column: Column, value: Column) -> Column:
-    """An attribute from its cell, or the constant where the rule has no column."""
-    return F.when(column.isNotNull(), squeeze(column)).otherwise(text(value))
+

@@ -161,9 +161,19 @@ def _normalized_again(df: DataFrame, column: str, unit: Column, literals: tuple[
     return stage(held, **{column: usable}).withColumns({k: F.col(f"__own_{k}") for k in RESULT}).drop(*[f"__own_{k}" for k in RESULT])
 
 
+def _answers(table: DataFrame, query: str, kind: str) -> DataFrame:
+    """One answer for each query of a service table: __error, __c (candidates) and __tries, the requests that it took.
+
+    A table that repeats a query has one without an error counted, so no record is multiplied.
+    """
+    tries = F.col("attempts").cast("int") if "attempts" in table.columns else F.lit(1)
+    answer = F.struct(F.coalesce("error", F.lit("")).alias("__error"), F.coalesce("candidates", F.array().cast(kind)).alias("__c"), F.coalesce(tries, F.lit(1)).alias("__tries"))
+    return table.groupBy(query, "asked_city").agg(F.min(answer).alias("a")).select(query, "asked_city", "a.*")
+
+
 def verify_by_geocode(df: DataFrame, geocodes: DataFrame, literals: tuple[Column, Column]) -> DataFrame:
     """Map columns from the best geocode of the normalized address; a query without a row found nothing."""
-    asked = geocodes.select(F.col("asked_address").alias("__qa"), F.col("asked_city").alias("__qc"), F.coalesce("error", F.lit("")).alias("__error"), F.coalesce("candidates", F.array().cast(GEOCODES)).alias("__c"))
+    asked = _answers(geocodes, "asked_address", GEOCODES).withColumnsRenamed({"asked_address": "__qa", "asked_city": "__qc"})
     df = with_map_columns(df).join(asked, (F.col("normalized_address") == F.col("__qa")) & (F.col("city_name") == F.col("__qc")), "left")
     df = stage(df, __best=F.when(F.coalesce("__error", F.lit("")) == "", best_geocode(F.col("normalized_address"), F.col("city_name"), F.col("__c"))))
     failed = F.coalesce("__error", F.lit("")) != ""
@@ -172,8 +182,9 @@ def verify_by_geocode(df: DataFrame, geocodes: DataFrame, literals: tuple[Column
         "map_match_status": F.when(failed, "error").otherwise(F.coalesce("__best.status", F.lit("not_found"))),
         "map_reason": F.when(failed, F.col("__error")).otherwise(F.coalesce("__best.reason", F.lit("高德服务正常但未找到结果"))),
         "map_request_count": F.lit(1),
+        "actual_http_attempt_count": F.coalesce("__tries", F.lit(1)),
     })
-    df = df.drop("__qa", "__qc", "__error", "__c", "__best")
+    df = df.drop("__qa", "__qc", "__error", "__c", "__tries", "__best")
     return _normalized_again(df, "map_address", target_unit(F.col("attributes")), literals)
 
 
@@ -192,11 +203,11 @@ def search_names() -> Column:
 def find_by_poi(df: DataFrame, pois: DataFrame, literals: tuple[Column, Column]) -> DataFrame:
     """Map columns from points of interest: the first name with exactly one matching address."""
     c = F.col
-    asked = pois.select(c("asked_name").alias("__qn"), c("asked_city").alias("__qc"), F.coalesce("error", F.lit("")).alias("__error"), F.coalesce("candidates", F.array().cast(POIS)).alias("__c"))
+    asked = _answers(pois, "asked_name", POIS).withColumnsRenamed({"asked_name": "__qn", "asked_city": "__qc"})
     unit = target_unit(c("attributes"))
     names = df.select("record_id", "city_name", *CONTEXT_COLUMNS, *RESULT, unit.alias("__unit0"), F.posexplode(search_names()).alias("turn", "name"))
     names = names.join(asked, (c("name") == c("__qn")) & (c("city_name") == c("__qc")), "left")
-    rows = names.select("record_id", "turn", "name", "city_name", *CONTEXT_COLUMNS, *RESULT, "__unit0", F.coalesce("__error", F.lit("")).alias("__error"), F.posexplode_outer("__c").alias("pos", "p"))
+    rows = names.select("record_id", "turn", "name", "city_name", *CONTEXT_COLUMNS, *RESULT, "__unit0", F.coalesce("__error", F.lit("")).alias("__error"), F.coalesce("__tries", F.lit(1)).alias("__tries"), F.posexplode_outer("__c").alias("pos", "p"))
     get = lambda k: strip(c(f"p.{k}"))
     fits = (
         c("p").isNotNull() & names_match(c("name"), get("name"), c("city_name"), c("__unit0")) & (name_key(get("cityname")) == name_key(c("city_name")))
@@ -210,20 +221,22 @@ def find_by_poi(df: DataFrame, pois: DataFrame, literals: tuple[Column, Column])
     good = c("__fits") & (c("found") != "")
     per_name = rows.groupBy("record_id", "turn").agg(
         F.max("__error").alias("error"),
+        F.max("__tries").alias("tries"),
         F.size(F.collect_set(F.when(good, compact("found")))).alias("n"),
         F.min(F.when(good, F.struct("pos", c("found").alias("address"), get("type").alias("type"), get("typecode").alias("typecode")))).alias("first"),
     )
     # names are asked in turn until one matches or fails; otherwise the last verdict stands
     stops = (c("error") != "") | (c("n") == 1)
     verdict = F.struct((~stops).alias("goes_on"), F.when(stops, c("turn")).otherwise(-c("turn")).alias("order"), c("turn"), c("error"), c("n"), c("first"))
-    one = per_name.groupBy("record_id").agg(F.min(verdict).alias("v"))
+    one = per_name.groupBy("record_id").agg(F.min(verdict).alias("v"), F.map_from_entries(F.collect_list(F.struct("turn", "tries"))).alias("tries"))
     df = with_map_columns(df).join(one, "record_id", "left")
+    asked_turns = F.filter(F.map_entries("tries"), lambda e: e["key"] <= c("v.turn"))
     v, hit = c("v"), (c("v.error") == "") & (c("v.n") == 1)
     status = F.when(v.isNull(), "").when(c("v.error") != "", "error").when(c("v.n") == 1, "poi_match").when(c("v.n") > 1, "ambiguous").otherwise("not_found")
     reasons = {"error": c("v.error"), "poi_match": F.lit("唯一名称匹配的 POI"), "ambiguous": F.lit("名称完全一致的 POI 对应多个不同地址"), "not_found": F.lit("未找到名称、城市和地址均匹配的 POI")}
     reason = F.coalesce(*[F.when(status == s, r) for s, r in reasons.items()], F.lit(""))
     pick = lambda k: F.when(hit, c(f"v.first.{k}")).otherwise("")
-    return df.withColumns({"map_address": F.coalesce(pick("address"), F.lit("")), "map_poi_type": F.coalesce(pick("type"), F.lit("")), "map_poi_typecode": F.coalesce(pick("typecode"), F.lit("")), "map_match_status": status, "map_reason": reason, "map_request_count": F.coalesce(c("v.turn") + 1, F.lit(0))}).drop("v")
+    return df.withColumns({"map_address": F.coalesce(pick("address"), F.lit("")), "map_poi_type": F.coalesce(pick("type"), F.lit("")), "map_poi_typecode": F.coalesce(pick("typecode"), F.lit("")), "map_match_status": status, "map_reason": reason, "map_request_count": F.coalesce(c("v.turn") + 1, F.lit(0)), "actual_http_attempt_count": F.coalesce(F.aggregate(asked_turns, F.lit(0), lambda n, e: n + e["value"]), F.lit(0))}).drop("v", "tries")
 
 
 def route_of() -> Column:
@@ -250,7 +263,7 @@ def _route(s: Column) -> Column:
 
 def _settled(df: DataFrame, status: str, reason, address: Column | str, source: str, why: str) -> DataFrame:
     value = lambda x: F.lit(x) if isinstance(x, str) else x
-    return with_map_columns(df).withColumns({"map_match_status": F.lit(status), "map_reason": value(reason), "final_address": value(address), "final_address_source": F.lit(source), "final_address_reason": F.lit(why), "map_request_count": F.lit(0)})
+    return with_map_columns(df).withColumns({"map_match_status": F.lit(status), "map_reason": value(reason), "final_address": value(address), "final_address_source": F.lit(source), "final_address_reason": F.lit(why), "map_request_count": F.lit(0), "actual_http_attempt_count": F.lit(0)})
 
 
 def resolve_records(normalized: DataFrame, catalog: Catalog, geocodes: DataFrame, pois: DataFrame) -> DataFrame:
@@ -297,6 +310,7 @@ def resolve_without_key(normalized: DataFrame) -> DataFrame:
         "map_match_status": F.when(asks, "error").otherwise(F.col("map_match_status")),
         "map_reason": F.when(asks, "未配置 AMAP_KEY").otherwise(F.col("map_reason")),
         "map_request_count": F.lit(0),
+        "actual_http_attempt_count": F.lit(0),
         "final_address": F.when(asks & ~keeps & (F.col("route") == "poi"), "").otherwise(F.when(keeps, official).otherwise(F.col("final_address"))),
         "final_address_source": F.when(F.col("route") == "poi", "").otherwise(F.col("final_address_source")),
         "final_address_reason": F.when(F.col("route") == "poi", "").when(keeps, "地图未提供可用地址，保留来源地址").otherwise(F.col("final_address_reason")),
