@@ -205,31 +205,34 @@ def find_by_poi(df: DataFrame, pois: DataFrame, literals: tuple[Column, Column])
     c = F.col
     asked = _answers(pois, "asked_name", POIS).withColumnsRenamed({"asked_name": "__qn", "asked_city": "__qc"})
     unit = target_unit(c("attributes"))
-    names = df.select("record_id", "city_name", *CONTEXT_COLUMNS, *RESULT, unit.alias("__unit0"), F.posexplode(search_names()).alias("turn", "name"))
+    whole = F.struct(*[F.col(f"`{k}`") for k in df.columns]).alias("__whole")
+    names = df.select("record_id", "city_name", *CONTEXT_COLUMNS, *RESULT, unit.alias("__unit0"), whole, F.posexplode_outer(search_names()).alias("turn", "name"))
     names = names.join(asked, (c("name") == c("__qn")) & (c("city_name") == c("__qc")), "left")
-    rows = names.select("record_id", "turn", "name", "city_name", *CONTEXT_COLUMNS, *RESULT, "__unit0", F.coalesce("__error", F.lit("")).alias("__error"), F.coalesce("__tries", F.lit(1)).alias("__tries"), F.posexplode_outer("__c").alias("pos", "p"))
+    rows = names.select("record_id", "turn", "name", "city_name", *CONTEXT_COLUMNS, *RESULT, "__unit0", "__whole", F.coalesce("__error", F.lit("")).alias("__error"), F.coalesce("__tries", F.lit(1)).alias("__tries"), F.posexplode_outer("__c").alias("pos", "p"))
     get = lambda k: strip(c(f"p.{k}"))
     fits = (
         c("p").isNotNull() & names_match(c("name"), get("name"), c("city_name"), c("__unit0")) & (name_key(get("cityname")) == name_key(c("city_name")))
         & ((c("__unit0") == "") | (name_key(get("adname")) == name_key(c("__unit0")))) & ~has(get("type"), AUXILIARY_TYPE)
     )
     detail, area = get("address"), get("adname")
-    whole = F.when(detail == "", "").when(F.startswith(detail, c("city_name")), detail).when((area != "") & F.startswith(detail, area), F.concat("city_name", detail)).otherwise(F.concat(c("city_name"), area, detail))
+    line = F.when(detail == "", "").when(F.startswith(detail, c("city_name")), detail).when((area != "") & F.startswith(detail, area), F.concat("city_name", detail)).otherwise(F.concat(c("city_name"), area, detail))
     rows = stage(rows, __fits=F.coalesce(fits, F.lit(False)))
-    rows = stage(rows, found=F.when(F.col("__fits"), whole).otherwise(""))
+    rows = stage(rows, found=F.when(F.col("__fits"), line).otherwise(""))
     rows = _normalized_again(rows, "found", c("__unit0"), literals).withColumn("found", without_guides("found"))
     good = c("__fits") & (c("found") != "")
     per_name = rows.groupBy("record_id", "turn").agg(
         F.max("__error").alias("error"),
         F.max("__tries").alias("tries"),
+        F.any_value("__whole").alias("whole"),
         F.size(F.collect_set(F.when(good, compact("found")))).alias("n"),
         F.min(F.when(good, F.struct("pos", c("found").alias("address"), get("type").alias("type"), get("typecode").alias("typecode")))).alias("first"),
     )
     # names are asked in turn until one matches or fails; otherwise the last verdict stands
     stops = (c("error") != "") | (c("n") == 1)
     verdict = F.struct((~stops).alias("goes_on"), F.when(stops, c("turn")).otherwise(-c("turn")).alias("order"), c("turn"), c("error"), c("n"), c("first"))
-    one = per_name.groupBy("record_id").agg(F.min(verdict).alias("v"), F.map_from_entries(F.collect_list(F.struct("turn", "tries"))).alias("tries"))
-    df = with_map_columns(df).join(one, "record_id", "left")
+    entries = F.collect_list(F.when(c("turn").isNotNull(), F.struct("turn", "tries")))
+    one = per_name.groupBy("record_id").agg(F.min(F.when(c("turn").isNotNull(), verdict)).alias("v"), F.map_from_entries(entries).alias("tries"), F.any_value("whole").alias("whole"))
+    df = with_map_columns(one.select("whole.*", "v", "tries"))
     asked_turns = F.filter(F.map_entries("tries"), lambda e: e["key"] <= c("v.turn"))
     v, hit = c("v"), (c("v.error") == "") & (c("v.n") == 1)
     status = F.when(v.isNull(), "").when(c("v.error") != "", "error").when(c("v.n") == 1, "poi_match").when(c("v.n") > 1, "ambiguous").otherwise("not_found")
@@ -261,25 +264,44 @@ def _route(s: Column) -> Column:
     )
 
 
-def _settled(df: DataFrame, status: str, reason, address: Column | str, source: str, why: str) -> DataFrame:
-    value = lambda x: F.lit(x) if isinstance(x, str) else x
-    return with_map_columns(df).withColumns({"map_match_status": F.lit(status), "map_reason": value(reason), "final_address": value(address), "final_address_source": F.lit(source), "final_address_reason": F.lit(why), "map_request_count": F.lit(0), "actual_http_attempt_count": F.lit(0)})
+#: For routes that ask nothing, the reason, whose address counts, and why.
+SETTLED = {
+    "placeholder": ("map_search 模式为占位，本轮不执行自动高德检索", "", ""),
+    "valid": ("地址有效，无需地图验证", "official", "来源地址有效，直接采用"),
+    "list_official": ("政府资料地址已含道路门牌或具体地点，直接采用官方地址", "official", "政府资料地址"),
+}
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """The records whose route asks the map nothing."""
+    c, official = F.col, strip("normalized_address")
+    by_route = lambda i, other: F.coalesce(*[F.when(c("route") == r, F.lit(v[i])) for r, v in SETTLED.items()], other)
+    gap = strip("normalization_reason")
+    skipped = F.when(gap != "", gap).otherwise(F.concat(F.lit("web_search 的 "), c("normalization_status"), F.lit(" 地址不调用高德")))
+    source = by_route(1, F.lit(""))
+    return with_map_columns(df).withColumns({
+        "map_match_status": F.lit("skipped"),
+        "map_reason": by_route(0, skipped),
+        "final_address": F.when(source == "official", official).otherwise(""),
+        "final_address_source": source,
+        "final_address_reason": by_route(2, F.lit("")),
+        "map_request_count": F.lit(0),
+        "actual_http_attempt_count": F.lit(0),
+    })
 
 
 def resolve_records(normalized: DataFrame, catalog: Catalog, geocodes: DataFrame, pois: DataFrame) -> DataFrame:
-    """Final addresses of records from ``normalize_records(..., keep_context=True)``."""
+    """Final addresses of records from ``normalize_records(..., keep_context=True)``.
+
+    Three branches, by what a record asks: nothing, a geocode, or points of interest.
+    """
     literals = catalog_literals(normalized.sparkSession, catalog)
     df = stage(normalized, route=route_of())
-    at = lambda *routes: df.filter(F.col("route").isin(*routes))
     c, official = F.col, strip("normalized_address")
-    parts = [
-        _settled(at("placeholder"), "skipped", "map_search 模式为占位，本轮不执行自动高德检索", "", "", ""),
-        _settled(at("valid"), "skipped", "地址有效，无需地图验证", official, "official", "来源地址有效，直接采用"),
-        _settled(at("list_official"), "skipped", "政府资料地址已含道路门牌或具体地点，直接采用官方地址", official, "official", "政府资料地址"),
-        _settled(at("skip"), "skipped", F.when(strip("normalization_reason") != "", strip("normalization_reason")).otherwise(F.concat(F.lit("web_search 的 "), c("normalization_status"), F.lit(" 地址不调用高德"))), "", "", ""),
-        final_choice(verify_by_geocode(at("geocode", "list_geocode"), geocodes, literals)),
-    ]
-    found = find_by_poi(at("poi", "list_poi"), pois, literals)
+    by_geocode, by_poi = c("route").isin("geocode", "list_geocode"), c("route").isin("poi", "list_poi")
+    settled = _settled(df.filter(~by_geocode & ~by_poi))
+    located = final_choice(verify_by_geocode(df.filter(by_geocode), geocodes, literals))
+    found = find_by_poi(df.filter(by_poi), pois, literals)
     listed, hit = c("route") == "list_poi", c("map_match_status") == "poi_match"
     unsure = ~listed & (c("normalization_status") == "complete") & (official != "") & c("map_match_status").isin("not_found", "ambiguous")
     detailed = unsure & let(source_parts(c("normalized_address"), c("city_name")), lambda s: (s["road"] != "") | (s["number"] != "") | (s["detail"] != ""))
@@ -292,11 +314,7 @@ def resolve_records(normalized: DataFrame, catalog: Catalog, geocodes: DataFrame
         "map_reason": F.when(detailed, "官网地址缺少可验证道路或门牌，地图未确认完整地址").otherwise(c("map_reason")),
         "map_match_status": F.when(detailed, "needs_review").otherwise(c("map_match_status")),
     })
-    parts.append(found)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.drop(*CONTEXT_COLUMNS)
+    return settled.unionByName(located).unionByName(found).drop(*CONTEXT_COLUMNS)
 
 
 def resolve_without_key(normalized: DataFrame) -> DataFrame:

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from placewright.functions import address as A
 from placewright.functions import text as X
 from placewright.functions import urls as U
-from placewright.operators import extract, links, match, metrics, output
+from placewright.operators import extract, links, match, output
 from placewright.operators.city import catalog_frame, catalog_literals, resolve_city_names, subdivisions_of
 from placewright.operators.normalize import foreign_campus, normalize_records, status_counts
 from placewright.plans import samples as S
 from placewright.sources import files
-from placewright.sources.evidence import page_evidence
 from placewright.sources.pages import item_count, key_values
 
 WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
@@ -277,7 +276,7 @@ def answers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def resolved(spark: SparkSession, d: str) -> DataFrame:
     geocodes, pois = answers(spark, d)
-    return match.resolve_records(normalized(spark, d, keep=True).cache(), S.CATALOG, geocodes, pois)
+    return match.resolve_records(normalized(spark, d, keep=True), S.CATALOG, geocodes, pois)
 
 
 @query()
@@ -285,11 +284,6 @@ def final_choice_router(spark, d):
     return resolved(spark, d).select("record_id", "route", "map_match_status", "map_reason", "map_address", "final_address", "final_address_source", "final_address_reason", "map_request_count")
 
 
-@query()
-def resolution_metrics(spark, d):
-    return metrics.value_counts(resolved(spark, d))
-
-
 @query(f"""WITH g AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS p FROM orders)
 SELECT o_orderkey, CASE p % 3 WHEN 0 THEN '文三路12号' WHEN 1 THEN '文三路' ELSE '学院路12号' END AS map_place, CASE p % 3 WHEN 0 THEN 'consistent' WHEN 1 THEN 'partial' ELSE 'conflict' END AS status,
   CASE p % 3 WHEN 0 THEN '行政区、道路和门牌号均一致' WHEN 1 THEN '无明确冲突，但以下规范地址组件未获地图支持：地图门牌号' ELSE '道路冲突：规范地址“文三路”，地图“学院路”' END AS reason FROM g""")
@@ -327,19 +321,6 @@ def order_cells(spark: SparkSession, d: str) -> DataFrame:
     return o.select(F.concat(F.lit("f/"), F.col("t").cast("string"), F.lit(".csv")).alias("file"), F.lit("sheet").alias("kind"), F.lit('{"sheet": "a"}').alias("location"), (k + 1).cast("long").alias("row_no"), row.alias("cells"))
 
 
-@query("""
-WITH o AS (SELECT o_custkey AS t, o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN '第' || o_orderkey || '中学' END AS name, '文三路' || (o_orderkey % 40) || '号' AS address, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE CAST(o_orderkey % 4 AS VARCHAR) END AS level FROM orders WHERE o_orderkey % 7 <> 0),
-f AS (SELECT *, last_value(name IGNORE NULLS) OVER (PARTITION BY t ORDER BY k ROWS UNBOUNDED PRECEDING) AS filled FROM o)
-SELECT 'f/' || t || '.csv' AS file, k + 1 AS row_no, filled AS place_name, address AS original_address, level FROM f WHERE filled IS NOT NULL""")
-def table_fill_down(spark, d):
-    from pyspark.sql import Window
-
-    cells = order_cells(spark, d).filter((F.col("row_no") - 1) % 7 != 0)
-    above = Window.partitionBy("file").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
-    name = F.last(F.nullif(F.get("cells", F.lit(0)), F.lit("")), ignorenulls=True).over(above)
-    return cells.withColumn("place_name", name).filter("place_name is not null").select("file", "row_no", "place_name", F.get("cells", F.lit(1)).alias("original_address"), F.get("cells", F.lit(2)).alias("level"))
-
-
 @query("SELECT file, CAST(1 AS INTEGER) AS header_row, CAST(2 AS INTEGER) AS data_start_row, '1' AS places, CAST(2 AS INTEGER) AS original_address_column, CASE WHEN gap > 0 THEN CASE WHEN lev > 0 THEN '1,3' ELSE '1' END ELSE CASE WHEN lev > 0 THEN '3' ELSE '' END END AS fills FROM (SELECT 'f/' || o_custkey || '.csv' AS file, count(*) FILTER (o_orderkey % 3 <> 0) AS gap, count(*) FILTER (o_orderkey % 5 = 0 AND o_orderkey % 3 = 0) AS lev FROM orders GROUP BY 1)")
 def table_rule_inference(spark, d):
     cells = order_cells(spark, d).withColumn("row_no", F.col("row_no").cast("int"))
@@ -358,13 +339,6 @@ def rule_consolidation(spark, d):
     return extract.consolidate_rules(rules).select("file_pattern", "file", "label")
 
 
-@query("SELECT event_id, coalesce(nullif(trim(CAST(json_extract_string(props, '$.name') AS VARCHAR)), ''), nullif(trim(CAST(json_extract_string(props, '$.k') AS VARCHAR)), ''), '') AS place FROM events")
-def object_list_json(spark, d):
-    v = F.try_parse_json("props")
-    first = F.coalesce(*[F.nullif(X.squeeze(F.try_variant_get(v, f"$.{k}", "string")), F.lit("")) for k in ("name", "k")], F.lit(""))
-    return read(spark, d, "events").select("event_id", first.alias("place"))
-
-
 @query(r"""
 SELECT doc_id, CAST(unnest(range(1, len(p) + 1)) AS BIGINT) AS row_no, unnest(p) AS place_name, unnest(q) AS original_address
 FROM (SELECT doc_id, regexp_extract_all(text, '\+1 \((\d{3})\) (\d{3}-\d{4})', 2) AS p, regexp_extract_all(text, '\+1 \((\d{3})\) (\d{3}-\d{4})', 1) AS q FROM documents)""")
@@ -400,19 +374,6 @@ def pdf_page_verdict(spark, d):
     return files.pdf_verdict(pages)
 
 
-@query()
-def repeated_block_groups(spark, d):
-    return extract.block_groups(read(spark, d, "pages").select(F.col("page_id").alias("file"), "html")).select(F.col("file").alias("page_id"), "tag", F.array_join("classes", ",").alias("classes"), F.col("count").cast("long").alias("n"), "rank")
-
-
-@query()
-def page_address_evidence(spark, d):
-    """Evidence out of every page, with an address put into its footer."""
-    line = F.concat(F.lit("<footer><p>学校地址：浙江省杭州市西湖区文三路"), F.col("page_id").cast("string"), F.lit("号 邮编：310000</p></footer>"))
-    pages = read(spark, d, "pages").select("page_id", F.concat(F.regexp_replace("html", "</body>.*", ""), line).alias("html"))
-    return pages.select("page_id", F.explode(page_evidence(F.col("html"), ["学校地址"])).alias("e")).select("page_id", "e.address_text", "e.extraction_method", "e.source_region")
-
-
 @query("SELECT page_id, CAST(0 AS BIGINT) AS n_pairs, CAST(len(regexp_extract_all(html, '<li[ >]')) AS BIGINT) AS n_items FROM pages")
 def page_structures(spark, d):
     return read(spark, d, "pages").select("page_id", F.size(key_values("html")).cast("long").alias("n_pairs"), item_count("html").alias("n_items"))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from placewright.plans import families
 from placewright.plans.queries import ORACLES, QUERIES
 
+__all__ = ["families"]  # importing it registers its queries
+
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statuses of normalized addresses: the flagship query."""
