@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placewright.operators import extract, match, metrics
-from placewright.operators.normalize import normalize_records
+from placewright.functions import address as A
+from placewright.functions import text as X
+from placewright.operators import city, extract, match, metrics
+from placewright.operators.normalize import normalize_records, split_invalid
 from placewright.plans import cases as C
 from placewright.plans import samples as S
-from placewright.plans.queries import contexts, order_cells, query, read
-from placewright.sources import files
+from placewright.plans.queries import WS, contexts, order_cells, query, read
+from placewright.sources import fetched, files, sinks
 from placewright.sources.evidence import page_evidence
 
 # -- resolution -----------------------------------------------------------------------------------------
@@ -291,3 +297,210 @@ def page_text_regex(spark, d):
     rule = {"kind": "text_regex", "pattern": r"^name:\n(?P<place_name>.+)\nat (?P<original_address>.+)$"}
     found = extract.regex_records(extract.page_segments(pages), rule, "https://e.org")
     return found.select(F.regexp_extract("file", r"(\d+)", 1).cast("long").alias("k"), "row_no", "place_name", "original_address", "source_reference")
+
+
+# -- files ----------------------------------------------------------------------------------------------
+
+NAMES = ["a/t.csv", "B.XLSX", "c.vision.json", "d.vision.JSON", "e.json", "f.htm", "g.docx", "h.tar.gz", "noext", "i.PDF", "j.jpeg", "k.xls", ".csv"]
+
+
+@query("SELECT n_nationkey, name AS file, CASE WHEN lower(name) LIKE '%.vision.json' THEN 'vision' ELSE CASE lower(regexp_extract(name, '(\\.[^./]*)$', 1)) WHEN '.csv' THEN 'spreadsheet' WHEN '.xlsx' THEN 'spreadsheet' WHEN '.xls' THEN 'spreadsheet' WHEN '.htm' THEN 'html' WHEN '.docx' THEN 'word' WHEN '.pdf' THEN 'pdf' WHEN '.jpeg' THEN 'image' END END AS format"
+       f" FROM (SELECT n_nationkey, {S.pick(NAMES, 'n_nationkey', False)} AS name FROM nation)")
+def source_formats(spark, d):
+    names = spark.sql(f"SELECT n_nationkey, {S.pick(NAMES, 'n_nationkey', True)} AS file FROM {{t}}", t=read(spark, d, "nation"))
+    return names.select("n_nationkey", "file", files.format_of("file").alias("format"))
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS k, p_name, p_brand FROM part)
+SELECT 'd/' || k || '.csv' AS file, 'sheet' AS kind, '{"sheet": "' || k || '"}' AS location, CAST(1 AS INTEGER) AS row_no, CASE k % 3 WHEN 0 THEN '名称|地址|' ELSE 'name|address|' END AS cells, 'ready' AS status FROM p
+UNION ALL SELECT 'd/' || k || '.csv', 'sheet', '{"sheet": "' || k || '"}', 2, p_name || ', x|"' || p_brand || '"|007', 'ready' FROM p
+UNION ALL SELECT 'd/' || k || '.csv', 'sheet', '{"sheet": "' || k || '"}', 3, 'one' || chr(10) || 'two||', 'ready' FROM p""")
+def csv_cells(spark, d):
+    """CSV files: GB18030 and UTF-8 with and without a mark, quotes, lines in cells, short rows, text that looks like numbers."""
+    k = F.col("p_partkey")
+    head = F.when(k % 3 == 0, F.unhex(F.lit("C3FBB3C62CB5D8D6B70A"))).when(k % 3 == 1, F.unhex(F.lit("EFBBBF6E616D652C616464726573730A"))).otherwise(F.unhex(F.lit("6E616D652C616464726573730A")))
+    body = F.concat(F.lit('"'), F.col("p_name"), F.lit(', x","""'), F.col("p_brand"), F.lit('""",007\r\n\r\n"  one \n\n two"\n'))
+    rows = read(spark, d, "part").select(F.concat(F.lit("d/"), k.cast("string"), F.lit(".csv")).alias("path"), F.concat(head, body.cast("binary")).alias("content"))
+    return files.cells(rows).select("file", "kind", "location", "row_no", F.array_join("cells", "|").alias("cells"), "status")
+
+
+@query("""
+SELECT CAST(p_partkey AS VARCHAR) || '.html' AS file, 'table' AS kind, '{"table_index": 1}' AS location, CAST(1 AS INTEGER) AS row_no, 'A name|A place' AS cells, 'ready' AS status, '' AS error FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT CAST(p_partkey AS VARCHAR) || '.html', 'table', '{"table_index": 1}', 2, p_name || '|' || p_brand, 'ready', '' FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT CAST(p_partkey AS VARCHAR) || '.html', 'table', '{"table_index": 1}', 3, p_name || '|x', 'ready', '' FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT CAST(p_partkey AS VARCHAR) || '.html', 'table', '{"table_index": 2}', 1, 'é中', 'ready', '' FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT CAST(p_partkey AS VARCHAR) || '.html', NULL, NULL, 0, NULL, 'manual_review', '' FROM part WHERE p_partkey % 3 = 1
+UNION ALL SELECT CAST(p_partkey AS VARCHAR) || '.txt', NULL, NULL, 0, NULL, 'error', '不支持的来源格式：' || p_partkey || '.txt' FROM part WHERE p_partkey % 3 = 2""")
+def html_cells(spark, d):
+    """HTML tables with heads of two rows and spans, pages without tables, files of other kinds."""
+    k = F.col("p_partkey")
+    table = F.concat(
+        F.lit("<table><thead><tr><th colspan=2>A</th></tr><tr><th>name</th><th>place</th></tr></thead><tr><td rowspan=2> "), F.col("p_name"), F.lit("</td><td>"), F.col("p_brand"), F.lit("</td></tr><tr><td>x<script>y</script></td></tr></table><table></table><table><tr><td>é中"),
+    )
+    body = F.when(k % 3 == 0, table).otherwise("<p>none</p>")
+    name = F.concat(k.cast("string"), F.when(k % 3 == 2, ".txt").otherwise(".html"))
+    return files.cells(read(spark, d, "part").select(name.alias("path"), body.cast("binary").alias("content"))).select("file", "kind", "location", F.coalesce("row_no", F.lit(0)).alias("row_no"), F.array_join("cells", "|").alias("cells"), "status", F.coalesce("error", F.lit("")).alias("error"))
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS k, p_name, p_brand FROM part)
+SELECT k || '.vision.json' AS file, '{"page": 2}' AS location, CAST(1 AS INTEGER) AS row_no, p_name || '||5' AS cells, 'ready' AS status, '' AS error FROM p WHERE k % 4 < 2
+UNION ALL SELECT k || '.vision.json', '{"page": 2}', 2, 'a b', 'ready', '' FROM p WHERE k % 4 < 2
+UNION ALL SELECT k || '.vision.json', NULL, 0, NULL, 'vision_result_empty', '' FROM p WHERE k % 4 = 2
+UNION ALL SELECT k || '.vision.json', NULL, 0, NULL, 'error', '视觉识别文件必须是 vision_source_result JSON' FROM p WHERE k % 4 = 3""")
+def vision_cells(spark, d):
+    """Recognised pages as tables."""
+    k = F.col("p_partkey")
+    full = F.concat(F.lit('{"stage":"vision_source_result","pages":[{"page":1,"rows":[]},{"page":2,"rows":[["'), F.col("p_name"), F.lit('",null,5],["a  b"],"odd"]}]}'))
+    body = F.when(k % 4 < 2, full).when(k % 4 == 2, '{"stage":"vision_source_result","pages":[]}').otherwise('{"stage":"other","pages":[]}')
+    rows = read(spark, d, "part").select(F.concat(k.cast("string"), F.lit(".vision.json")).alias("path"), body.cast("binary").alias("content"))
+    return files.cells(rows).select("file", "location", F.coalesce("row_no", F.lit(0)).alias("row_no"), F.array_join("cells", "|").alias("cells"), "status", F.coalesce("error", F.lit("")).alias("error"))
+
+
+@query("""
+SELECT 'f' || s_nationkey AS file, CAST(1 AS INTEGER) AS row_no, '编号|名称|链接' AS cells FROM supplier GROUP BY 1
+UNION ALL SELECT 'f' || s_nationkey, CAST(1 + row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INTEGER), s_suppkey || '|' || s_name || ' <&>|https://e.org/' || s_suppkey || ' | x' FROM supplier""")
+def workbook_round_trip(spark, d):
+    """Workbooks written for each nation's suppliers, and read again as cells."""
+
+    def write(table):
+        import pyarrow as pa
+
+        rows = sorted(zip(table["s_suppkey"].to_pylist(), table["s_name"].to_pylist(), strict=True))
+        data = sinks.workbook_bytes([("s", ["编号", "名称", "链接"], [[k, f"{n} <&>", f"https://e.org/{k} | x"] for k, n in rows], [8, 20, 30])])
+        return pa.table({"path": [f"f{table['s_nationkey'][0].as_py()}.xlsx"], "content": [data]})
+
+    books = read(spark, d, "supplier").select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_name", "s_nationkey").groupBy("s_nationkey").applyInArrow(write, "path string, content binary")
+    return files.cells(books).select(F.regexp_replace("file", r"\.xlsx$", "").alias("file"), "row_no", F.array_join("cells", "|").alias("cells"))
+
+
+@query("""
+WITH p AS (SELECT page_id AS k, url, octet_length(encode(html)) AS n FROM pages)
+SELECT 'z' || k AS archive, 'a/' || k || '.html' AS path, CAST(n AS BIGINT) AS size, 'note.txt' AS skipped, '' AS error FROM p WHERE k % 5 > 2
+UNION ALL SELECT 'z' || k, 'b.csv', CAST(length(url) AS BIGINT), 'note.txt', '' FROM p WHERE k % 5 > 2
+UNION ALL SELECT 'z' || k, NULL, 0, NULL, CASE k % 5 WHEN 0 THEN 'zip 成员路径非法：../' || k || '.html' WHEN 1 THEN '不是合法 zip 压缩包' ELSE '压缩包内没有可读取的来源文件' END FROM p WHERE k % 5 <= 2""")
+def archive_members(spark, d):
+    """Members of archives: kept ones, junk and other kinds left out; paths that lead out, other bytes, nothing to read."""
+
+    @F.pandas_udf("binary")
+    def pack(keys: pd.Series, urls: pd.Series, pages: pd.Series) -> pd.Series:
+        out = []
+        for k, url, page in zip(keys, urls, pages, strict=True):
+            data = io.BytesIO()
+            with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+                if k % 5 != 2:
+                    z.writestr(f"../{k}.html" if k % 5 == 0 else f"./a//{k}.html", page)
+                    z.writestr("b.csv", url)
+                    z.writestr("folder/", "")
+                z.writestr("__MACOSX/._b.csv", "junk")
+                z.writestr("note.txt", "other")
+            out.append(b"other bytes" if k % 5 == 1 else data.getvalue())
+        return pd.Series(out)
+
+    rows = read(spark, d, "pages").select(F.concat(F.lit("z"), F.col("page_id").cast("string")).alias("path"), pack("page_id", "url", "html").alias("content"))
+    return files.unpacked(rows).select("archive", "path", F.coalesce("size", F.lit(0)).alias("size"), F.array_join("skipped", ",").alias("skipped"), F.coalesce("error", F.lit("")).alias("error"))
+
+
+@query("""
+SELECT 'f' || p_size AS file, CAST(1 AS INTEGER) AS row_no, '序号|学校|地址|电话' AS cells FROM part GROUP BY 1
+UNION ALL SELECT 'f' || p_size, CAST(1 + row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS INTEGER), CASE WHEN p_partkey % 2 = 0 THEN p_partkey || '|' || p_name || '（a）|' || p_brand || '|' ELSE '|第一小学|x|' END FROM part""")
+def recognised_blocks(spark, d):
+    """Tables of recognised blocks under one header; rows that lack their number get a blank one."""
+    k = F.col("p_partkey")
+    head = "<table><tr><td>序号</td><td>学校</td><td>地址</td><td>电话</td></tr>"
+    row = F.when(k % 2 == 0, F.concat(F.lit("<tr><td>"), k.cast("string"), F.lit("</td><td>"), F.col("p_name"), F.lit("(a)</td><td>"), F.col("p_brand"), F.lit("</td></tr>"))).otherwise("<tr><td>第一小学</td><td> x </td></tr>")
+    blocks = read(spark, d, "part").select(F.concat(F.lit("f"), F.col("p_size").cast("string")).alias("file"), k.alias("pos"), F.lit("table").alias("type"), F.concat(F.lit(head), row, F.lit("</table>")).alias("table_body"))
+    return files.block_rows(blocks).select("file", "row_no", F.array_join("cells", "|").alias("cells"))
+
+
+@query("""
+SELECT 'f' || p_size AS file, CAST(p_partkey % 4 + 1 AS INTEGER) AS page, max(CAST(p_partkey % 3 = 0 AS INT)) = 1 AS has_table, min_by(p_name || '；b', p_partkey) FILTER (p_partkey % 3 = 0 AND p_partkey % 2 = 0) AS caption FROM part GROUP BY 1, 2""")
+def recognised_pages(spark, d):
+    """Which pages hold tables, and the first caption of each."""
+    k = F.col("p_partkey")
+    caption = F.when(k % 2 == 0, F.array(F.concat(F.lit(" "), F.col("p_name")), F.lit(""), F.lit(" b "))).otherwise(F.array(F.lit(" ")))
+    blocks = read(spark, d, "part").select(F.concat(F.lit("f"), F.col("p_size").cast("string")).alias("file"), k.alias("pos"), F.when(k % 3 == 0, "table").otherwise("text").alias("type"), (k % 4).cast("int").alias("page_idx"), caption.alias("table_caption"))
+    return files.page_summary(blocks)
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || ',x y' WHEN 1 THEN '1' ELSE NULL END AS first, CASE p_partkey % 4 WHEN 0 THEN CAST(2 AS INTEGER) WHEN 1 THEN 1 ELSE 0 END AS n FROM part")
+def model_answers(spark, d):
+    """Rows in a model's answer: fenced, in prose, broken, absent."""
+    k = F.col("p_partkey")
+    answer = F.when(k % 4 == 0, F.concat(F.lit('Here it is:\n```json\n[["'), F.col("p_name"), F.lit('", " x  y"], ["z"]]\n```\ndone'))).when(k % 4 == 1, "[[1]]").when(k % 4 == 2, "no rows").otherwise('[["a"')
+    rows = files.model_rows(answer)
+    return read(spark, d, "part").select("p_partkey", F.array_join(F.get(rows, F.lit(0)), ",").alias("first"), F.size(rows).alias("n")).withColumn("n", F.greatest(F.coalesce("n", F.lit(0)), F.lit(0)))
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '{WS}+', ' ', 'g')) AS v FROM documents),
+p AS (SELECT CAST(doc_id % 97 AS VARCHAR) AS file, doc_id AS page, CAST(length(v) AS BIGINT) AS n, CAST(doc_id % 3 AS INTEGER) AS image_count, left(v, 400) AS text_preview FROM t),
+f AS (SELECT file, CASE WHEN sum(n) < greatest(100, count(*) * 5) THEN 'needs_vision' ELSE 'ready' END AS inspection_status FROM p GROUP BY 1)
+SELECT p.file, page, n AS text_character_count, image_count, text_preview, inspection_status, CASE WHEN inspection_status = 'needs_vision' THEN 'no_native_text' ELSE '' END AS vision_reason FROM p JOIN f USING (file)""")
+def pdf_page_report(spark, d):
+    """What is said of every page of a PDF."""
+    pages = read(spark, d, "documents").select((F.col("doc_id") % 97).cast("string").alias("file"), F.col("doc_id").alias("page"), "text", (F.col("doc_id") % 3).cast("int").alias("image_count"))
+    return fetched.pdf_report(pages, files.pdf_verdict(pages))
+
+
+# -- addresses and records ------------------------------------------------------------------------------
+
+
+@query("""
+SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN '每条地址记录必须包含非空 place_name' WHEN 1 THEN 'source_nature 必须是 web_search、government_information 或 map_search' WHEN 2 THEN 'address_mode 必须是 web_search、government_list 或 map_search' WHEN 3 THEN '每条地址记录必须包含非空 source_reference' ELSE '' END AS error,
+  CASE c_custkey % 7 WHEN 4 THEN 'government_list' WHEN 5 THEN 'map_search' WHEN 6 THEN 'web_search' END AS mode FROM customer""")
+def record_validation(spark, d):
+    """What is wrong with address records, and the mode of good ones."""
+    k = F.col("c_custkey") % 7
+    rows = read(spark, d, "customer").select(
+        "c_custkey", F.when(k == 0, " 　").otherwise("n").alias("place_name"), F.lit(None).cast("string").alias("original_address"), F.when(k == 1, "rumour").when(k == 4, "government_information").otherwise("web_search").alias("source_nature"),
+        F.when(k == 2, "none").when(k == 5, "map_search").alias("address_mode"), F.when(k == 3, "").otherwise("x").alias("source_reference"),
+    )
+    good, bad = split_invalid(rows)
+    mode = A.mode_of(F.col("address_mode"), F.col("source_nature"))
+    return good.select("c_custkey", F.lit("").alias("error"), mode.alias("mode")).unionByName(bad.select("c_custkey", F.col("validation_error").alias("error"), F.lit(None).cast("string").alias("mode")))
+
+
+@query("""
+SELECT n_nationkey, CASE n_nationkey % 6 WHEN 0 THEN '城市上下文阶段必须是 city_context' WHEN 1 THEN '城市上下文缺少非空 input_city' WHEN 2 THEN '城市上下文缺少非空 city_name' WHEN 3 THEN '城市上下文中的 province_name 不能为空字符串' WHEN 4 THEN '城市上下文中的 subdivisions 必须是数组' ELSE '' END AS error FROM nation""")
+def context_validation(spark, d):
+    k = F.col("n_nationkey") % 6
+    rows = read(spark, d, "nation").select(
+        "n_nationkey", F.when(k == 0, "other").otherwise("city_context").alias("stage"), F.when(k == 1, " ").otherwise("杭州").alias("input_city"), F.when(k != 2, "杭州市").alias("city_name"),
+        F.when(k == 3, "").when(k == 5, F.lit(None)).otherwise("浙江省").alias("province_name"), F.when(k != 4, F.array().cast(city.SUBDIVISIONS)).alias("subdivisions"),
+    )
+    return rows.select("n_nationkey", city.context_error().alias("error"))
+
+
+_TOWNS = ["杭州", "宁波市", "兴安", "阿里", "nowhere", "苏州"]
+
+
+@query("""
+SELECT CASE n WHEN '杭州' THEN '杭州' ELSE n END AS input_city, CASE n WHEN '杭州' THEN '杭州市' WHEN '宁波市' THEN '宁波市' WHEN '兴安' THEN '兴安盟' WHEN '阿里' THEN '阿里地区' WHEN '苏州' THEN '苏州市' END AS city_name,
+  CASE n WHEN '杭州' THEN '浙江省' WHEN '宁波市' THEN '浙江省' WHEN '兴安' THEN '内蒙古自治区' WHEN '阿里' THEN '西藏自治区' WHEN '苏州' THEN '江苏省' END AS province_name,
+  CASE n WHEN '杭州' THEN '西湖区/1/district,拱墅区/2/district' WHEN '宁波市' THEN '镇海区/7/district' ELSE '' END AS units,
+  CASE n WHEN '兴安' THEN '高德服务错误：busy' WHEN '阿里' THEN '高德未唯一匹配目标城市：阿里地区' WHEN 'nowhere' THEN '城市不在固定目录中：nowhere' WHEN '苏州' THEN '高德未返回目标城市的下一级行政区：苏州市' ELSE '' END AS error
+FROM (VALUES ('杭州'), ('宁波市'), ('兴安'), ('阿里'), ('nowhere'), ('苏州')) v(n)""")
+def city_contexts(spark, d):
+    """Contexts with subdivisions: two steps for a city that stands for another, errors of the service and of names."""
+    unit = '{"name":"%s","adcode":"%s","level":"%s"}'
+    node = lambda name, *kids: '{"districts":[{"name":"%s","districts":[%s]}]}' % (name, ",".join(unit % k for k in kids))  # noqa: E731, UP031
+    answers = [
+        ("杭州市", node("杭州市", ("西湖区", "1", "district"), ("拱墅区", "2", "district"), ("西湖区", "1", "district")), ""), ("宁波市", node("宁波市", ("甬市", "5", "city")), ""), ("甬市", node("甬市", ("镇海区", "7", "district")), ""),
+        ("兴安盟", "{}", "高德服务错误：busy"), ("苏州市", node("苏州市"), ""),
+    ]
+    names = spark.createDataFrame([(n,) for n in _TOWNS], "n string")
+    found = city.city_contexts(names, "n", city.catalog_frame(spark, S.CATALOG), spark.createDataFrame(answers, "asked_city string, payload string, error string"))
+    units = F.array_join(F.transform("subdivisions", lambda s: F.concat_ws("/", s["name"], s["adcode"], s["level"])), ",")
+    return found.select("input_city", "city_name", "province_name", units.alias("units"), "error")
+
+
+@query("""
+SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN c_custkey || '号' WHEN 1 THEN '杭州' || c_custkey ELSE '' END AS without_city, '页面访问失败：a | b' || c_custkey AS page_error, 'ab' || c_custkey || 'C' AS label FROM customer""")
+def text_helpers(spark, d):
+    k = F.col("c_custkey").cast("string")
+    address = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("杭州市"), k, F.lit("号"))).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("杭州"), k)).otherwise("杭州市")
+    return read(spark, d, "customer").select(
+        F.col("c_custkey").alias("k"), X.drop_prefix(address, F.lit("杭州市")).alias("without_city"), X.error_line(F.concat(F.lit(" a \t\n\n b"), k, F.lit("\nb"), k)).alias("page_error"), X.label_key(F.concat(F.lit(" （ab）："), k, F.lit("_C "))).alias("label")
+    )
