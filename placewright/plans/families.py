@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import io
+import json
+import urllib.parse
 import zipfile
 
 import pandas as pd
@@ -11,12 +13,13 @@ from pyspark.sql import functions as F
 
 from placewright.functions import address as A
 from placewright.functions import text as X
-from placewright.operators import city, extract, match, metrics
+from placewright.functions import urls as U
+from placewright.operators import city, extract, links, match, metrics, output
 from placewright.operators.normalize import normalize_records, split_invalid
 from placewright.plans import cases as C
 from placewright.plans import samples as S
 from placewright.plans.queries import WS, contexts, order_cells, query, read
-from placewright.sources import fetched, files, sinks
+from placewright.sources import connectors, fetched, files, sinks
 from placewright.sources.evidence import page_evidence
 
 # -- resolution -----------------------------------------------------------------------------------------
@@ -504,3 +507,261 @@ def text_helpers(spark, d):
     return read(spark, d, "customer").select(
         F.col("c_custkey").alias("k"), X.drop_prefix(address, F.lit("杭州市")).alias("without_city"), X.error_line(F.concat(F.lit(" a \t\n\n b"), k, F.lit("\nb"), k)).alias("page_error"), X.label_key(F.concat(F.lit(" （ab）："), k, F.lit("_C "))).alias("label")
     )
+
+
+# -- links, fetched pages, downloads --------------------------------------------------------------------
+
+
+@query("""
+WITH s AS (SELECT s_suppkey AS k, 'https://www.e' || (s_suppkey % 3) || '.org' AS site FROM supplier)
+SELECT k AS page, 'T ' || k AS page_title, site || '/a/' || k || '.html' AS url, 'one' AS title FROM s WHERE k % 3 = 1
+UNION ALL SELECT k, 'T ' || k, 'http://sub.e1.org/a/' || k, '' FROM s""")
+def directory_links_of_a_domain(spark, d):
+    """Links under one domain that fit a pattern, each address once, relative ones by the page's own address."""
+    k = F.col("s_suppkey").cast("string")
+    page = F.concat(F.lit("<title>T "), k, F.lit("</title><a href='/a/"), k, F.lit(".html'>one</a><a href='../a/"), k, F.lit(".html'>again</a><a href='mailto:x'>m</a><a href='http://sub.e1.org/a/"), k, F.lit("'></a><a href='/b/1'>other</a><a>none</a><a href='http://note1.org/a/1'>no</a>"))
+    pages = read(spark, d, "supplier").select(F.col("s_suppkey").alias("page"), F.concat(F.lit("https://www.e"), (F.col("s_suppkey") % 3).cast("string"), F.lit(".org/list/i.html")).alias("final_url"), page.alias("html"))
+    return links.directory_links(pages, "https://e1.org/", "/a/").select("page", "page_title", "url", "title")
+
+
+@query("""
+SELECT count(*) AS page_count, CAST(sum(CASE WHEN s_suppkey % 5 <> 0 THEN s_suppkey % 4 ELSE 0 END) AS BIGINT) AS link_count, count(*) FILTER (s_suppkey % 5 = 0 OR s_suppkey % 7 = 0) AS error_count FROM supplier""")
+def directory_metrics(spark, d):
+    s = read(spark, d, "supplier").select(F.col("s_suppkey").alias("page"))
+    fetched_pages = s.filter("page % 5 <> 0").select("page", F.when(F.col("page") % 7 == 0, "down").alias("error"))
+    found = s.filter("page % 5 <> 0").select("page", F.explode(F.sequence(F.lit(0), F.col("page") % 4)).alias("url")).filter("url > 0")
+    return links.link_metrics(s, fetched_pages, found)
+
+
+@query("""
+WITH s AS (SELECT s_suppkey AS k FROM supplier)
+SELECT k AS page, 'https://e.org/x/' || k || '.HTM' AS url, 'Ti' AS title, k || '.HTM' AS file FROM s
+UNION ALL SELECT k, 'https://e.org/d/y?p=' || k, 'b', 'y.html' FROM s
+UNION ALL SELECT k, 'https://e.org/?q=' || k, 'c', 'page_3.html' FROM s""")
+def linked_pages_saved(spark, d):
+    """Pages that a selector's links lead to on exactly one host, and the files that they are saved as."""
+    k = F.col("s_suppkey").cast("string")
+    page = F.concat(F.lit('<base href="https://e.org/x/"><ul class="l"><li><a title=" Ti " href="'), k, F.lit('.HTM">a</a></li><li><a href="/d/y?p='), k, F.lit('">b</a></li><li><a href="/?q='), k, F.lit('">c</a></li><li><a href="/?q='), k, F.lit('">again</a></li><li><a href="https://www.e.org/z">z</a></li><li><a href="ftp://e.org/">f</a></li></ul><a href="/other">o</a>'))
+    pages = read(spark, d, "supplier").select(F.col("s_suppkey").alias("page"), page.alias("html"))
+    return links.linked_pages(pages, "ul.l a", "e.org").select("page", "url", "title", "file")
+
+
+@query("""
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '输入必须是 source_downloads JSON' WHEN 1 THEN '清单网址无效' WHEN 2 THEN '清单缺少文件名' ELSE '' END AS error FROM part""")
+def manifest_validation(spark, d):
+    k = F.col("p_partkey") % 4
+    rows = read(spark, d, "part").select("p_partkey", F.when(k == 0, "x").otherwise("source_downloads").alias("stage"), F.when(k == 1, "ftp://e.org/").otherwise(" HTTPS://e.org/a ").alias("url"), F.when(k == 2, " ").otherwise("a.csv").alias("file"))
+    return rows.select("p_partkey", links.manifest_error("source_downloads", file="file").alias("error"))
+
+
+@query("""
+SELECT count(*) AS item_count, count(*) FILTER (p_partkey % 5 NOT IN (0, 1)) AS downloaded_count, count(*) FILTER (p_partkey % 5 = 2) AS archive_count, CAST(coalesce(sum(CASE WHEN p_partkey % 5 = 2 THEN 2 ELSE 0 END), 0) AS BIGINT) AS extracted_count, count(*) FILTER (p_partkey % 5 IN (0, 1)) AS error_count FROM part""")
+def download_report(spark, d):
+    k = F.col("p_partkey") % 5
+    p = read(spark, d, "part").select(F.col("p_partkey").cast("string").alias("file"), k.alias("k"))
+    results = p.filter("k <> 0").select("file", F.when(F.col("k") != 1, "https://e.org/").alias("final_url"), F.lit(1).alias("size_bytes"), F.when(F.col("k") == 2, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array().cast("array<string>")).alias("extracted"), F.when(F.col("k") == 1, "HTTP 404").alias("error"))
+    return links.download_metrics(p.select("file"), results).withColumn("extracted_count", F.col("extracted_count").cast("long"))
+
+
+@query("""
+WITH c AS (SELECT c_custkey AS k, CASE c_custkey % 5 WHEN 0 THEN 'HTTPS://u:p@WWW.E1.org.:8443/x?y#z' WHEN 1 THEN 'http://note1.org/' WHEN 2 THEN 'ftp://e1.org/' WHEN 3 THEN 'http://[::1]/e1.org' ELSE NULL END AS url FROM customer)
+SELECT k, CASE k % 5 WHEN 0 THEN 'www.e1.org.' WHEN 1 THEN 'note1.org' WHEN 2 THEN 'e1.org' WHEN 3 THEN '::1' ELSE '' END AS host, k % 5 = 0 AS listed, CASE WHEN k % 2 = 0 THEN 'gb2312' ELSE '' END AS charset FROM c""")
+def url_domain_checks(spark, d):
+    k = F.col("c_custkey") % 5
+    url = F.when(k == 0, "HTTPS://u:p@WWW.E1.org.:8443/x?y#z").when(k == 1, "http://note1.org/").when(k == 2, "ftp://e1.org/").when(k == 3, "http://[::1]/e1.org")
+    kind = F.when(F.col("c_custkey") % 2 == 0, 'text/html; Charset = "gb2312"').otherwise("text/html")
+    domains = F.transform(F.array(F.lit("https://E1.org/start"), F.lit("")), U.domain_of)
+    return read(spark, d, "customer").select(F.col("c_custkey").alias("k"), U.raw_host(url).alias("host"), U.url_in_domains(url, domains).alias("listed"), U.charset_of(kind).alias("charset"))
+
+
+def fetch_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A fetch table of pages: arrived, moved, refused, failed, and some without an address."""
+    k = F.col("page_id")
+    url = F.concat(F.lit("https://www.e.org/p/"), k.cast("string"))
+    attempt = lambda method, good, status: F.struct(F.lit(method).alias("method"), url.alias("url"), url.alias("final_url"), F.lit(status).alias("http_status"), F.lit(good).alias("success"), F.lit("").alias("error"), F.lit(5).cast("long").alias("elapsed_ms"))
+    part = F.concat(F.lit("<title> T  "), k.cast("string"), F.lit("</title><p>地址：杭州市西湖区文三路"), k.cast("string"), F.lit("号</p><a href='/a'>  one </a>"))
+    return read(spark, d, "pages").select(
+        k.alias("page_id"), url.alias("url"), F.when(k % 6 == 5, "<title>none</title><p>x</p>").otherwise(part).alias("html"), F.when(k % 6 == 1, "https://other.test/").when(k % 6 != 3, url).alias("final_url"), F.when(k % 6 == 2, 404).when(k % 6 != 3, 200).alias("http_status"),
+        F.when(k % 6 == 3, "timed\n out").alias("error"), F.array(attempt("urllib", False, 500), attempt("curl", True, 200)).alias("attempts"), k.alias("fetched_at"),
+    )
+
+
+@query("""
+WITH p AS (SELECT page_id AS k, 'https://www.e.org/p/' || page_id AS url FROM pages)
+SELECT CASE WHEN k % 6 = 4 THEN 'https://else.test/' || k ELSE url END AS requested_url, CASE WHEN k % 6 IN (0, 2, 5) THEN url ELSE '' END AS final_url, CASE k % 6 WHEN 0 THEN 200 WHEN 5 THEN 200 WHEN 2 THEN 404 ELSE 0 END AS http_status,
+  CASE WHEN k % 6 IN (0, 5) THEN 'ok' WHEN k % 6 = 2 THEN 'http_error' ELSE 'error' END AS page_status, CASE WHEN k % 6 = 5 THEN 'none' WHEN k % 6 IN (0, 2) THEN 'T ' || k ELSE '' END AS title, 'e.org' AS domains,
+  CASE WHEN k % 6 = 0 THEN '杭州市西湖区文三路' || k || '号' ELSE '' END AS addresses, CASE WHEN k % 6 = 0 THEN 'one=https://www.e.org/a' ELSE '' END AS links,
+  CASE k % 6 WHEN 0 THEN '' WHEN 1 THEN '页面访问失败：跳转后的最终 URL 不属于已确认的官方域名：https://other.test/' WHEN 2 THEN '页面返回 HTTP 404' WHEN 3 THEN '页面访问失败：timed | out' WHEN 4 THEN '页面访问失败：请求 URL 或官方域名无效' ELSE '未发现可靠地址证据' END AS warnings,
+  CAST(CASE WHEN k % 6 = 4 THEN 0 ELSE 2 END AS INTEGER) AS n_attempts FROM p""")
+def fetched_page_results(spark, d):
+    """Results of requested pages: domains checked before and after, statuses, evidence, links, warnings."""
+    table = fetch_rows(spark, d)
+    k = F.col("page_id")
+    requests = table.select(F.when(k % 6 == 4, F.concat(F.lit("https://else.test/"), k.cast("string"))).otherwise(F.col("url")).alias("url"), F.array(F.lit("E.org."), F.lit("https://e.org"), F.lit("")).alias("official_domains"))
+    found = fetched.official_pages(requests, table, [])
+    return found.select(
+        "requested_url", "final_url", F.coalesce("http_status", F.lit(0)).alias("http_status"), "page_status", "title", F.array_join("official_domains", ",").alias("domains"), F.array_join("address_evidence.address_text", ",").alias("addresses"),
+        F.array_join(F.transform("links", lambda a: F.concat(a["text"], F.lit("="), a["url"])), ",").alias("links"), F.array_join("warnings", ",").alias("warnings"), F.size("access_attempts").alias("n_attempts"),
+    )
+
+
+@query("SELECT 'www.e.org' AS host, 'curl' AS method")
+def fetch_methods(spark, d):
+    return fetched.host_methods(fetch_rows(spark, d))
+
+
+# -- connectors, with transports that answer from the tables --------------------------------------------
+
+
+def nations(spark: SparkSession, d: str) -> list[tuple[int, str]]:
+    return [(r.n_nationkey, r.n_name) for r in read(spark, d, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey").collect()]
+
+
+@query("""
+SELECT 'https://e.org/' || n_nationkey AS url, CASE WHEN n_nationkey % 3 = 2 THEN '' ELSE n_name END AS content, CASE WHEN n_nationkey % 3 = 2 THEN 'refused; gone' ELSE '' END AS error,
+  CASE n_nationkey % 3 WHEN 0 THEN 'urllib:true' WHEN 1 THEN 'urllib:false,curl:true' ELSE 'urllib:false,curl:false' END AS attempts FROM nation""")
+def fetch_attempts(spark, d):
+    """Pages through transports in turn, every attempt kept, paced per host."""
+    names = dict(nations(spark, d))
+
+    def via(rest: set[int], why: str):
+        def get(url: str):
+            k = int(url.rsplit("/", 1)[1])
+            if k % 3 not in rest:
+                raise OSError(why)
+            return names[k].encode(), url, 200, ""
+
+        return get
+
+    table = connectors.fetch_table(spark, [f"https://e.org/{k}" for k in names], {"urllib": via({0}, "refused"), "curl": via({0, 1}, "gone")}, pace=connectors.Pace(2, 0))
+    shown = F.array_join(F.transform("attempts", lambda a: F.concat(a["method"], F.lit(":"), a["success"].cast("string"))), ",")
+    return table.select("url", F.coalesce(F.col("content").cast("string"), F.lit("")).alias("content"), "error", shown.alias("attempts"))
+
+
+@query("""
+SELECT 'geocodes' AS kind, n_name AS asked, CASE n_nationkey % 4 WHEN 3 THEN '' ELSE 'at ' || n_name END AS found, CASE n_nationkey % 4 WHEN 3 THEN '高德服务错误：BAD' ELSE '' END AS error, CAST(CASE n_nationkey % 4 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 1 END AS INTEGER) AS attempts FROM nation
+UNION ALL SELECT 'pois', n_name, CASE n_nationkey % 4 WHEN 3 THEN '' ELSE 'at ' || n_name END, CASE n_nationkey % 4 WHEN 3 THEN '高德服务错误：BAD' ELSE '' END, CASE n_nationkey % 4 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 1 END FROM nation
+UNION ALL SELECT 'nokey', n_name, '', '未配置 AMAP_KEY', 0 FROM nation""")
+def service_answers(spark, d):
+    """Map answers as tables: values that are lists, busy services and lost connections tried again, other errors not."""
+    pairs = nations(spark, d)
+    turns: dict[str, int] = {}
+
+    def ask(url: str):
+        query_ = dict(urllib.parse.parse_qsl(urllib.parse.urlsplit(url).query))
+        name = query_.get("address") or query_["keywords"]
+        k = next(i for i, n in pairs if n == name)
+        turns[url] = turns.get(url, 0) + 1
+        if k % 4 == 1 and turns[url] == 1:
+            return json.dumps({"status": "0", "infocode": "10021", "info": "busy"}).encode(), url, 200, ""
+        if k % 4 == 2 and turns[url] < 3:
+            raise OSError("reset")
+        if k % 4 == 3:
+            return json.dumps({"status": "0", "infocode": "10001", "info": "BAD"}).encode(), url, 200, ""
+        row = {"formatted_address": ["", f" at {name} "], "name": f"at {name}", "city": [], "address": None}
+        return json.dumps({"status": "1", "geocodes": [row, "odd"], "pois": [row]}).encode(), url, 200, ""
+
+    kinds = {"geocodes": ("asked_address", "formatted_address"), "pois": ("asked_name", "name")}
+    out = None
+    for kind, key in (("geocodes", "k"), ("pois", "k"), ("nokey", "")):
+        column, field = kinds.get(kind, kinds["pois"])
+        table = answers_now(spark, "pois" if kind == "nokey" else kind, [(n, "c") for _, n in pairs], key, ask)
+        rows = table.select(F.lit(kind).alias("kind"), F.col(column).alias("asked"), F.coalesce(F.get("candidates", F.lit(0))[field], F.lit("")).alias("found"), "error", "attempts")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def answers_now(spark: SparkSession, kind: str, asked: list[tuple[str, str]], key: str, transport) -> DataFrame:
+    """Service answers without limits or pauses."""
+    return connectors.answers_table(spark, kind, asked, "https://map.test/v3", key, connectors.Window(0), transport, connectors.Retries((0, 0), 0))
+
+
+@query("""
+SELECT n_nationkey AS k, CASE n_nationkey % 3 WHEN 0 THEN 'url' WHEN 1 THEN 'upload' ELSE 'error' END AS way, CASE n_nationkey % 3 WHEN 2 THEN 'MinerU 解析失败：broken' ELSE '' END AS error, CASE n_nationkey % 3 WHEN 2 THEN '' ELSE '2:' || n_name || ',11:' || n_name END AS pages,
+  '3' AS logins FROM nation""")
+def recognition_runs(spark, d):
+    """Documents through the recognition service: batches by address, uploads where it can't be read, failures, tokens."""
+    out = []
+    for k, name in nations(spark, d):
+        calls: list[str] = []
+
+        def post(path: str, payload: dict, calls=calls) -> dict:
+            calls.append(path)
+            inner = {"nonce": "n", "algorithm": "HmacSHA256"} if path == "/getSignature" else {"jwt": "t", "expiration": "2024-01-01 08:10:00", "refreshExpiration": "2024-01-01 09:00:00", "refreshJwt": "r"}
+            return connectors.unwrapped({"msgCode": "10000", "data": {"msgCode": "10000", "data": inner}})
+
+        now = [1704067200.0]
+        session = connectors.Session("a", "b", post, lambda now=now: now[0])
+        session.headers()
+        session.token()
+        now[0] += 700
+        session.token()
+        sent: list[bytes] = []
+
+        def call(path: str, payload: dict | None, k=k) -> dict:
+            if payload is not None:
+                return {"batch_id": "up" if "file-urls" in path else "by", "file_urls": ["https://u/1", "https://u/2"]}
+            failed = k % 3 == 2 or (k % 3 == 1 and path.endswith("/by"))
+            why = "broken" if k % 3 == 2 else "-60008 read failed"
+            return {"extract_result": [{"data_id": f"p{p:04d}", "state": "failed" if failed else "done", "err_msg": why, "full_zip_url": f"z{p}"} for p in (11, 2)]}
+
+        def zipped(_: str, name=name) -> bytes:
+            data = io.BytesIO()
+            with zipfile.ZipFile(data, "w") as z:
+                z.writestr("r_content_list.json", json.dumps([{"type": "text", "text": name}]))
+            return data.getvalue()
+
+        client = connectors.RecognitionClient(call, zipped, 0, 5, put=lambda _, data, sent=sent: sent.append(data))
+        try:
+            found = client.pages([11, 2, 2], "https://e.org/f.pdf", lambda entries, client=client: client.upload_pages("f.pdf", b"%PDF", entries))
+            out.append((k, "upload" if sent else "url", "", ",".join(f"{p}:{b[0]['text']}" for p, b in found.items()), str(len(calls))))
+        except connectors.RecognitionError as e:
+            out.append((k, "error", str(e), "", str(len(calls))))
+    return spark.createDataFrame(out, "k long, way string, error string, pages string, logins string").withColumn("k", F.col("k").cast("int"))
+
+
+@query("""
+SELECT n_nationkey AS k, CASE n_nationkey % 4 WHEN 0 THEN CAST(1704067200000 + n_nationkey * 1000 AS BIGINT) ELSE 0 END AS expires, CASE n_nationkey % 2 WHEN 0 THEN n_name ELSE '' END AS setting,
+  n_nationkey % 5 = 0 AS fetch_failure, CASE n_nationkey % 3 WHEN 0 THEN 'OpenXLab 鉴权失败：no' WHEN 1 THEN 'OpenXLab 返回缺少 data' ELSE 'OpenXLab 返回缺少业务 data' END AS refusal FROM nation""")
+def connector_values(spark, d):
+    """Expirations, settings of a file, errors of the recognition service."""
+    out = []
+    for k, name in nations(spark, d):
+        lines = f"\ufeff# comment\nOTHER=x\nKEY = '{name}'\n" if k % 2 == 0 else "#KEY=a\nKEYS=b\n"
+        answer = ({"msgCode": "1", "msg": " no "}, {"msgCode": "10000"}, {"msgCode": "10000", "data": {"msgCode": "10000"}})[k % 3]
+        try:
+            refusal = str(connectors.unwrapped(answer))
+        except connectors.RecognitionError as e:
+            refusal = str(e)
+        message = "URL Timeout" if k % 5 == 0 else "broken file"
+        out.append((k, connectors.expiry(f"2024-01-01 08:00:{k:02d}" if k % 4 == 0 else "soon"), connectors.setting_in(lines, "KEY"), connectors.RecognitionClient.is_fetch_failure(message), refusal))
+    return spark.createDataFrame(out, "k int, expires long, setting string, fetch_failure boolean, refusal string")
+
+
+# -- results --------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT v AS violation, CAST(n AS BIGINT) AS n FROM (SELECT CAST(count(*) > 0 AND (min(c_custkey) <> 1 OR max(c_custkey) <> count(*)) AS INT) AS z, count(*) FILTER (c_custkey % 4 = 0) AS a, count(*) FILTER (c_custkey % 6 = 0) AS b, count(*) FILTER (c_custkey % 10 = 0) AS c FROM customer) CROSS JOIN LATERAL (VALUES ('序号不连续', z), ('空异常原因', a), ('空信息来源', b), ('日期格式', c)) t(v, n)""")
+def abnormal_violations(spark, d):
+    k = F.col("c_custkey")
+    sheet = read(spark, d, "customer").select(k.alias("序号"), F.when(k % 4 == 0, " 　").otherwise("未找到").alias("异常原因"), F.when(k % 6 != 0, "https://e.org").alias("信息来源"), F.when(k % 10 == 0, "2024/05/01").otherwise("2024-05-01").alias("查询日期"))
+    return output.abnormal_violations(sheet)
+
+
+@query("""
+SELECT r_regionkey AS k, '{"stage": "s", "city": "' || r_name || '", "passed": ' || CASE WHEN r_regionkey % 2 = 0 THEN 'true' ELSE 'false' END || ', "reason_count": ' || (r_regionkey % 2) || ', "output": "o/' || r_regionkey || '.json"}' AS summary, CASE WHEN r_regionkey % 2 = 0 THEN 'n=1' ELSE '' END AS checks,
+  '编号,领域' AS headers, '8,12,20,14,42,14,16,50' AS main_widths, '8,12,20,40,50,14' AS abnormal_widths, r_regionkey % 3 = 0 AS linked FROM region""")
+def quality_reports(spark, d):
+    """Reports, their one-line summaries, and the layout of sheets."""
+    rows = []
+    for r in read(spark, d, "region").select("r_regionkey", "r_name").collect():
+        reasons = ["missing"] if r.r_regionkey % 2 else []
+        report = sinks.quality_report("s", r.r_name, [1], reasons, {"a": 1}, None if reasons else {"n": 1})
+        spec = output.SheetSpec(("编号", "领域"), (12, 20), query_date=" 2024-05-01 ")
+        widths = [",".join(map(str, w)) for w in (spec.main_widths, spec.abnormal_widths)]
+        checks = ",".join(f"{a}={b}" for a, b in report.get("checks", {}).items())
+        source = f"HTTP://e.org/{r.r_regionkey} | f" if r.r_regionkey % 3 == 0 else "f | HTTP://e.org"
+        rows.append((r.r_regionkey, sinks.summary(report, f"o/{r.r_regionkey}.json"), checks, ",".join(spec.main_headers[1:3]), *widths, source))
+    made = spark.createDataFrame(rows, "k int, summary string, checks string, headers string, main_widths string, abnormal_widths string, source string")
+    return made.withColumn("linked", output.has_link("source")).drop("source")

@@ -284,20 +284,20 @@ def final_choice_router(spark, d):
     return resolved(spark, d).select("record_id", "route", "map_match_status", "map_reason", "map_address", "final_address", "final_address_source", "final_address_reason", "map_request_count")
 
 
-@query(f"""WITH g AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS p FROM orders)
-SELECT o_orderkey, CASE p % 3 WHEN 0 THEN '文三路12号' WHEN 1 THEN '文三路' ELSE '学院路12号' END AS map_place, CASE p % 3 WHEN 0 THEN 'consistent' WHEN 1 THEN 'partial' ELSE 'conflict' END AS status,
-  CASE p % 3 WHEN 0 THEN '行政区、道路和门牌号均一致' WHEN 1 THEN '无明确冲突，但以下规范地址组件未获地图支持：地图门牌号' ELSE '道路冲突：规范地址“文三路”，地图“学院路”' END AS reason FROM g""")
+@query("""WITH g AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS p FROM orders)
+SELECT o_orderkey, CASE p % 4 WHEN 0 THEN '浙江省杭州市西湖区文三路12号' WHEN 1 THEN '浙江省杭州市西湖区文三路' WHEN 2 THEN '浙江省杭州市拱墅区文三路12号' ELSE '浙江省杭州市西湖区文三路' || (20 + p % 7) || '号' END AS map_address,
+  CASE p % 4 WHEN 0 THEN 'consistent' WHEN 1 THEN 'partial' ELSE 'conflict' END AS status, CAST(CASE p % 4 WHEN 0 THEN 1 WHEN 1 THEN 1 ELSE 0 END AS INTEGER) AS pos,
+  CASE p % 4 WHEN 0 THEN '行政区、道路和门牌号均一致' WHEN 1 THEN '无明确冲突，但以下规范地址组件未获地图支持：地图门牌号' WHEN 2 THEN '下级行政区冲突：规范地址“西湖区”，地图“拱墅区”' ELSE '门牌号冲突：规范地址“12号”，地图“' || (20 + p % 7) || '号”' END AS reason FROM g""")
 def geocode_choose_best(spark, d):
+    """The best of two geocodes; the first one where both conflict."""
     p = F.floor("o_totalprice").cast("long")
-    place = F.when(p % 3 == 0, "文三路12号").when(p % 3 == 1, "文三路").otherwise("学院路12号")
     make = lambda text, unit: F.struct(text.alias("formatted_address"), F.lit("浙江省").alias("province"), F.lit("杭州市").alias("city"), F.lit(unit).alias("district"), F.lit("").alias("street"), F.lit("").alias("number"))
-    options = F.array(make(F.lit("浙江省杭州市拱墅区文三路12号"), "拱墅区"), make(F.concat(F.lit("浙江省杭州市西湖区"), place), "西湖区"))
+    own = lambda place: make(F.concat(F.lit("浙江省杭州市西湖区"), place), "西湖区")
+    elsewhere = make(F.lit("浙江省杭州市拱墅区文三路12号"), "拱墅区")
+    number = F.concat(F.lit("文三路"), (20 + p % 7).cast("string"), F.lit("号"))
+    options = F.when(p % 4 == 3, F.array(own(number), elsewhere)).otherwise(F.array(elsewhere, own(F.when(p % 4 == 0, "文三路12号").when(p % 4 == 1, "文三路").otherwise("学院路12号"))))
     best = match.best_geocode(F.lit("杭州市西湖区文三路12号"), F.lit("杭州市"), options)
-    df = read(spark, d, "orders").select("o_orderkey", place.alias("place"), best.alias("b"))
-    shown = F.when(F.col("b.status") == "conflict", F.col("place")).otherwise(F.regexp_replace("b.map_address", "^浙江省杭州市西湖区", ""))
-    # both candidates conflict in a third of the rows: the first one is kept, so its reason is the district's
-    reason = F.when((F.col("b.status") == "conflict") & (F.col("b.pos") == 0), F.lit("道路冲突：规范地址“文三路”，地图“学院路”")).otherwise(F.col("b.reason"))
-    return df.select("o_orderkey", shown.alias("map_place"), F.col("b.status").alias("status"), reason.alias("reason"))
+    return read(spark, d, "orders").select("o_orderkey", best.alias("b")).select("o_orderkey", "b.map_address", "b.status", "b.pos", "b.reason")
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 4 IN (0, 1, 2) THEN true ELSE false END AS same FROM customer")
@@ -368,15 +368,26 @@ def align_short_rows(spark, d):
     return read(spark, d, "part").select("p_partkey", F.array_join(files.aligned(row, F.lit(5)), ",").alias("cells"))
 
 
-@query("SELECT CAST(doc_id % 50 AS VARCHAR) AS file, count(*) AS page_count, CAST(sum(n) AS BIGINT) AS characters, CASE WHEN sum(n) < greatest(100, count(*) * 5) THEN 'needs_vision' ELSE 'ready' END AS status FROM (SELECT doc_id, length(trim(regexp_replace(left(text, CAST(doc_id % 50 AS INTEGER)), '" + WS + "+', ' ', 'g'))) AS n FROM documents) GROUP BY 1")
+@query(f"""
+WITH n AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'd' || doc_id ELSE 's' || (doc_id % 50) END AS file, trim(regexp_replace(coalesce(text, '') || CASE WHEN doc_id % 6 = 0 THEN repeat(chr(65533), 40) ELSE '' END, '{WS}+', ' ', 'g')) AS v FROM documents),
+c AS (SELECT file, count(*) AS page_count, CAST(sum(length(v)) AS BIGINT) AS characters, sum(length(v) - length(replace(v, chr(65533), ''))) AS odd FROM n GROUP BY 1)
+SELECT file, page_count, characters, CASE WHEN characters < greatest(100, page_count * 5) THEN 'needs_vision' WHEN odd > characters * 0.01 THEN 'text_mapping_issue' ELSE 'ready' END AS status FROM c""")
 def pdf_page_verdict(spark, d):
-    pages = read(spark, d, "documents").select((F.col("doc_id") % 50).cast("string").alias("file"), F.col("doc_id").alias("page"), F.left("text", (F.col("doc_id") % 50).cast("int")).alias("text"))
-    return files.pdf_verdict(pages)
+    """Whole texts as pages: files of one page and of many, some with characters that couldn't be read."""
+    k = F.col("doc_id")
+    file = F.when(k % 2 == 0, F.concat(F.lit("d"), k.cast("string"))).otherwise(F.concat(F.lit("s"), (k % 50).cast("string")))
+    body = F.concat(X.text("text"), F.when(k % 6 == 0, F.repeat(F.lit("\ufffd"), F.lit(40))).otherwise(""))
+    return files.pdf_verdict(read(spark, d, "documents").select(file.alias("file"), k.alias("page"), body.alias("text")))
 
 
-@query("SELECT page_id, CAST(0 AS BIGINT) AS n_pairs, CAST(len(regexp_extract_all(html, '<li[ >]')) AS BIGINT) AS n_items FROM pages")
+@query("SELECT page_id, CAST(page_id % 4 AS BIGINT) AS n_pairs, CASE WHEN page_id % 4 > 0 THEN 'k' || page_id || '=v' ELSE '' END AS first_pair, CAST(len(regexp_extract_all(html, '<li[ >]')) AS BIGINT) AS n_items FROM pages")
 def page_structures(spark, d):
-    return read(spark, d, "pages").select("page_id", F.size(key_values("html")).cast("long").alias("n_pairs"), item_count("html").alias("n_items"))
+    """Pairs of labels and values of a page's tables, and its list items; a table of pairs is put before each page."""
+    row = F.concat(F.lit("<tr><td>k"), F.col("page_id").cast("string"), F.lit("</td><th> v </th><td>w</td></tr>"))
+    table = F.concat(F.lit("<table><tr><td>alone</td></tr>"), F.repeat(row, (F.col("page_id") % 4).cast("int")), F.lit("</table>"))
+    pages = read(spark, d, "pages").select("page_id", F.concat(table, "html").alias("html")).select("page_id", key_values("html").alias("pairs"), item_count("html").alias("n_items"))
+    first = F.get("pairs", F.lit(0))
+    return pages.select("page_id", F.size("pairs").cast("long").alias("n_pairs"), F.coalesce(F.concat(first["label"], F.lit("="), first["value"]), F.lit("")).alias("first_pair"), "n_items")
 
 
 # -- results --------------------------------------------------------------------------------------------
@@ -409,18 +420,18 @@ def quality_violations(spark, d):
 
 @query(rf"""
 WITH p AS (SELECT page_id, url, {_HOST} AS home, html FROM pages),
-q AS (SELECT *, CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN 'https://www.example.org/' ELSE 'https://other.test/' END AS last, page_id % 4 = 3 AS bad FROM p),
+q AS (SELECT *, CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN 'https://www.example.org/' ELSE 'https://other.test/' END AS last, page_id % 4 = 3 AS bad, CASE WHEN page_id % 4 = 3 THEN '' ELSE '欢迎 机构' || page_id || '（总部）' END AS title, page_id % 4 <> 3 AND page_id % 8 < 4 AS known FROM p),
 r AS (SELECT *, CASE page_id % 4 WHEN 0 THEN home WHEN 1 THEN 'www.example.org' ELSE 'other.test' END AS host FROM q)
-SELECT page_id, NOT bad AS reachable, NOT bad AND host <> home AS redirected, NOT bad AND (host = 'example.org' OR host LIKE '%.example.org') AS listed,
-  CASE WHEN bad THEN '{U.UNREACHABLE}' WHEN host <> home AND NOT (host = 'example.org' OR host LIKE '%.example.org') THEN '主页跳转至白名单外的 ' || host || '，但终页标题不含机构名称，需人工复核后决定' WHEN host <> home THEN '主页跳转至白名单内的 ' || host || '，可将主页改为 ' || last || ' 减少跳转' ELSE '' END AS suggestion FROM r""")
+SELECT page_id, title, known AS identity_match, NOT bad AS reachable, NOT bad AND host <> home AS redirected, NOT bad AND (host = 'example.org' OR host LIKE '%.example.org') AS listed,
+  CASE WHEN bad THEN '{U.UNREACHABLE}' WHEN host <> home AND known AND NOT (host = 'example.org' OR host LIKE '%.example.org') THEN '主页跳转至白名单外的 ' || host || ' 且页面身份匹配：建议将 ' || host || ' 并入 official_domains，并把主页改为 ' || last WHEN host <> home AND NOT (host = 'example.org' OR host LIKE '%.example.org') THEN '主页跳转至白名单外的 ' || host || '，但终页标题不含机构名称，需人工复核后决定' WHEN host <> home THEN '主页跳转至白名单内的 ' || host || '，可将主页改为 ' || last || ' 减少跳转' ELSE '' END AS suggestion FROM r""")
 def domain_probe_report(spark, d):
     pages = read(spark, d, "pages").filter("page_id is not null")
     k = F.col("page_id")
     key = F.concat(F.col("url"), F.lit("#"), k.cast("string"))
-    items = pages.select(k.cast("string").alias("place_id"), F.lit("不存在的机构").alias("place_name"), key.alias("home_url"), F.array(F.lit("Example.org."), F.lit("")).alias("official_domains"))
-    visits = pages.select(key.alias("url"), F.when(k % 4 == 0, key).when(k % 4 == 1, "https://www.example.org/").otherwise("https://other.test/").alias("final_url"), F.lit(200).alias("http_status"), F.when(k % 4 == 3, "timed out").alias("error"), "html")
+    items = pages.select(k.cast("string").alias("place_id"), F.concat(F.when(k % 8 < 4, "机构").otherwise("别的机构"), k.cast("string"), F.lit("（东区）")).alias("place_name"), key.alias("home_url"), F.array(F.lit("Example.org."), F.lit("")).alias("official_domains"))
+    visits = pages.select(key.alias("url"), F.when(k % 4 == 0, key).when(k % 4 == 1, "https://www.example.org/").otherwise("https://other.test/").alias("final_url"), F.lit(200).alias("http_status"), F.when(k % 4 == 3, "timed out").alias("error"), F.concat(F.lit("<title>欢迎  机构"), k.cast("string"), F.lit("（总部）</title>"), F.col("html")).alias("html"))
     found = links.probe_domains(items, visits)
-    return found.select(F.col("place_id").cast("long").alias("page_id"), "reachable", "redirected", F.col("final_domain_in_whitelist").alias("listed"), "suggestion")
+    return found.select(F.col("place_id").cast("long").alias("page_id"), "title", "identity_match", "reachable", "redirected", F.col("final_domain_in_whitelist").alias("listed"), "suggestion")
 
 
 @query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'constant' ELSE p_brand END AS value FROM part")
