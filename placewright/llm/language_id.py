@@ -19,6 +19,7 @@ or are kept as they are, whatever their names.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable
@@ -36,8 +37,8 @@ from placewright.llm.piece_codec import META, default_model
 DOCS_PER_LANGUAGE = 1500
 _HASHES = 1 << 60
 ROUNDS = 3
-#: Tasks of an expectation step over the sample's words; the sample is bounded, so their number is too.
-STEP_PARTS = 24
+#: Tasks of an expectation step, whose number is bounded as the sample is, and rows of its words that go together.
+STEP_PARTS, STEP_ROWS = 24, 20_000
 #: Probability of a character outside the vocabulary, weight of the pooled estimate, floor of a piece.
 UNKNOWN, POOL, FLOOR = 1e-7, 50.0, 1e-9
 CACHED_WORDS = 100_000
@@ -185,14 +186,13 @@ def expected(words: list[str], weight: np.ndarray, prob: np.ndarray | None, piec
             continue
         a, a_scale = _forward(rows, prob)
         b, b_scale = _forward(rows, prob, reverse=True)
-        whole, whole_scale = np.maximum(a[:, -1], 1e-300), a_scale[:, -1]
-        for start in range(rows.shape[1]):
-            for k in range(min(rows.shape[2], rows.shape[1] - start)):
-                r = rows[:, start, k]
-                end = start + k + 1
-                share = weight[where] * a[:, start] * prob[r] * b[:, end] / whole * np.exp(a_scale[:, start] + b_scale[:, end] - whole_scale)
-                for lang in range(n_langs):
-                    found[:, lang] += np.bincount(r, share[:, lang], n_rows)
+        whole, whole_scale, mine = np.maximum(a[:, -1], 1e-300), a_scale[:, -1], weight[where]
+        for k in range(rows.shape[2]):  # pieces of k + 1 characters, wherever they begin
+            word, start = np.nonzero(rows[:, :, k])
+            piece, end = rows[word, start, k], start + k + 1
+            share = mine[word] * a[word, start] * prob[piece] * b[word, end] / whole[word] * np.exp(a_scale[word, start] + b_scale[word, end] - whole_scale[word])
+            for lang in range(n_langs):
+                found[:, lang] += np.bincount(piece, share[:, lang], n_rows)
     found[0] = 0
     return found
 
@@ -261,11 +261,13 @@ def _step(words: DataFrame, names: list[str], prob: np.ndarray | None, model_pat
     def work(batches):
         pieces = pieces_of(model_path)
         total = np.zeros((len(pieces.names) + 1, len(names)))
-        for b in batches:
-            for begin in range(0, b.num_rows, 20_000):
-                part = b.slice(begin, 20_000)
-                own, weight = weights_of(zip(part["lang"].to_pylist(), part["word"].to_pylist(), part["n"].to_pylist(), strict=True), names)
-                total += expected(own, weight, shared.value, pieces)
+        rows: list[tuple[str, str, int]] = []
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                rows += zip(b["lang"].to_pylist(), b["word"].to_pylist(), b["n"].to_pylist(), strict=True)
+            if len(rows) >= STEP_ROWS or (b is None and rows):  # passes run over many words at once, however they come
+                total += expected(*weights_of(rows, names), shared.value, pieces)
+                rows = []
         row, lang = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(lang), pa.array(total[row, lang])], ["row", "lang", "n"])
 

@@ -267,6 +267,60 @@ def test_forward_sums_all_segmentations_of_long_words():
         assert np.allclose((np.log(b) + scale)[0, ::-1], np.log(behind), rtol=1e-9)
 
 
+def test_expected_counts_against_all_segmentations():
+    """The expectation step gives what listing every segmentation of every word gives."""
+    pieces = language_id.Pieces()
+    prob = np.random.default_rng(3).uniform(0, 0.01, (len(pieces.names) + 1, 2))
+    prob[0] = 0
+    rows = {p: i for i, p in enumerate(pieces.names, 1)}
+
+    def segmentations(word):
+        if not word:
+            yield []
+        for k in range(1, min(len(word), pieces.longest) + 1):
+            if word[:k] in rows or k == 1:
+                yield from ([word[:k], *rest] for rest in segmentations(word[k:]))
+
+    counts = [("a", "the", 3), ("b", "the", 1), ("a", "being", 2), ("b", "☃x", 5), ("b", "étrange", 1)]
+    words, weight = language_id.weights_of(counts, ["a", "b"])
+    want = np.zeros((len(pieces.names) + 1, 2))
+    for w, n in zip(words, weight, strict=True):
+        found = [(s, np.prod([prob[rows[p]] if p in rows else np.full(2, language_id.UNKNOWN) for p in s], axis=0)) for s in segmentations("▁" + w)]
+        total = sum(p for _, p in found)
+        for s, p in found:
+            for piece in s:
+                if piece in rows:
+                    want[rows[piece]] += n * p / total
+    assert np.allclose(language_id.expected(words, weight, prob, pieces), want, rtol=1e-9)
+
+
+def test_prediction_is_the_posterior(spark, monkeypatch):
+    """Languages and scores by a fit of its own: counts of whole tables, substrings first, then expectations."""
+    data = corpus(120) + [(None, "les oiseaux", "fr"), (5, None, "en"), (7, "the", None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = {(x.doc_id, x.lang_pred): x.score for x in language_id.predict(docs, language_id.learn(docs), ["doc_id"]).collect()}
+    taught = [(t, lang) for i, t, lang in data if lang and t and not (i is not None and zlib.crc32(str(i).encode()) % 5 == 0)]
+    counts = {}
+    for t, lang in taught:
+        for w in language_id.words_of(t):
+            counts[lang, w] = counts.get((lang, w), 0) + 1
+    names = sorted({lang for _, lang in taught})
+    pieces = language_id.Pieces()
+    words, weight = language_id.weights_of([(lang, w, n) for (lang, w), n in sorted(counts.items())], names)
+    prob = None
+    for _ in range(language_id.ROUNDS + 1):
+        prob = language_id.maximised(language_id.expected(words, weight, prob, pieces))
+    prior = np.log([sum(x == n for _, x in taught) for n in names]) - np.log(len(taught))
+    model = language_id.Languages(names, prior, prob)
+    for i, t, _ in data:
+        if t is None:
+            assert got[i, "und"] == 0
+            continue
+        total = prior + model.log_likelihood(language_id.words_of(t), pieces).sum(0)
+        post = np.exp(total - total.max()) / np.exp(total - total.max()).sum()
+        assert abs(got[i, names[int(post.argmax())]] - post.max()) < 1e-6
+
+
 # -- mixing ---------------------------------------------------------------------------------------------
 
 
