@@ -156,3 +156,62 @@ def test_words_are_those_of_bytes_split():
     data = [b"a b\x0bc\xc2\xa0d\x1ce", b"", b" x ", b"\n"]
     _, first = word_table(data)
     assert np.diff(first).tolist() == [len(d.split()) for d in data]
+
+
+def test_ngram_join_leader_with_very_many_members(spark, tmp_path, monkeypatch):
+    """All documents near one leader, in groups of ten pairs: spread over many groups, nothing lost."""
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_GROUP", 10)
+    base = cases.words(3, 60, 10**6).split(" ")
+    docs = [(0, " ".join(base))]
+    for i in range(1, 200):
+        w = list(base)
+        w[i % len(base)] = f"q{i}"
+        docs.append((i, " ".join(w)))
+    d = cases.write(spark, tmp_path, docs, "doc_id long, text string")
+    seen = []
+    inner = ngram_join.verified
+
+    def noted(pairs, *rest):
+        got = inner(pairs, *rest)
+        seen.append(pairs.count())
+        return got
+
+    monkeypatch.setattr(ngram_join, "verified", noted)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.op1_ngram_join(spark, d).collect()}
+    assert got == cases.jaccard(docs) and max(seen) < 200 * 20  # not all pairs
+
+
+def test_largest_ids_stay_apart_from_null_ids(spark, tmp_path):
+    last, text = 2**63 - 1, cases.words(1, 40)
+    d = cases.write(spark, tmp_path, [(last, text), (None, text), (last - 1, "other words only here")], "doc_id long, text string")
+    got = {(x.doc_id, x.component_id) for x in ngram_join.op1_ngram_join(spark, d).collect()}
+    assert got == {(last, last), (None, last), (last - 1, last - 1)}
+    ids = sorted(str(x.doc_id) for x in suffix_dedup.op2_suffix_dedup(spark, d).collect())
+    assert ids == sorted(map(str, (last, None, last - 1)))
+
+
+def test_fragments_cut_the_global_order(spark):
+    tokens = [np.sort(np.random.default_rng(i).integers(0, 1 << 62, 400, dtype=np.uint64)).tobytes() for i in range(6)]
+    edges = ngram_join.fragment_edges(spark.createDataFrame([(t,) for t in tokens], "tokens binary"))
+    parts = np.concatenate([[len(p) for p in np.split(s, np.searchsorted(s, edges, side="right"))] for s in (np.frombuffer(t, np.uint64) for t in tokens)]).reshape(6, -1).sum(0)
+    assert (np.diff(edges.astype(float)) >= 0).all() and parts.sum() == 2400 and (parts > 500).all()
+
+
+def test_pieces_of_a_text_have_each_window_once(monkeypatch):
+    """Texts that cross a piece: the same windows with the same anchors as in one piece."""
+    r = random.Random(3)
+    texts = [bytes(r.choice(b"abc ") for _ in range(n)) for n in (700, 0, 49, 50, 2000)]
+    buffer, edges = suffix_dedup._joined(texts)
+
+    def anchors():
+        out = {}
+        for start, count, h, _ in suffix_dedup.segments(buffer, edges):
+            for s, n, x in zip(start.tolist(), count.tolist(), h.tolist(), strict=True):
+                for w in range(s, s + n):
+                    assert w not in out
+                    out[w] = x
+        return out
+
+    whole = anchors()
+    monkeypatch.setattr(suffix_dedup, "PIECE", 128)
+    assert anchors() == whole and len(whole) == sum(max(0, len(t) - 49) for t in texts)

@@ -370,6 +370,40 @@ def test_mixed_documents_have_the_words_taken(spark):
     assert made == taken and mixed.columns == df.columns
 
 
+def test_shards_hold_what_the_slots_say(spark):
+    """Every slot mapped one by one through its source's permutation, against the join of blocks by index."""
+    width = 7
+    df = spark.createDataFrame(cases.rows(), cases.SCHEMA)
+    held = mixing.mixed_slots(df, block_words=width).collect()
+    size = {}
+    for r in cases.rows():
+        size[r[3]] = size.get(r[3], 0) + len((r[1] or "").encode().split())
+    begin = {}  # the place of every document among its source's words
+    for x in held:
+        assert begin.setdefault((x.source, x.doc_id), x.position - x.begin) == x.position - x.begin
+    plan = mixing.shares(list(size.items()), mixing.targets(list(size.items())), width)
+    words = {r[0]: len((r[1] or "").encode().split()) for r in cases.rows()}
+    want = set()
+    for share in plan:
+        source = None if share.skey == "n" else share.skey[1:]
+        for j in range(share.slots):
+            epoch, k = divmod(j, share.full + (share.tail > 0))
+            block = int(mixing.permute(np.array([k]), share.full, mixing.SEED * 1_000_003 + share.number * 8191 + epoch)[0]) if k < share.full else k
+            take = share.part if share.part and j == share.slots - 1 else width if k < share.full else share.tail
+            for (s, doc), at in begin.items():
+                low, high = max(at, block * width), min(at + words[doc], block * width + take)
+                if s == source and high > low:
+                    want.add((source, j, epoch, block, doc, low - at, high - at))
+    assert {(x.source, x.slot, x.epoch, x.block, x.doc_id, x.begin, x.end) for x in held} == want
+    slots = {(x.source, x.slot): x.shard for x in held}
+    dealt = mixing.draws([r.slots for r in plan], 16)
+    for i, share in enumerate(plan):
+        source = None if share.skey == "n" else share.skey[1:]
+        assert [sum(v == n for k, v in slots.items() if k[0] == source) for n in range(16)] == dealt[:, i].tolist()
+    other = {(x.source, x.slot): x.shard for x in mixing.mixed_slots(df, block_words=width, seed=5).collect()}
+    assert slots != other  # the draws decide
+
+
 # -- sharding -------------------------------------------------------------------------------------------
 
 
@@ -542,6 +576,46 @@ def test_empty_pages(spark, tmp_path, query):
     assert query(spark, cases.write(spark, tmp_path, [], "page_id long, url string, html string", "pages")).count() == 0
 
 
+@pytest.mark.parametrize(("query", "equal"), [(piece_codec.op5_sentencepiece, ("n_tokens", "ids_sha256", "decoded_sha256")), (media.op3_media, ("n_bytes", "payload_sha256", "media_sha256", "feature")), (mixing.op4_mixing, ("size", "source_size", "target")), (sharding.op10_sharding, ("size", "text_crc32", "shard"))])
+def test_null_and_repeated_ids_are_rows_of_their_own(spark, tmp_path, query, equal):
+    text = "one two three four five six"
+    data = [(None, text, "en", "s"), (None, text, "en", "s"), (None, "other words", "en", "s"), (7, text, "en", "s"), (7, text, "en", "s"), (7, "more", None, None), (8, None, "de", "s")]
+    got = query(spark, cases.write(spark, tmp_path, data, "doc_id long, text string, lang string, source string")).collect()
+    assert sorted(str(x.doc_id) for x in got) == sorted(str(r[0]) for r in data)
+    same = {tuple(x[c] for c in equal) for x in got}
+    assert len(same) <= 4  # four different texts, one of them of a source of its own
+
+
+def test_results_live_on_while_a_pipeline_runs(spark, tmp_path):
+    d = cases.write(spark, tmp_path, cases.rows())
+    first = sharding.op10_sharding(spark, d)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None)
+    piped = corpus_pipeline.run(spark, d)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) == before or before is None
+    second = mixing.op4_mixing(spark, d)
+    again = corpus_pipeline.run(spark, d)
+    assert first.count() == second.count() == len(cases.rows()) and piped.count() == again.count() > 0
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, tmp_path):
+    odd = ["score", "lang_pred", "epochs", "ranges", "row", "pieces", "size", "__row", "order", "component_id", "sha", "start", "block", "a b", "text_", "_row"]
+    data = [(r[0], r[1], r[2], r[3], *[f"{c}{r[0]}" for c in odd]) for r in cases.rows()]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in odd)
+    d = cases.write(spark, tmp_path, data, schema)
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, d).collect(), docs.schema)
+        assert docs.columns == ["doc_id", "text", "lang", "source", *odd], name
+        for r in docs.collect():
+            assert all(r[c] == f"{c}{r.doc_id}" for c in odd), name
+    assert docs.count() > 5 and corpus_pipeline.run(spark, d).count() > 5
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    d = cases.write(spark, tmp_path, [], cases.SCHEMA)
+    assert corpus_pipeline.run(spark, d).count() == 0
+
+
 def test_pipeline_against_plain_stages(spark, tmp_path):
     import sentencepiece
 
