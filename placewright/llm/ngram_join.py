@@ -275,4 +275,24 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_ngram_join": op1_ngram_join}
-ORACLES: dict[str, str] = {}
+#: All pairs that share a shingle: for small tables with an id for each row.
+ORACLES = {
+    "op1_ngram_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS MATERIALIZED (
+  SELECT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+                             WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w
+), n AS MATERIALIZED (
+  SELECT w.doc_id, count(g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY 1
+), c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS MATERIALIZED (
+  SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)
+), e AS MATERIALIZED (
+  SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+), r AS (
+  SELECT doc_id AS node, doc_id AS root FROM n UNION SELECT e.y, r.root FROM r JOIN e ON r.node = e.x
+)
+SELECT n.doc_id, n.n AS n_shingles, min(r.root) AS component_id FROM n JOIN r ON r.node = n.doc_id GROUP BY ALL"""
+}

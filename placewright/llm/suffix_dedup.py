@@ -407,4 +407,26 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_suffix_dedup": op2_suffix_dedup}
-ORACLES: dict[str, str] = {}
+#: Every window of every text: for small tables with an id for each row.
+ORACLES = {
+    "op2_suffix_dedup": """
+WITH b AS MATERIALIZED (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), p AS MATERIALIZED (
+  SELECT doc_id, h, unnest(range(1, length(h) // 2 + 1)) AS p FROM b
+), v AS MATERIALIZED (
+  SELECT doc_id, p, substr(h, 2 * p - 1, 100) AS g FROM p WHERE 2 * p + 98 <= length(h)
+), f AS (
+  SELECT g, min(doc_id) AS first FROM v GROUP BY g
+), gone AS (
+  SELECT v.doc_id, v.p, v.p AS start FROM v JOIN f USING (g) WHERE f.first < v.doc_id
+), m AS (
+  SELECT p.doc_id, p.p, substr(h, 2 * p.p - 1, 2) AS byte, coalesce(max(start) OVER (PARTITION BY p.doc_id ORDER BY p.p) + 49 >= p.p, false) AS removed
+  FROM p LEFT JOIN gone ON gone.doc_id = p.doc_id AND gone.p = p.p
+), k AS (
+  SELECT *, removed AND NOT coalesce(lag(removed) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens FROM m
+), a AS (
+  SELECT doc_id, count(*) FILTER (removed) AS n_removed, count(*) FILTER (opens) AS n_spans, coalesce(string_agg(byte, '' ORDER BY p) FILTER (NOT removed), '') AS kept FROM k GROUP BY 1
+)
+SELECT b.doc_id, CAST(length(b.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM b LEFT JOIN a USING (doc_id)"""
+}
