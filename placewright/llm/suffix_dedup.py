@@ -7,9 +7,10 @@ that no text is compared with all others:
 2. In every 50-byte window the 16 bytes with the least hash are its anchor; equal windows have equal anchors.
    Windows that share an anchor form a segment of 50 to 84 bytes.  How often each anchor occurs is counted in packed
    form (``exchange``); segments whose anchor occurs once are done.
-3. The other segments go to buckets by their anchor.  An anchor that occurs very often has its segments cut into
-   single windows that go by their own hash, so no bucket is filled by one passage; equal segments of a block of
-   documents travel once.
+3. The other segments go to buckets by their anchor; equal segments of a block of documents travel once, with the ids
+   and places of all their occurrences.  An anchor that occurs very often has its segments cut into single windows
+   that go by their own hash, so no bucket is filled by one passage; of these a block sends each once, with its least
+   id only, and finds the occurrences again when the answer comes, so a window of every document is one entry a block.
 4. A bucket builds the suffix array of its segments by two-stage sorting: suffixes not larger than their successor
    are sorted directly, the others are induced by a scan over the buckets of first bytes.  Adjacent suffixes with a
    common prefix of 50 bytes form classes, whose smallest id says which windows go.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from placewright.llm.common import BYTE_VALUES, materialize, mix64, powers, read, text_bytes
+from placewright.llm.common import BYTE_VALUES, materialize, mix64, powers, read, span_hashes, text_bytes
 from placewright.llm.exchange import REQUEST, answers, code_of, expand, read_answers, requests, shrink
 
 LENGTH, ANCHOR = 50, 16
@@ -221,36 +222,41 @@ def _steps(n_parts: int, n_buckets: int):
         pieces = list(segments(buffer, edges))
         count = read_answers(np.concatenate([p[2] for p in pieces]), n_parts, got)
         often, at = code_of(OFTEN), 0
-        start, windows, route, same = [], [], [], []
+        number, found, frequent = np.array(ids, np.int64), [[], [], [], []], [[], []]
         for begin, n, h, span in pieces:
             c = count[at : at + len(n)]
             at += len(n)
             some = np.flatnonzero((c > 1) & (c < often))
             hot = np.flatnonzero(c >= often)
             each = np.repeat(begin[hot] - (np.cumsum(n[hot]) - n[hot]), n[hot]) + np.arange(int(n[hot].sum()))
-            own = span(each, each + LENGTH)
-            start += [begin[some], each]
-            windows += [n[some], np.ones(len(each), np.int64)]
-            route += [h[some], own]
-            same += [span(begin[some], begin[some] + n[some] + LENGTH - 1), own]
-        start, windows, route, same = (np.concatenate(x) for x in (start, windows, route, same))
+            for row, part in zip((*found, *frequent), (begin[some], n[some], h[some], span(begin[some], begin[some] + n[some] + LENGTH - 1), each, span(each, each + LENGTH)), strict=True):
+                row.append(part)
+        (start, windows, route, same), (each, own) = (tuple(map(np.concatenate, x)) for x in (found, frequent))
+        by = np.argsort(own, kind="stable")
+        each, own = each[by], own[by]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(own)), bool), own[1:] != own[:-1])))
+        least = np.minimum.reduceat(number[np.searchsorted(edges, each, side="right") - 1], first) if len(first) else number[:0]
+        doc = np.concatenate((number[np.searchsorted(edges, start, side="right") - 1], least))
+        hot = np.repeat([0, 1], [len(start), len(first)]).astype(np.uint8)
+        start, windows = np.concatenate((start, each[first])), np.concatenate((windows, np.ones(len(first), np.int64)))
+        route, same = np.concatenate((route, own[first])), np.concatenate((same, own[first]))
         bucket = ((route >> np.uint64(20)) % np.uint64(n_buckets)).astype(np.int32)
-        order = np.lexsort((start, same, bucket))  # equal segments of the block together
-        start, windows, bucket, same = start[order], windows[order], bucket[order], same[order]
-        new = np.concatenate((np.ones(min(1, len(same)), bool), (same[1:] != same[:-1]) | (bucket[1:] != bucket[:-1])))
+        order = np.lexsort((start, same, hot, bucket))  # equal segments of the block together
+        start, windows, bucket, same, doc, hot = (x[order] for x in (start, windows, bucket, same, doc, hot))
+        new = np.concatenate((np.ones(min(1, len(same)), bool), (same[1:] != same[:-1]) | (hot[1:] != hot[:-1]) | (bucket[1:] != bucket[:-1])))
         head = np.flatnonzero(new)
         times = np.diff(np.append(head, len(same)))
         ordinal = np.searchsorted(edges, start, side="right") - 1
-        doc = np.array(ids, np.int64)[ordinal]
         local = start - edges[ordinal]
         data = _gather(buffer, start[head], windows[head] + LENGTH - 1)
         data_edge = np.concatenate(([0], np.cumsum(windows[head] + LENGTH - 1)))
         present, begin = np.unique(bucket[head], return_index=True)
         ends = np.append(begin, len(head))[1:]
+        kind = windows.astype(np.uint8) | hot << 7
         rows = [[] for _ in range(6)]
         for a, b in zip(begin.tolist(), ends.tolist(), strict=True):
             x, y = head[a], head[b] if b < len(head) else len(same)
-            for row, part in zip(rows, (windows[head[a:b]].astype(np.uint8), data[data_edge[a] : data_edge[b]], times[a:b].astype(np.uint32), doc[x:y], ordinal[x:y].astype(np.uint32), local[x:y].astype(np.uint32)), strict=True):
+            for row, part in zip(rows, (kind[head[a:b]], data[data_edge[a] : data_edge[b]], times[a:b].astype(np.uint32), doc[x:y], ordinal[x:y].astype(np.uint32), local[x:y].astype(np.uint32)), strict=True):
                 row.append(shrink(part))
         return pa.table([pa.array(present, kinds[0]), pa.array(np.full(len(present), block), kinds[1]), *[pa.array(r, pa.binary()) for r in rows]], names=names)
 
@@ -258,7 +264,8 @@ def _steps(n_parts: int, n_buckets: int):
         def column(name: str, kind) -> np.ndarray:
             return np.concatenate([expand(x, kind) for x in table[name].to_pylist()])
 
-        windows, times = column("windows", np.uint8).astype(np.int64), column("times", np.uint32).astype(np.int64)
+        kind, times = column("windows", np.uint8), column("times", np.uint32).astype(np.int64)
+        windows, hot = (kind & 127).astype(np.int64), kind >> 7 > 0
         ids, ordinals, starts = column("ids", np.int64), column("ordinals", np.uint32), column("starts", np.uint32).astype(np.int64)
         block = np.repeat(np.array(table["block"].to_pylist()), [int.from_bytes(x[:8], "little") // 8 for x in table["ids"].to_pylist()])
         size = windows + LENGTH - 1
@@ -269,9 +276,9 @@ def _steps(n_parts: int, n_buckets: int):
         heads = np.flatnonzero(new)
         smallest = np.empty(len(order), np.int64)
         smallest[order] = np.repeat(np.minimum.reduceat(least[segment[order]], heads), np.diff(np.append(heads, len(order))))
-        # every occurrence of a segment has its windows
+        # every occurrence of a segment has its windows; those of very frequent ones are looked for in their blocks
         of = np.repeat(np.arange(len(windows)), times)
-        n = windows[of]
+        n = np.where(hot[of], 0, windows[of])
         occurrence = np.repeat(np.arange(len(of)), n)
         offset = np.arange(len(occurrence)) - np.repeat(np.cumsum(n) - n, n)
         window_edge = np.cumsum(windows) - windows
@@ -281,18 +288,59 @@ def _steps(n_parts: int, n_buckets: int):
         begin = np.flatnonzero(run)
         stop = np.append(begin[1:], len(offset)) - 1 if len(begin) else begin
         who = occurrence[begin]
-        out_block, out_ordinal = block[who], ordinals[who]
         first = starts[who] + offset[begin]
         last = starts[who] + offset[stop] + LENGTH
-        by = np.argsort(out_block, kind="stable")
-        present, at = np.unique(out_block[by], return_index=True)
-        cut = np.append(at, len(by)).tolist()
-        packed = [[shrink(x[by[a:b]].astype(np.uint32)) for a, b in zip(cut, cut[1:], strict=False)] for x in (out_ordinal, first, last)]
-        return pa.table([pa.array(present, pa.int32()), *[pa.array(p, pa.binary()) for p in packed]], names=["block", "ordinals", "begins", "ends"])
+        answers_ = _by_block(block[who], {"ordinals": ordinals[who], "begins": first.astype(np.uint32), "ends": last.astype(np.uint32)})
+        at = np.flatnonzero(hot[of])
+        frequent = _by_block(block[at], {"hot_ordinals": ordinals[at], "hot_starts": starts[at].astype(np.uint32), "hot_least": smallest[window_edge[of[at]]]})
+        return pa.concat_tables([answers_, frequent], promote_options="default").select(SPANS)
 
     return ask, send, solve
 
 
+#: What a bucket answers to a block: spans that go, and very frequent windows with their least ids.
+SPANS = ["block", "ordinals", "begins", "ends", "hot_ordinals", "hot_starts", "hot_least"]
+
+
+def _by_block(block: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Table:
+    """One row for each block with its entries of the columns, packed."""
+    by = np.argsort(block, kind="stable")
+    present, at = np.unique(block[by], return_index=True)
+    cut = np.append(at, len(by)).tolist()
+    packed = [pa.array([shrink(x[by[a:b]]) for a, b in zip(cut, cut[1:], strict=False)], pa.binary()) for x in columns.values()]
+    return pa.table([pa.array(present, pa.int32()), *packed], names=["block", *columns])
+
+
+def _found_again(buffer: np.ndarray, edges: np.ndarray, ids: np.ndarray, places: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, start) of the windows that are equal to one of those at ``places`` and have a larger id than its least."""
+    sample = _gather(buffer, places, np.full(len(places), LENGTH))
+    keys = span_hashes(sample, np.arange(len(places)) * LENGTH, np.arange(1, len(places) + 1) * LENGTH)
+    by = np.argsort(keys)
+    keys, places, least = keys[by], places[by], least[by]
+    maybe = np.zeros(1 << 20, bool)  # by the first bits: most windows are none of these
+    maybe[keys >> np.uint64(44)] = True
+    out = [], []
+    for begin in range(0, len(buffer) - LENGTH + 1, PIECE):
+        data = buffer[begin : begin + PIECE + LENGTH - 1]
+        up, down = powers(len(data) + 1)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(BYTE_VALUES[data] * up[: len(data)], out=total[1:])
+        h = mix64((total[LENGTH:] - total[:-LENGTH]) * down[: len(data) - LENGTH + 1] ^ np.uint64(LENGTH))
+        here = np.flatnonzero(maybe[h >> np.uint64(44)])
+        h = h[here]
+        at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+        equal = keys[at] == h
+        at, here = at[equal], here[equal] + begin
+        text = np.searchsorted(edges, here, side="right") - 1
+        good = (edges[text + 1] - here >= LENGTH) & (least[at] < ids[text])
+        at, here, text = at[good], here[good], text[good]
+        span = np.arange(LENGTH)
+        same = np.concatenate([np.zeros(0, bool), *[(buffer[here[a : a + 10_000, None] + span] == buffer[places[at[a : a + 10_000], None] + span]).all(1) for a in range(0, len(here), 10_000)]])
+        out[0].append(text[same])
+        out[1].append((here - edges[text])[same])
+    return np.concatenate([np.zeros(0, np.int64), *out[0]]), np.concatenate([np.zeros(0, np.int64), *out[1]])
+
+
 def _gather(buffer: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The bytes of several spans, one after another."""
     return buffer[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
@@ -318,11 +366,17 @@ def _removals(docs: DataFrame, finish, schema) -> DataFrame:
     blocks = _first_copies(docs, n_blocks)
     got = answers(blocks.groupBy("block").applyInArrow(ask, REQUEST))
     sent = blocks.groupBy("block").cogroup(got.groupBy("block")).applyInArrow(send, "bucket int, block int, windows binary, bytes binary, times binary, ids binary, ordinals binary, starts binary")
-    spans = sent.groupBy("bucket").applyInArrow(solve, "block int, ordinals binary, begins binary, ends binary")
+    spans = sent.groupBy("bucket").applyInArrow(solve, ", ".join(f"{c} {'binary' if i else 'int'}" for i, c in enumerate(SPANS)))
 
     def close(docs_: pa.Table, spans_: pa.Table) -> pa.Table:
-        _, digests, texts, at = _block(docs_)
-        ordinals, begins, ends = (np.concatenate([np.zeros(0, np.int64), *[expand(x, np.uint32) for x in spans_[c].to_pylist()]]).astype(np.int64) for c in ("ordinals", "begins", "ends"))
+        ids, digests, texts, at = _block(docs_)
+        column = lambda c, kind: np.concatenate([np.zeros(0, np.int64), *[expand(x, kind).astype(np.int64) for x in spans_[c].to_pylist() if x is not None]])
+        ordinals, begins, ends = (column(c, np.uint32) for c in SPANS[1:4])
+        hot, starts, least = column("hot_ordinals", np.uint32), column("hot_starts", np.uint32), column("hot_least", np.int64)
+        if len(hot):
+            buffer, edges = _joined(texts)
+            again, where = _found_again(buffer, edges, np.array(ids, np.int64), edges[hot] + starts, least)
+            ordinals, begins, ends = np.concatenate((ordinals, again)), np.concatenate((begins, where)), np.concatenate((ends, where + LENGTH))
         order = np.argsort(ordinals, kind="stable")
         edges = np.searchsorted(ordinals[order], np.arange(len(texts) + 1))
         masks = [cut_spans(t, begins[order[a:b]], ends[order[a:b]]) if b > a else None for t, a, b in zip(texts, edges, edges[1:], strict=False)]
