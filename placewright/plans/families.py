@@ -271,8 +271,9 @@ def table_inspection(spark, d):
     return extract.inspection(order_cells(spark, d)).select("file", "kind", "row_count", "column_count", F.size("preview_rows").cast("long").alias("shown"))
 
 
-@query("""
-SELECT 'ready' AS status, CAST(3 AS BIGINT) AS n, CAST(3 AS BIGINT) AS rules UNION ALL SELECT 'manual_review', 1, 3 UNION ALL SELECT 'error', 2, 3""")
+@query(f"""
+WITH t AS (SELECT 's' || p_size AS file FROM part GROUP BY p_size ORDER BY count(*) DESC, p_size LIMIT 1), g AS (SELECT count(*) AS n FROM ({_GROUPS}) JOIN t USING (file))
+SELECT status, CAST(v.n AS BIGINT) AS n, 2 + g.n AS rules FROM (VALUES ('ready', 3), ('manual_review', 1), ('error', 2)) v(status, n), g""")
 def inspection_summary(spark, d):
     """A plan to be reviewed for sources of all kinds, made of files whose content comes from the tables."""
     one = read(spark, d, "part").filter("p_partkey = 1")
@@ -282,7 +283,8 @@ def inspection_summary(spark, d):
     for name, body in made:
         row = one.select(F.lit(name).alias("path"), body.cast("binary").alias("content"))
         content = row if content is None else content.unionByName(row)
-    blocks = card_pages(spark, d).orderBy(F.desc(F.length("html")), "file").limit(1).select(F.lit("b.html").alias("path"), F.col("html").cast("binary").alias("content"))
+    largest = read(spark, d, "part").groupBy("p_size").agg(card_page().alias("html"), F.count("*").alias("n")).orderBy(F.desc("n"), "p_size").limit(1)
+    blocks = largest.select(F.lit("b.html").alias("path"), F.col("html").cast("binary").alias("content"))
     content = content.unionByName(blocks)
     pages = content.filter(F.col("path").endswith(".html")).select(F.col("path").alias("file"), F.col("content").cast("string").alias("html"))
     items = [{"source_title": "S", "local_files": ["t.csv", "k.html", "empty.html"], "derived_files": ["b.html", "bad.xyz", "gone.csv"]}]
