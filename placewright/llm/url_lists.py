@@ -3,14 +3,15 @@
 A list is a history of dated entries (``add`` or ``remove`` of a host, a domain or a URL prefix).  The history of an
 entry becomes validity intervals [valid_from, valid_to); a capture is evaluated against the entries that were active
 when it was fetched.  The as-of join is an equi-join on the keys of a capture (its host, every domain above it, every
-directory of its path) with the interval as a further condition, so it never compares captures with unrelated
+part of its path from the root, with and without a slash behind it) with the interval as a further condition, so it never compares captures with unrelated
 entries, and a hot host is split by the adaptive skew join.  The most specific active entry decides (prefix before
 host before domain, then the longer one), ``allow`` before ``block``.
 
 Defined results: a URL that is null or has no host matches nothing and gets the verdict ``none``, as does a null
 fetch date; entries with null fields are left out; of several entries of one day for the same value the ``remove``
-counts; repeated captures (equal id, URL and date) are one; empty lists leave every capture at ``none``; other
-columns are not read.
+counts; repeated captures (equal id, URL and date) are one; empty lists leave every capture at ``none``; ties (one value
+blocked and allowed) go to ``allow``; very long URLs have all their keys; prefixes end where a part of a path does, and
+an address in brackets is a host with its brackets; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from placewright.llm.common import read
 
 #: Rank of the kinds of entry, the most specific first.
 KINDS = {"prefix": 3, "host": 2, "domain": 1}
-HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]*)"
 PATH = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*(/[^?#]*)"
 
 
@@ -32,15 +33,17 @@ def host_of(url: Column) -> Column:
 
 
 def keys_of(url: Column) -> Column:
-    """Array of (kind, value): the host, the domains at and above it, and the directories of the path."""
+    """Array of (kind, value): the host, the domains at and above it, and what the path begins with, part by part."""
     host, path = host_of(url), F.coalesce(F.regexp_extract(url, PATH, 1), F.lit(""))
     labels = F.split(host, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     steps = F.split(F.regexp_replace(path, "^/", ""), "/")
-    depth = F.when(F.size(steps) > 1, F.sequence(F.lit(1), F.size(steps) - 1)).otherwise(F.array().cast("array<int>"))
-    folders = F.transform(depth, lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, i), "/"), F.lit("/")))
+    upto = lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, i), "/"))
+    parts = F.transform(F.sequence(F.lit(1), F.size(steps)), upto)
+    folders = F.transform(F.slice(parts, F.lit(1), F.size(steps) - 1), lambda p: F.concat(p, F.lit("/")))
+    begins = F.concat(F.array(F.concat(host, F.lit("/"))), folders, parts)
     key = lambda kind: lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
-    found = F.concat(F.array(key("host")(host)), F.transform(domains, key("domain")), F.transform(folders, key("prefix")))
+    found = F.concat(F.array(key("host")(host)), F.transform(domains, key("domain")), F.transform(begins, key("prefix")))
     return F.when(host != "", F.array_distinct(found)).otherwise(F.array().cast("array<struct<kind:string,value:string>>"))
 
 
@@ -98,7 +101,7 @@ ORACLES = {
     "op6_url_lists": r"""
 WITH p AS (
   SELECT DISTINCT page_id, url, CAST(DATE '2024-01-01' + CAST((page_id * 37) % 500 AS INTEGER) AS DATE) AS fetched,
-    regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.$', '') AS host,
+    regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]*)', 1)), '\.$', '') AS host,
     regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1) AS path
   FROM pages
 ), l AS (
@@ -108,7 +111,11 @@ WITH p AS (
   UNION
   SELECT page_id, url, fetched, 'domain', array_to_string(labels[i:], '.') FROM (SELECT *, unnest(range(1, len(labels) + 1)) AS i FROM l)
   UNION
+  SELECT page_id, url, fetched, 'prefix', host || '/' FROM l
+  UNION
   SELECT page_id, url, fetched, 'prefix', host || '/' || array_to_string(steps[1:i], '/') || '/' FROM (SELECT *, unnest(range(1, len(steps))) AS i FROM l)
+  UNION
+  SELECT page_id, url, fetched, 'prefix', host || '/' || array_to_string(steps[1:i], '/') FROM (SELECT *, unnest(range(1, len(steps) + 1)) AS i FROM l)
 ), v AS (
   SELECT DISTINCT kind, value FROM k WHERE kind <> 'domain' OR contains(value, '.')
 ), h AS (

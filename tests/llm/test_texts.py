@@ -465,6 +465,16 @@ def test_url_lists(spark):
     assert url_lists.evaluate(captures, intervals.limit(0), "page_id", "url", "day").filter("verdict <> 'none'").count() == 0
 
 
+def test_url_prefixes_of_every_kind(spark):
+    day = dt.date(2024, 1, 1)
+    values = ["x.com/", "x.com/a", "x.com/a/b.html", "[::1]/"]
+    intervals = url_lists.validity_intervals(spark.createDataFrame([("block", "prefix", v, "add", day) for v in values], "verdict string, kind string, value string, action string, day date"))
+    urls = ["http://x.com", "http://x.com/q", "http://x.com/a", "http://x.com/a/c", "http://x.com/ab", "http://x.com/a/b.html?q=1", "http://x.com/a/b.htmlx", "http://[::1]:80/z", "http://x.com/" + "p/" * 3000]
+    captures = spark.createDataFrame([(i, u, day) for i, u in enumerate(urls)], "page_id long, url string, day date")
+    got = {r.page_id: r.entry for r in url_lists.evaluate(captures, intervals, "page_id", "url", "day").collect()}
+    assert [got[i] for i in range(len(urls))] == ["prefix:" + v for v in ("x.com/", "x.com/", "x.com/a", "x.com/a", "x.com/", "x.com/a/b.html", "x.com/a", "[::1]/", "x.com/")]
+
+
 # -- WARC -----------------------------------------------------------------------------------------------
 
 
