@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from placewright.llm.common import read
+from placewright.llm.common import materialize, read
 
 #: Rank of the kinds of entry, the most specific first.
 KINDS = {"prefix": 3, "host": 2, "domain": 1}
@@ -92,7 +92,9 @@ def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages against the entries active on their fetch days."""
     pages = read(spark, sf_dir, "pages", "page_id", "url")
     captures = pages.withColumn("fetched", F.date_add(F.lit("2024-01-01").cast("date"), ((F.col("page_id") * 37) % 500).cast("int")))
-    found = evaluate(captures, validity_intervals(synthetic_lists(pages)), "page_id", "url", "fetched")
+    # written, so that the join reads it anew and a host or a root of very many pages can be split
+    intervals = materialize(validity_intervals(synthetic_lists(pages)), "intervals")
+    found = evaluate(captures, intervals, "page_id", "url", "fetched")
     return found.select("page_id", "host", F.col("fetched").cast("string").alias("fetched"), "n_active", "verdict", "entry")
 
 
