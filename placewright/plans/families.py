@@ -612,6 +612,36 @@ def fetch_methods(spark, d):
     return fetched.host_methods(fetch_rows(spark, d))
 
 
+@query("""
+WITH p AS (SELECT page_id AS k, url, CAST(octet_length(encode(html)) AS BIGINT) AS n FROM pages)
+SELECT CASE k % 6 WHEN 0 THEN 'a/../../' || k || '.html' WHEN 1 THEN 'z/' || k || '.ZIP' WHEN 2 THEN 'y' || k || '.zip' ELSE 'a/../' || k || '.html' END AS file, 'https://www.e.org/' || k AS url,
+  CASE k % 6 WHEN 0 THEN '输出文件越出目标目录：a/../../' || k || '.html' WHEN 2 THEN '不是合法 zip 压缩包' WHEN 3 THEN 'HTTP 500' WHEN 4 THEN '下载结果域名不在允许范围内：https://other.test/' ELSE '' END AS error,
+  CASE k % 6 WHEN 5 THEN n ELSE 0 END AS plain_bytes, CASE k % 6 WHEN 1 THEN 'z/a/' || k || '.html,z/b.csv' ELSE '' END AS extracted, CASE k % 6 WHEN 1 THEN 'note.txt' ELSE '' END AS skipped FROM p""")
+def downloaded_files(spark, d):
+    """A download manifest against what came: paths that lead out, failures, other domains, archives taken apart."""
+
+    @F.pandas_udf("binary")
+    def pack(keys: pd.Series, pages: pd.Series) -> pd.Series:
+        out = []
+        for k, page in zip(keys, pages, strict=True):
+            data = io.BytesIO()
+            with zipfile.ZipFile(data, "w") as z:
+                z.writestr("b.csv", "x")
+                z.writestr(f"a/{k}.html", page)
+                z.writestr("note.txt", "other")
+            out.append(data.getvalue())
+        return pd.Series(out)
+
+    k = F.col("page_id")
+    kind, name, url = k % 6, k.cast("string"), F.concat(F.lit("https://www.e.org/"), k.cast("string"))
+    file = F.when(kind == 0, F.concat(F.lit(" a/../../"), name, F.lit(".html"))).when(kind == 1, F.concat(F.lit("z/"), name, F.lit(".ZIP"))).when(kind == 2, F.concat(F.lit("y"), name, F.lit(".zip"))).otherwise(F.concat(F.lit("a/../"), name, F.lit(".html")))
+    pages = read(spark, d, "pages")
+    came = pages.withColumn("zip", pack("page_id", "html")).select(url.alias("url"), F.when(kind == 1, F.col("zip")).otherwise(F.col("html").cast("binary")).alias("content"), F.when(kind == 4, "https://other.test/").otherwise(url).alias("final_url"), F.lit(200).alias("http_status"), F.when(kind == 3, "HTTP 500").alias("error"))
+    found = fetched.downloads(pages.select(file.alias("file"), url.alias("url")), came, "https://E.org/")
+    plain = F.when(~F.lower("file").endswith(".zip"), F.col("size_bytes"))
+    return found.select("file", "url", "error", F.coalesce(plain, F.lit(0)).alias("plain_bytes"), F.array_join("extracted", ",").alias("extracted"), F.array_join("skipped", ",").alias("skipped"))
+
+
 # -- connectors, with transports that answer from the tables --------------------------------------------
 
 

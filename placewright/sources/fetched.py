@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placewright.functions.text import error_line, squeeze, text
+from placewright.functions.text import error_line, squeeze, strip, text
 from placewright.functions.urls import domain_of, host_of, title_of, url_in_domains
 from placewright.sources.evidence import SCHEMA as EVIDENCE
 from placewright.sources.evidence import page_evidence
+from placewright.sources.files import unpacked
 from placewright.sources.pages import html_links
 
 STAGE = "official_page_address_evidence"
@@ -97,3 +98,43 @@ def pdf_tables(tables: DataFrame, report: DataFrame) -> DataFrame:
     return tables.join(good, ["file", "page"]).select(
         "file", F.lit("pdf_table").alias("kind"), place.alias("location"), F.col("row_no").cast("int").alias("row_no"), F.transform("cells", squeeze).alias("cells"), F.col("inspection_status").alias("status"), F.lit(None).cast("string").alias("error")
     )
+
+
+def leaves_folder(path: Column) -> Column:
+    """Whether a path leads out of the folder that it is in."""
+    step = lambda d, s: F.when(d < 0, d).when(s == "..", d - 1).when(s.isin("", "."), d).otherwise(d + 1)
+    depth = F.aggregate(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), F.lit(0), step)
+    return path.startswith("/") | (depth < 0)
+
+
+def downloads(manifest: DataFrame, fetched: DataFrame, allowed_domain: str = "") -> DataFrame:
+    """Results of a download manifest (file, url): final_url, http_status, size_bytes, extracted, skipped, error.
+
+    ``fetched`` has the content as it came.  Archives are taken apart beside where they lie; of a file that failed, its
+    place, its fetch, its final domain or its archive, only the error is given.
+    """
+    seen = fetched.select(F.col("url").alias("__url"), "content", "final_url", "http_status", "error")
+    items = manifest.select(strip("file").alias("file"), strip("url").alias("url")).join(seen, F.col("url") == F.col("__url"), "left")
+    outside = ~url_in_domains("final_url", F.array(domain_of(F.lit(allowed_domain)))) if allowed_domain else F.lit(False)
+    error = (
+        F.when(leaves_folder(F.col("file")), F.concat(F.lit("输出文件越出目标目录："), F.col("file")))
+        .when(F.col("__url").isNull(), F.lit("not fetched"))
+        .when(text("error") != "", text("error"))
+        .when(outside, F.concat(F.lit("下载结果域名不在允许范围内："), text("final_url")))
+    )
+    items = items.withColumn("error", error)
+    archives = unpacked(items.filter(F.col("error").isNull() & F.lower("file").endswith(".zip")), "file", "content")
+    folder = F.regexp_extract("archive", "^(.*/)?[^/]*$", 1)
+    members = archives.groupBy("archive").agg(F.array_sort(F.collect_list(F.concat(folder, F.col("path")))).alias("extracted"), F.any_value("skipped").alias("skipped"), F.max("error").alias("__bad"))
+    met = items.join(members, F.col("file") == F.col("archive"), "left").withColumn("error", F.coalesce("error", "__bad", F.lit("")))
+    good, none = F.col("error") == "", F.array().cast("array<string>")
+    return met.select(
+        "file",
+        "url",
+        F.when(good, F.col("final_url")).alias("final_url"),
+        F.when(good, F.col("http_status")).alias("http_status"),
+        F.when(good, F.octet_length("content").cast("long")).alias("size_bytes"),
+        F.when(good, F.coalesce("extracted", none)).otherwise(none).alias("extracted"),
+        F.when(good, F.coalesce("skipped", none)).otherwise(none).alias("skipped"),
+        "error",
+    )
